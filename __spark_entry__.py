@@ -14,11 +14,19 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 import oracle as O  # noqa: E402
 from pricelens import operators as ops  # noqa: E402
-from pricelens.plans import panels  # noqa: E402
-from pricelens.session import configure  # noqa: E402
+from pricelens.plans import compose, panels  # noqa: E402
+from pricelens.plans.refresh import refresh  # noqa: E402
+from pricelens.session import configure, work_path  # noqa: E402
+from pricelens.sources import html as H  # noqa: E402
+from pricelens.sources import normalise as N  # noqa: E402
+from pricelens.sources import products as P  # noqa: E402
+from pricelens.sources.reports_io import read_report_csv, write_csv  # noqa: E402
+from pricelens.sources.sitemap import url_hierarchy  # noqa: E402
+from pricelens.streaming.refresh_stream import land, stream_refresh  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -91,6 +99,89 @@ def _panel_oracles(panel: str, suffix: str) -> dict[str, str]:
     return {k + suffix: v for k, v in o.items()}
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+    return work_path(spark, "queries", f"{name}-{uuid.uuid4().hex}")
+
+
+def _stored_weekly(s: SparkSession, d: str) -> DataFrame:
+    root = _scratch(s, "products")
+    P.write_products(_products(s, d, "weekly"), root)
+    return P.read_products(s, root)
+
+
+def _stored_upsert_daily(s: SparkSession, d: str) -> DataFrame:
+    """Morning snapshot written first, then the day's last values upserted over it."""
+    root = _scratch(s, "products")
+    P.write_products(panels.panel_a(s, d, pick="first"), root)
+    P.upsert_products(_products(s, d, "daily"), root)
+    return P.read_products(s, root)
+
+
+def _backfill(s: SparkSession, d: str) -> DataFrame:
+    old = (_products(s, d, "weekly").drop("maincatid")
+           .withColumnRenamed("pricewithoutdiscount", "priceWithoutDiscount")
+           .withColumn("product_id", F.col("product_id").cast("long")))
+    return P.backfill_frame(old)
+
+
+def _report_csv(s: SparkSession, d: str) -> DataFrame:
+    path = _scratch(s, "csv")
+    write_csv(_report(_products(s, d, "weekly"), "discounts"), path, single_file=True)
+    return read_report_csv(s, path, "discounts")
+
+
+def _materialised_changes(s: SparkSession, d: str) -> DataFrame:
+    return P.materialise(ops.price_changes(_products(s, d, "weekly")), _scratch(s, "pc"))
+
+
+def _stream(s: SparkSession, d: str) -> DataFrame:
+    """Two landed batches (morning, then evening values) streamed into the table."""
+    landing, root, ckpt = _scratch(s, "landing"), _scratch(s, "products"), _scratch(s, "ckpt")
+    land(panels.panel_a(s, d, pick="first").withColumn("ingest_seq", F.lit(1).cast("long")), landing)
+    land(_products(s, d, "daily").withColumn("ingest_seq", F.lit(2).cast("long")), landing)
+    stream_refresh(s, landing, root, ckpt)
+    return ops.price_changes(P.read_products(s, root))
+
+
+def _refresh_feed(s: SparkSession, d: str) -> DataFrame:
+    root = _scratch(s, "products")
+    P.write_products(_products(s, d, "weekly"), root)
+    return refresh(s, root, _scratch(s, "out"), csv=False)["feed"]
+
+
+def _catalog_a(s, d, sim=False):
+    configure(s)
+    docs = N.parse_json(compose.catalog_a_docs(s, d), "json", N.CATALOG_A_PRODUCT)
+    rows = N.catalog_a_rows(docs, "store_a")
+    if not sim:
+        return N.apply_simulation(rows, None)
+    sims = N.simulated_prices(N.parse_json(compose.simulation_docs(s, d), "json", N.SIMULATION_A))
+    return N.apply_simulation(rows, sims)
+
+
+def _catalog_b(s, d):
+    configure(s)
+    return N.normalise(compose.catalog_b_docs(s, d), "catalog_b", "store_b", json_col="json")
+
+
+def _tree(s, d, fmt, store, base):
+    configure(s)
+    field = "children" if fmt == "tree_a" else "subcategories"
+    return N.normalise(compose.tree_docs(s, d, field), fmt, store, json_col="json", base_url=base)
+
+
+def _categories(s, d):
+    both = _tree(s, d, "tree_a", "store_a", compose.BASE_A).unionByName(
+        _tree(s, d, "tree_b", "store_b", compose.BASE_B))
+    return ops.dedup_latest(both, ["id", "store"], ["level", "path"])
+
+
+def _pages(s, d):
+    configure(s)
+    return panels.table(s, d, "pages")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     q["products_upsert"] = lambda s, d: _products(s, d, "daily")
@@ -100,6 +191,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for rep in REPORTS:
         q[f"violations_{rep}"] = lambda s, d, rep=rep: ops.report_violations(
             _report(_products(s, d, "weekly"), rep), rep)
+    q["store_union"] = lambda s, d: _products(s, d, "daily").unionByName(_products(s, d, "weekly"))
+    q["stored_products_weekly"] = _stored_weekly
+    q["stored_upsert_daily"] = _stored_upsert_daily
+    q["backfill_projection"] = _backfill
+    q["discounts_csv_weekly"] = _report_csv
+    q["price_changes_materialised_weekly"] = _materialised_changes
+    q["stream_refresh"] = _stream
+    q["refresh_feed_weekly"] = _refresh_feed
+    q["catalog_a"] = lambda s, d: _catalog_a(s, d, sim=False)
+    q["price_override"] = lambda s, d: _catalog_a(s, d, sim=True)
+    q["catalog_b"] = _catalog_b
+    q["price_fold"] = lambda s, d: _catalog_b(s, d).select(
+        "product_id", "price", "pricewithoutdiscount", "list_price")
+    q["category_tree_a"] = lambda s, d: _tree(s, d, "tree_a", "store_a", compose.BASE_A)
+    q["category_tree_b"] = lambda s, d: _tree(s, d, "tree_b", "store_b", compose.BASE_B)
+    q["categories"] = _categories
+    q["select_categories"] = lambda s, d: ops.select_categories(
+        _categories(s, d), "store_a", {"name": "ASIA"}, start_from="/no/such/path/")
+    q["url_hierarchy"] = lambda s, d: url_hierarchy(
+        _pages(s, d).select(F.col("page_id").alias("url_index"), "url"), "pages")
+    q["html_links"] = lambda s, d: H.page_links(_pages(s, d))
     return q
 
 
@@ -112,4 +224,22 @@ def oracle_sql() -> dict[str, str]:
     o.update(_panel_oracles("weekly", "_weekly"))
     for rep in REPORTS:
         o[f"violations_{rep}"] = O.violations_sql(O.PANEL_B, rep)
+    o["store_union"] = O.store_union_sql()
+    o["stored_products_weekly"] = O.products_sql(O.PANEL_B)
+    o["stored_upsert_daily"] = O.products_sql(O.PANEL_A)
+    o["backfill_projection"] = O.products_sql(O.PANEL_B)
+    o["discounts_csv_weekly"] = O.report_sql(O.PANEL_B, "discounts")
+    o["price_changes_materialised_weekly"] = O.price_changes_sql(O.PANEL_B)
+    o["stream_refresh"] = O.price_changes_sql(O.PANEL_A)
+    o["refresh_feed_weekly"] = O.feed_sql(O.PANEL_B)
+    o["catalog_a"] = O.catalog_a_sql()
+    o["price_override"] = O.price_override_sql()
+    o["catalog_b"] = O.catalog_b_sql()
+    o["price_fold"] = O.price_fold_sql()
+    o["category_tree_a"] = O.tree_sql("store_a", "names")
+    o["category_tree_b"] = O.tree_sql("store_b", "ids")
+    o["categories"] = O.categories_sql()
+    o["select_categories"] = O.select_categories_sql("store_a", "ASIA")
+    o["url_hierarchy"] = O.url_hierarchy_sql("pages")
+    o["html_links"] = O.html_links_sql()
     return o

@@ -248,3 +248,176 @@ SELECT CAST(NULL AS VARCHAR) AS report, CAST(NULL AS VARCHAR) AS store,
        CAST(NULL AS VARCHAR) AS product_id, CAST(NULL AS INTEGER) AS rank,
        CAST(NULL AS VARCHAR) AS rule
 FROM products WHERE FALSE"""
+
+
+# --- normalisers (composed payloads are rebuilt flat from ``part``) -------------------
+
+def _part_cat(expr_ge5: str, expr_lt5: str) -> str:
+    return f"CASE WHEN p_size >= 5 THEN {expr_ge5} ELSE {expr_lt5} END"
+
+
+_LEAF = "'/' || p_type || '/' || p_brand || '/' || CAST(p_size AS VARCHAR) || '/'"
+_MID = "'/' || p_type || '/' || p_brand || '/'"
+_TOP = "'/' || p_type || '/'"
+
+CATALOG_A_FLAT = f"""
+catalog_a AS (
+    SELECT CAST(p_partkey AS VARCHAR) AS product_id, 'store_a' AS store, p_name AS name, p_brand AS brand,
+           {_part_cat(_LEAF, _MID)} AS maincat,
+           {_part_cat(_MID, _TOP)} AS cat,
+           CASE WHEN p_size >= 5 THEN {_TOP} END AS subcat,
+           CAST(p_size AS VARCHAR) AS catid,
+           CASE WHEN p_size % 2 = 0 THEN 'https://img-a.example.com/' || CAST(p_partkey AS VARCHAR) || '.jpg' END
+               AS image,
+           FLOOR(p_retailprice * 90 + 0.5) / 100 AS price,
+           p_retailprice AS pricewithoutdiscount,
+           p_retailprice AS list_price,
+           p_size > 3 AS is_available,
+           'https://shop-a.example.com/p/' || CAST(p_partkey AS VARCHAR) AS link,
+           p_size, p_retailprice
+    FROM part
+)"""
+
+PRODUCT_COLS = ("product_id, store, name, brand, maincat, cat, subcat, catid, image, price, "
+                "pricewithoutdiscount, list_price, is_available, link")
+
+
+def catalog_a_sql() -> str:
+    return f"WITH {CATALOG_A_FLAT}\nSELECT {PRODUCT_COLS} FROM catalog_a"
+
+
+def price_override_sql() -> str:
+    return f"""WITH {CATALOG_A_FLAT},
+found AS (SELECT *, (p_size % 3 <> 0 AND p_size <= 45) AS hit FROM catalog_a)
+SELECT product_id, store, name, brand, maincat, cat, subcat, catid, image,
+       CASE WHEN hit THEN FLOOR(p_retailprice * 95 + 0.5) / 100 ELSE price END AS price,
+       CASE WHEN hit THEN FLOOR(p_retailprice * 95 + 0.5) / 100 ELSE pricewithoutdiscount END
+           AS pricewithoutdiscount,
+       CASE WHEN hit THEN FLOOR(p_retailprice * 100 + 0.5) / 100 ELSE list_price END AS list_price,
+       hit AS is_available, link
+FROM found"""
+
+
+CATALOG_B_FLAT = """
+catalog_b AS (
+    SELECT CAST(p_partkey AS VARCHAR) AS product_id, 'store_b' AS store, p_name AS name, p_brand AS brand,
+           p_type AS maincat, p_brand AS cat, 'size ' || CAST(p_size AS VARCHAR) AS subcat,
+           CAST(p_size AS VARCHAR) AS catid,
+           CASE WHEN p_size % 2 = 1 THEN 'https://img-b.example.com/' || CAST(p_partkey AS VARCHAR) || '.png' END
+               AS image,
+           CASE WHEN p_size % 3 = 0 THEN FLOOR(p_retailprice * 80 + 0.5) / 100 ELSE p_retailprice END AS price,
+           p_retailprice AS pricewithoutdiscount,
+           p_retailprice AS list_price,
+           p_size % 4 IN (0, 1, 2) AS is_available,
+           'https://shop-b.example.com/p/' || CAST(p_partkey AS VARCHAR) AS link
+    FROM part
+)"""
+
+
+def catalog_b_sql() -> str:
+    return f"WITH {CATALOG_B_FLAT}\nSELECT {PRODUCT_COLS} FROM catalog_b"
+
+
+def price_fold_sql() -> str:
+    return f"WITH {CATALOG_B_FLAT}\nSELECT product_id, price, pricewithoutdiscount, list_price FROM catalog_b"
+
+
+_TREE_JOIN = """
+tj AS (
+    SELECT s.s_suppkey, s.s_name, n.n_nationkey, n.n_name, r.r_regionkey, r.r_name,
+           CAST(r.r_regionkey + 1 AS VARCHAR) AS rid, CAST(n.n_nationkey + 100 AS VARCHAR) AS nid,
+           CAST(s.s_suppkey + 10000 AS VARCHAR) AS sid
+    FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+                    JOIN region r ON n.n_regionkey = r.r_regionkey
+)"""
+
+
+def _tree_cte(name: str, store: str, style: str) -> str:
+    if style == "names":
+        base = "'https://shop-a.example.com'"
+        l1 = f"{base} || '/' || replace(r_name, ' ', '-')"
+        l2 = f"{l1} || '/' || replace(n_name, ' ', '-')"
+        l3 = f"{l2} || '/' || replace(s_name, ' ', '-')"
+    else:
+        base = "'https://shop-b.example.com/c/'"
+        l1 = f"{base} || rid || '/'"
+        l2 = f"{l1} || nid || '/'"
+        l3 = f"{l2} || sid || '/'"
+    return f"""
+{name} AS (
+    SELECT DISTINCT rid AS id, '{store}' AS store, r_name AS name, CAST(NULL AS VARCHAR) AS parent_id,
+           '/' || rid || '/' AS path, CAST(1 AS INTEGER) AS level, {l1} AS link FROM tj
+    UNION ALL
+    SELECT DISTINCT nid, '{store}', n_name, rid, '/' || rid || '/' || nid || '/', CAST(2 AS INTEGER), {l2} FROM tj
+    UNION ALL
+    SELECT sid, '{store}', s_name, nid, '/' || rid || '/' || nid || '/' || sid || '/', CAST(3 AS INTEGER), {l3}
+    FROM tj
+)"""
+
+
+def tree_sql(store: str, style: str) -> str:
+    return f"WITH {_TREE_JOIN}, {_tree_cte('cats', store, style)}\nSELECT * FROM cats"
+
+
+def categories_sql() -> str:
+    return (f"WITH {_TREE_JOIN}, {_tree_cte('cats_a', 'store_a', 'names')}, "
+            f"{_tree_cte('cats_b', 'store_b', 'ids')}\n"
+            "SELECT * FROM cats_a UNION ALL SELECT * FROM cats_b")
+
+
+def select_categories_sql(store: str, name: str) -> str:
+    return (f"WITH {_TREE_JOIN}, {_tree_cte('cats_a', 'store_a', 'names')}, "
+            f"{_tree_cte('cats_b', 'store_b', 'ids')},\n"
+            "cats AS (SELECT * FROM cats_a UNION ALL SELECT * FROM cats_b)\n"
+            f"SELECT path FROM cats WHERE level = 3 AND store = '{store}' AND split_part(path, '/', 2) IN "
+            f"(SELECT id FROM cats WHERE store = '{store}' AND name = '{name}') ORDER BY path")
+
+
+# --- URL hierarchy and links over ``pages`` --------------------------------------------
+
+_URL_PATH = r"coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '')"
+
+
+def url_hierarchy_sql(store: str) -> str:
+    return rf"""
+WITH u AS (
+    SELECT page_id, string_split(regexp_replace({_URL_PATH}, '^/+|/+$', '', 'g'), '/') AS parts FROM pages
+),
+pre AS (
+    SELECT page_id, parts, unnest(generate_series(1, len(parts))) AS level FROM u
+),
+pre2 AS (
+    SELECT page_id, level, parts[level] AS part, '/' || array_to_string(parts[1:level], '/') AS full_path FROM pre
+),
+firsts AS (
+    SELECT full_path, min(page_id) AS first, min(level) AS level, arg_min(part, page_id) AS part
+    FROM pre2 GROUP BY full_path
+),
+ided AS (
+    SELECT *, 1000 + ROW_NUMBER() OVER (ORDER BY first, level) AS id FROM firsts
+)
+SELECT CAST(c.id AS BIGINT) AS id, '{store}' AS store,
+       array_to_string(list_transform(string_split(lower(replace(c.part, '-', ' ')), ' '),
+                                      lambda w: upper(w[1]) || w[2:]), ' ') AS name,
+       CAST(coalesce(p.id, 0) AS BIGINT) AS parent_id,
+       c.full_path || '/' AS path, CAST(c.level AS INTEGER) AS level
+FROM ided c LEFT JOIN ided p
+  ON c.level > 1 AND p.full_path = regexp_replace(c.full_path, '/[^/]*$', '')"""
+
+
+_ANCHOR_SQL = r"""'<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>'"""
+
+
+def html_links_sql() -> str:
+    return f"""
+SELECT page_id, CAST(pos AS INTEGER) AS pos, href, trim(text) AS text FROM (
+    SELECT page_id,
+           unnest(regexp_extract_all(html, {_ANCHOR_SQL}, 1)) AS href,
+           unnest(regexp_extract_all(html, {_ANCHOR_SQL}, 2)) AS text,
+           unnest(range(1, len(regexp_extract_all(html, {_ANCHOR_SQL}, 1)) + 1)) AS pos
+    FROM pages)"""
+
+
+def store_union_sql() -> str:
+    b = PANEL_B.replace("products AS (", "products_b AS (")
+    return with_ctes(PANEL_A, b) + "\nSELECT * FROM products UNION ALL SELECT * FROM products_b"

@@ -27,12 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def panel_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily panel from ``events`` (one row per user, event type and day)."""
+def panel_a(spark: SparkSession, sf_dir: str, pick: str = "last") -> DataFrame:
+    """Daily panel from ``events`` (one row per user, event type and day).
+
+    ``pick="first"`` takes the day's first event as the sale price: the
+    morning snapshot that a later same-day scrape replaces.
+    """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     daily = (ev.withColumn("scrape_date", F.col("ts").cast("date"))
              .groupBy("user_id", "event_type", "scrape_date")
-             .agg(F.max_by("value", F.struct("ts", "event_id")).alias("price"),
+             .agg((F.max_by if pick == "last" else F.min_by)(
+                      "value", F.struct("ts", "event_id")).alias("price"),
                   F.max("value").alias("list_price")))
     pid = F.col("user_id").cast("string")
     return daily.select(
