@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions import escape_html, image_or_placeholder, link_or_hash
-from pricelens.operators.history import KEY, REPORT_TABS, histories
+from pricelens.operators.history import KEY, REPORT_TABS
+from pricelens.operators.joins import join_checked, materialise_small
+from pricelens.schemas import HISTORY_COLUMNS
 
 
 def report_entries(reports: dict[str, DataFrame]) -> DataFrame:
@@ -37,8 +39,9 @@ def dashboard_feed(reports: dict[str, DataFrame], products: DataFrame) -> DataFr
     series is not collected into arrays: it stays one row per snapshot,
     ordered by (tab, store, rank, scrape_date).
     """
-    entries = report_entries(reports)
-    hist = histories(reports, products)
+    entries = materialise_small(report_entries(reports))
+    keys = entries.select("report", *KEY).distinct()
+    hist = join_checked(products.select(*HISTORY_COLUMNS), keys, KEY, "inner")
     return (entries.join(hist, ["report", *KEY], "left")
             .drop("report")
             .orderBy("tab", "store", "rank", "scrape_date"))
