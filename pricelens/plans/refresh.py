@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pricelens import operators as ops
 from pricelens.operators.dates import latest_date, latest_dates
-from pricelens.sources.products import materialise, read_products
+from pricelens.sources.products import materialise, read_products, snapshot_dates
 from pricelens.sources.reports_io import write_csv
 
 REPORT_NAMES = ["list_price_increases", "list_price_decreases", "discounts", "avg_deals_30d"]
@@ -36,7 +36,7 @@ def refresh(spark: SparkSession, root: str, out: str, k: int = 20, csv: bool = T
     ``histories`` (tagged by report) and ``feed``.
     """
     products = products if products is not None else read_products(spark, root)
-    dates = latest_dates(products, 2)
+    dates = snapshot_dates(spark, root, 2) if root else latest_dates(products, 2)
     pc = materialise(ops.price_changes(products, dates), _join(out, "price_changes"))
     latest = dates[0] if dates else latest_date(products)
     builders = {

@@ -87,12 +87,44 @@ def write_products(df: DataFrame, root: str) -> None:
      .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(root))
 
 
-def _partition_filter(keys: list[tuple]) -> F.Column:
-    cond = F.lit(False)
-    for d, s, m in keys:
-        cond = cond | ((F.col("scrape_date") == F.lit(d)) & (F.col("store") == F.lit(s))
-                       & (F.col("maincatid").eqNullSafe(F.lit(m))))
-    return cond
+def _touched(spark: SparkSession, df: DataFrame, pairs: list[tuple]) -> DataFrame:
+    """Rows of ``df`` in the (scrape_date, store) pairs: IN-lists prune the
+    directories, a semi join against the (bounded) pair list keeps exact pairs."""
+    dates = sorted({d for d, _ in pairs})
+    stores = sorted({s for _, s in pairs if s is not None})
+    pruned = df.where(F.col("scrape_date").isin(dates) & F.col("store").isin(stores))
+    keys = spark.createDataFrame(pairs, "scrape_date date, store string")
+    return pruned.join(F.broadcast(keys), ["scrape_date", "store"], "left_semi")
+
+
+def snapshot_dates(spark: SparkSession, root: str, n: int | None = None) -> list:
+    """Snapshot dates present in the table, newest first, from the directory layout.
+
+    One listing of ``root/scrape_date=*`` (a handful of entries per year)
+    instead of a job over every file footer; a date directory counts only
+    if it holds at least one data file.
+    """
+    import datetime as _dt
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    found = []
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("scrape_date="):
+            found.append((_dt.date.fromisoformat(name.split("=", 1)[1]), st.getPath()))
+    out = []
+    for d, path in sorted(found, reverse=True):
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            if files.next().getPath().getName().endswith(".parquet"):
+                out.append(d)
+                break
+        if n is not None and len(out) >= n:
+            break
+    return out
 
 
 def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None) -> list[tuple]:
@@ -127,10 +159,7 @@ def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None)
     merged_in = incoming.select(*cols, "_order")
     old_keys: list[tuple] = []
     if table_exists(spark, root):
-        pair_cond = F.lit(False)
-        for d, s in pairs:
-            pair_cond = pair_cond | ((F.col("scrape_date") == F.lit(d)) & (F.col("store") == F.lit(s)))
-        existing = read_products(spark, root).where(pair_cond)
+        existing = _touched(spark, read_products(spark, root), pairs)
         old_keys = [tuple(r) for r in existing.select(*PARTITION_COLUMNS).distinct().collect()]
         null_order = F.struct(F.lit(0).alias("_src"),
                               *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order])

@@ -37,19 +37,19 @@ def tmp_root(tmp_path):
 
 # 13 products, 26 rows: (id, store, dates, list prev->latest, price prev->latest)
 SEED = [
-    ("C1", "chedraui", PREV, 100, 200, 90, 90),
-    ("C2", "chedraui", PREV, 100, 180, 90, 90),
-    ("C3", "chedraui", PREV, 200, 100, 180, 180),
-    ("C4", "chedraui", PREV, 200, 120, 180, 180),
-    ("C5", "chedraui", PREV, 100, 100, 100, 20),
-    ("C6", "chedraui", PREV, 100, 100, 100, 40),
-    ("C7", "chedraui", PREV, 100, 100, 90, 90),
-    ("S1", "superaki", PREV, 100, 300, 90, 90),
-    ("S2", "superaki", PREV, 100, 150, 90, 90),
-    ("S3", "superaki", PREV, 200, 100, 180, 90),
-    ("D_C1", "chedraui", HIST, 1000, 1000, 1000, 100),
-    ("D_C2", "chedraui", HIST, 500, 500, 500, 80),
-    ("D_S1", "superaki", HIST, 1000, 1000, 1000, 100),
+    ("C1", "store_a", PREV, 100, 200, 90, 90),
+    ("C2", "store_a", PREV, 100, 180, 90, 90),
+    ("C3", "store_a", PREV, 200, 100, 180, 180),
+    ("C4", "store_a", PREV, 200, 120, 180, 180),
+    ("C5", "store_a", PREV, 100, 100, 100, 20),
+    ("C6", "store_a", PREV, 100, 100, 100, 40),
+    ("C7", "store_a", PREV, 100, 100, 90, 90),
+    ("S1", "store_b", PREV, 100, 300, 90, 90),
+    ("S2", "store_b", PREV, 100, 150, 90, 90),
+    ("S3", "store_b", PREV, 200, 100, 180, 90),
+    ("D_C1", "store_a", HIST, 1000, 1000, 1000, 100),
+    ("D_C2", "store_a", HIST, 500, 500, 500, 80),
+    ("D_S1", "store_b", HIST, 1000, 1000, 1000, 100),
 ]
 
 SEED_SCHEMA = ("product_id string, store string, name string, brand string, link string, image string, "

@@ -26,27 +26,27 @@ def test_price_changes_lag_equals_join(seed):
 
 def test_increases(seed):
     got = winners(ops.list_price_increases(ops.price_changes(seed)), "pct_increase")
-    assert got == {("chedraui", "C1", 100.0, 1), ("chedraui", "C2", 80.0, 2),
-                   ("superaki", "S1", 200.0, 1), ("superaki", "S2", 50.0, 2)}
+    assert got == {("store_a", "C1", 100.0, 1), ("store_a", "C2", 80.0, 2),
+                   ("store_b", "S1", 200.0, 1), ("store_b", "S2", 50.0, 2)}
 
 
 def test_decreases(seed):
     got = winners(ops.list_price_decreases(ops.price_changes(seed)), "pct_decrease")
-    assert got == {("chedraui", "C3", 50.0, 1), ("chedraui", "C4", 40.0, 2), ("superaki", "S3", 50.0, 1)}
+    assert got == {("store_a", "C3", 50.0, 1), ("store_a", "C4", 40.0, 2), ("store_b", "S3", 50.0, 1)}
 
 
 def test_discounts(seed):
     got = winners(ops.discounts(ops.price_changes(seed)), "pct_decrease")
-    assert got == {("chedraui", "C5", 80.0, 1), ("chedraui", "C6", 60.0, 2), ("superaki", "S3", 50.0, 1)}
+    assert got == {("store_a", "C5", 80.0, 1), ("store_a", "C6", 60.0, 2), ("store_b", "S3", 50.0, 1)}
 
 
 def test_avg_deals(seed):
     rows = ops.avg_deals_30d(seed).collect()
     got = {(r.store, r.product_id, r.avg_price_30d, r.current_price, r.pct_discount, r["rank"]) for r in rows}
     assert got == {
-        ("chedraui", "D_C1", 1000.0, 100.0, 90.0, 1), ("chedraui", "D_C2", 500.0, 80.0, 84.0, 2),
-        ("chedraui", "C5", 100.0, 20.0, 80.0, 3), ("chedraui", "C6", 100.0, 40.0, 60.0, 4),
-        ("superaki", "D_S1", 1000.0, 100.0, 90.0, 1), ("superaki", "S3", 180.0, 90.0, 50.0, 2),
+        ("store_a", "D_C1", 1000.0, 100.0, 90.0, 1), ("store_a", "D_C2", 500.0, 80.0, 84.0, 2),
+        ("store_a", "C5", 100.0, 20.0, 80.0, 3), ("store_a", "C6", 100.0, 40.0, 60.0, 4),
+        ("store_b", "D_S1", 1000.0, 100.0, 90.0, 1), ("store_b", "S3", 180.0, 90.0, 50.0, 2),
     }
 
 
@@ -75,8 +75,8 @@ def test_histories_single_scan(seed):
 
 def test_thirty_one_days_is_outside(spark):
     import datetime as dt
-    rows = seed_rows([("OLD", "chedraui", "o", "b", "l", "i", True, dt.date(2026, 3, 7), 500.0, 500.0),
-                      ("OLD", "chedraui", "o", "b", "l", "i", True, LATEST, 100.0, 100.0)])
+    rows = seed_rows([("OLD", "store_a", "o", "b", "l", "i", True, dt.date(2026, 3, 7), 500.0, 500.0),
+                      ("OLD", "store_a", "o", "b", "l", "i", True, LATEST, 100.0, 100.0)])
     df = spark.createDataFrame(rows, SEED_SCHEMA)
     assert "OLD" not in {r.product_id for r in ops.avg_deals_30d(df).collect()}
 

@@ -94,3 +94,13 @@ def test_csv_roundtrip(spark, tmp_root, seed):
 def test_materialise(spark, tmp_root, seed):
     pc = P.materialise(ops.price_changes(seed), os.path.join(tmp_root, "pc"))
     assert pc.count() == 9
+
+
+def test_snapshot_dates_from_layout(spark, tmp_root):
+    root = os.path.join(tmp_root, "products")
+    d2 = dt.date(2026, 4, 20)
+    P.write_products(spark.createDataFrame([row("p1", 1.0), row("p1", 2.0, d=d2)], PRODUCTS_STORED), root)
+    assert P.snapshot_dates(spark, root) == [d2, D]
+    assert P.snapshot_dates(spark, root, 1) == [d2]
+    assert P.snapshot_dates(spark, os.path.join(tmp_root, "missing")) == []
+    assert ops.latest_dates(P.read_products(spark, root), 2) == [d2, D]
