@@ -80,6 +80,7 @@ def _panel_queries(panel: str, suffix: str) -> dict[str, Callable[[SparkSession,
         add(rep, lambda s, d, rep=rep: _report(_products(s, d, panel), rep))
         add(HISTORY_NAMES[rep], lambda s, d, rep=rep: ops.history(
             _report(_products(s, d, panel), rep), _products(s, d, panel)))
+    add("report_stores", lambda s, d: ops.report_stores(_report(_products(s, d, panel), "discounts")))
     add("dashboard_feed", lambda s, d: ops.dashboard_feed(
         _all_reports(_products(s, d, panel)), _products(s, d, panel)))
     return q
@@ -92,6 +93,7 @@ def _panel_oracles(panel: str, suffix: str) -> dict[str, str]:
         "price_changes": O.price_changes_sql(p),
         "avg_price_30d": O.avg_price_30d_sql(p),
         "dashboard_feed": O.feed_sql(p),
+        "report_stores": O.report_stores_sql(p, "discounts"),
     }
     for rep in REPORTS:
         o[rep] = O.report_sql(p, rep)

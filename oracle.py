@@ -197,6 +197,11 @@ def report_sql(panel: str, report: str) -> str:
     return with_ctes(panel, *ctes) + f"\nSELECT * FROM {name} ORDER BY store, rank"
 
 
+def report_stores_sql(panel: str, report: str) -> str:
+    name, ctes = REPORT_CTES[report]
+    return with_ctes(panel, *ctes) + f"\nSELECT DISTINCT store FROM {name} ORDER BY store"
+
+
 def history_sql(panel: str, report: str) -> str:
     name, ctes = REPORT_CTES[report]
     return with_ctes(panel, *ctes) + f"""

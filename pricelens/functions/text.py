@@ -59,9 +59,25 @@ def link_or_hash(x) -> Column:
     return F.coalesce(_col(x), F.lit("#"))
 
 
+def stamp_date(df, scrape_date=None):
+    """add the snapshot date as a column (a job parameter; today when not given)."""
+    d = F.current_date() if scrape_date is None else F.lit(scrape_date).cast("date")
+    return df.withColumn("scrape_date", d)
+
+
 def format_pct(x) -> Column:
     return F.format_string("%.1f", _col(x))
 
 
 def format_money(x) -> Column:
     return F.format_string("%.2f", _col(x))
+
+
+def change_label(is_increase, pct, before, after) -> Column:
+    """Display text of a report row: '<arrow> 12.3%  ($10.00 -> $11.23)'.
+
+    Formatting only; the arrow is an up triangle for increases, a down
+    triangle otherwise.
+    """
+    arrow = F.when(_col(is_increase), F.lit("\u25b2")).otherwise(F.lit("\u25bc"))
+    return F.format_string("%s %.1f%%  ($%.2f \u2192 $%.2f)", arrow, _col(pct), _col(before), _col(after))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.functions import escape_html, image_or_placeholder, link_or_hash
+from pricelens.functions import change_label, escape_html, image_or_placeholder, link_or_hash
 from pricelens.operators.history import KEY, REPORT_TABS
 from pricelens.operators.joins import join_checked, materialise_small
 from pricelens.schemas import HISTORY_COLUMNS
@@ -32,6 +32,16 @@ def report_entries(reports: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def report_stores(report: DataFrame) -> DataFrame:
+    """The distinct stores of a report, sorted (one tab section per store)."""
+    return report.select("store").distinct().orderBy("store")
+
+
+def with_labels(entries: DataFrame) -> DataFrame:
+    """add the display text of each report entry."""
+    return entries.withColumn("label", change_label("is_increase", "pct_change", "before", "after"))
+
+
 def dashboard_feed(reports: dict[str, DataFrame], products: DataFrame) -> DataFrame:
     """Report rows x their history points (flat; one row per plotted point).
 

@@ -136,3 +136,21 @@ def test_feed(seed):
     assert feed.count() == 8 + 6 + 6 + 12
     tabs = {r.tab for r in feed.collect()}
     assert tabs == {"list_increase", "list_decrease", "price_decrease", "best_deals"}
+
+
+def test_report_stores_and_labels(seed):
+    pc = ops.price_changes(seed)
+    assert [r.store for r in ops.report_stores(ops.discounts(pc)).collect()] == ["store_a", "store_b"]
+    entries = ops.with_labels(ops.report_entries({"list_price_increases": ops.list_price_increases(pc)}))
+    labels = {r.product_id: r.label for r in entries.collect()}
+    assert labels["C1"] == "▲ 100.0%  ($100.00 → $200.00)"
+
+
+def test_stamp_date_and_maincatid(spark):
+    import datetime as dt
+
+    from pricelens.functions import stamp_date
+    from pricelens.sources.products import with_maincatid
+    df = spark.createDataFrame([("/12/34/56/",)], "category_path string")
+    r = with_maincatid(stamp_date(df, "2026-04-13")).collect()[0]
+    assert r.maincatid == "12" and r.scrape_date == dt.date(2026, 4, 13)
