@@ -206,7 +206,28 @@ def register_table(spark: SparkSession, name: str, root: str) -> None:
 
 
 def refresh_table(spark: SparkSession, name: str) -> None:
-    """Drop stale partitions and add the ones present on storage."""
+    """Make the catalog list exactly the partitions present on storage.
+
+    Partitions whose directory is gone are dropped (one existence check
+    per catalogued partition, on the driver, like any partition listing),
+    then directories not yet catalogued are added and cached file lists
+    are invalidated.
+    """
+    try:
+        listed = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    except Exception:  # table not partition-managed by this catalog
+        listed = []
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    if listed and loc is not None:
+        jvm = spark._jvm
+        root = loc[1]
+        fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        for spec in listed:
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "/" + spec)):
+                kv = [p.split("=", 1) for p in spec.split("/")]
+                unesc = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+                cond = ", ".join(f"{k} = '{unesc(v)}'" for k, v in kv)
+                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({cond})")
     spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 

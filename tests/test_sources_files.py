@@ -52,4 +52,8 @@ def test_catalog_table_refresh(spark, tmp_root):
     P.write_products(spark.createDataFrame([r2], PRODUCTS_STORED), root)
     P.refresh_table(spark, "products_tbl")
     assert spark.table("products_tbl").count() == 2
+    import shutil
+    shutil.rmtree(os.path.join(root, "scrape_date=2026-04-13"))
+    P.refresh_table(spark, "products_tbl")
+    assert [r.product_id for r in spark.table("products_tbl").collect()] == ["p2"]
     spark.sql("DROP TABLE products_tbl")
