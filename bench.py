@@ -56,18 +56,19 @@ def main() -> None:
 
     timed("ingest_weekly", lambda: P.write_products(panels.panel_b(spark, sf_dir), root))
     products = P.read_products(spark, root)
-    timed("price_changes", lambda: run(ops.price_changes(products)))
-    pc = ops.price_changes(products)
+    dates = P.snapshot_dates(spark, root, 2)      # directory listing, no job
+    timed("price_changes", lambda: run(ops.price_changes(products, dates)))
+    pc = ops.price_changes(products, dates)
     timed("list_price_increases", lambda: run(ops.list_price_increases(pc)))
     timed("list_price_decreases", lambda: run(ops.list_price_decreases(pc)))
     timed("discounts", lambda: run(ops.discounts(pc)))
-    timed("avg_deals_30d", lambda: run(ops.avg_deals_30d(products)))
+    timed("avg_deals_30d", lambda: run(ops.avg_deals_30d(products, latest=dates[0])))
 
     def four_histories():
         reports = {"list_price_increases": ops.list_price_increases(pc),
                    "list_price_decreases": ops.list_price_decreases(pc),
                    "discounts": ops.discounts(pc),
-                   "avg_deals_30d": ops.avg_deals_30d(products)}
+                   "avg_deals_30d": ops.avg_deals_30d(products, latest=dates[0])}
         run(ops.dashboard_feed(reports, products))
 
     timed("dashboard_feed", four_histories)

@@ -5,14 +5,14 @@ then changes report membership.  Both are therefore written as explicit
 formulas that evaluate identically in any IEEE-754 engine:
 
 * ``round2(x)``    = floor(x * 100 + 0.5) / 100   (half-up for x >= 0)
-* ``exact_avg(x)`` = sum over decimal(18,4), then / count(x)
+* ``exact_avg(x)`` = (sum of whole ten-thousandths) / 10000 / count(x)
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the decimal type used to sum prices exactly.
-PRICE_DECIMAL = "decimal(18,4)"
+# Fixed value: prices are summed exactly in units of 1/10000.
+PRICE_UNITS = 10000
 
 
 def _col(c):
@@ -25,13 +25,16 @@ def round2(x) -> Column:
 
 
 def exact_avg(x) -> Column:
-    """Average of a price column, exact up to 4 decimals; NULLs ignored.
+    """Average of a price column, exact for prices with up to 4 decimals; NULLs ignored.
 
-    An aggregate expression: the decimal sum keeps a fixed-width buffer,
-    so the plan stays a (partial + final) HashAggregate.
+    Each price becomes a whole number of ten-thousandths (a long), so the
+    sum is exact and independent of row order, and the aggregate buffer
+    is a fixed-width long: a (partial + final) HashAggregate without
+    BigDecimal arithmetic.
     """
     c = _col(x)
-    return F.sum(c.cast(PRICE_DECIMAL)).cast("double") / F.count(c)
+    units = F.floor(c * PRICE_UNITS + 0.5)
+    return F.sum(units) / PRICE_UNITS / F.count(c)
 
 
 def pct_change(cur, prev) -> Column:
