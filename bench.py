@@ -28,6 +28,7 @@ from pricelens.sources import html as H  # noqa: E402
 from pricelens.sources import normalise as N  # noqa: E402
 from pricelens.sources import products as P  # noqa: E402
 from pricelens.sources.sitemap import url_hierarchy  # noqa: E402
+from pricelens.streaming.refresh_stream import land, stream_refresh  # noqa: E402
 
 
 def run(df) -> None:
@@ -77,6 +78,16 @@ def main() -> None:
     timed("daily_price_changes", lambda: run(ops.price_changes(daily)))
     timed("daily_avg_deals_30d", lambda: run(ops.avg_deals_30d(daily)))
 
+    daily_root = work_path(spark, "bench", uuid.uuid4().hex, "daily")
+    P.write_products(panels.panel_a(spark, sf_dir, pick="first"), daily_root)
+    timed("upsert_daily", lambda: P.upsert_products(daily, daily_root))
+    landing = work_path(spark, "bench", uuid.uuid4().hex, "landing")
+    land(panels.panel_a(spark, sf_dir, pick="first").withColumn("ingest_seq", F.lit(1).cast("long")), landing)
+    land(daily.withColumn("ingest_seq", F.lit(2).cast("long")), landing)
+    timed("stream_refresh", lambda: stream_refresh(
+        spark, landing, work_path(spark, "bench", uuid.uuid4().hex, "streamed"),
+        work_path(spark, "bench", uuid.uuid4().hex, "ckpt")))
+
     def catalog_a():
         docs = N.parse_json(compose.catalog_a_docs(spark, sf_dir), "json", N.CATALOG_A_PRODUCT)
         sims = N.simulated_prices(N.parse_json(compose.simulation_docs(spark, sf_dir), "json",

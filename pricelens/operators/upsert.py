@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_latest(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+def dedup_latest(df: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per ``key``: the row with the greatest ``order`` tuple wins.
 
+    Without ``order`` the greatest tuple of all non-key columns wins, which
+    is arbitrary but deterministic (identical duplicates collapse).
+
     Written as ``max_by`` in a grouped aggregate rather than a
     ``row_number`` window: the aggregate runs partially in every map task,
     so a key repeated across a third of the input collapses to one row per
     task before the shuffle.  ``order`` should be unique within a key.
     """
     value_cols = [c for c in df.columns if c not in key]
+    if not order:
+        packed = df.groupBy(*key).agg(F.max(F.struct(*value_cols)).alias("_row"))
+        return packed.select(*key, "_row.*").select(*df.columns)
     packed = (df.groupBy(*key)
               .agg(F.max_by(F.struct(*value_cols), F.struct(*order)).alias("_row")))
     return packed.select(*key, "_row.*").select(*df.columns)

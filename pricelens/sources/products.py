@@ -72,18 +72,28 @@ def with_maincatid(df: DataFrame, path_col: str = "category_path") -> DataFrame:
 
 # --- S5 / S8: partitioned write ------------------------------------------------
 
-def write_products(df: DataFrame, root: str) -> None:
+def write_products(df: DataFrame, root: str, order: list[str] | None = None,
+                   unique: bool = True) -> None:
     """Replace exactly the (scrape_date, store, maincatid) partitions present in ``df``.
 
-    Dynamic partition overwrite: partitions not in ``df`` are untouched and
-    an empty ``df`` changes nothing.  The ``rebalance`` hint lets AQE cut
-    a hot partition (one store/day can hold a third of all rows) into
-    several evenly sized files and merge tiny ones, instead of one task
-    per partition value.
+    * The key (product_id, store, scrape_date) is made unique first
+      (``dedup_latest``: greatest ``order`` wins, else a deterministic
+      pick), because a product listed under two categories on one day
+      would otherwise be stored twice and double-count in every
+      comparison.  ``unique=False`` skips it for input known to be keyed.
+    * Dynamic partition overwrite: partitions not in ``df`` are untouched
+      and an empty ``df`` changes nothing.
+    * The ``rebalance`` hint lets AQE cut a hot partition (one store/day
+      can hold a third of all rows) into several evenly sized files and
+      merge tiny ones, instead of one task per partition value.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (conform(df).hint("rebalance", *PARTITION_COLUMNS)
+    rows = conform(df, keep=order)
+    if unique:
+        rows = dedup_latest(rows, PRODUCT_KEY, order)
+    rows = rows.select(*PRODUCT_COLUMNS, "maincatid") if "maincatid" in rows.columns else rows
+    (rows.hint("rebalance", *PARTITION_COLUMNS)
      .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(root))
 
 
@@ -169,7 +179,7 @@ def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None)
     merged.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
     new_keys = [tuple(r) for r in staged.select(*PARTITION_COLUMNS).distinct().collect()]
-    write_products(staged, root)
+    write_products(staged, root, unique=False)
     _delete_partitions(spark, root, set(old_keys) - set(new_keys))
     _delete_path(spark, staging)
     return new_keys

@@ -104,3 +104,11 @@ def test_snapshot_dates_from_layout(spark, tmp_root):
     assert P.snapshot_dates(spark, root, 1) == [d2]
     assert P.snapshot_dates(spark, os.path.join(tmp_root, "missing")) == []
     assert ops.latest_dates(P.read_products(spark, root), 2) == [d2, D]
+
+
+def test_write_keeps_key_unique(spark, tmp_root):
+    root = os.path.join(tmp_root, "products")
+    dup = [row("p1", 1.0, maincatid="m1"), row("p1", 1.0, maincatid="m2"), row("p2", 2.0)]
+    P.write_products(spark.createDataFrame(dup, PRODUCTS_STORED), root)
+    got = sorted((r.product_id, r.maincatid) for r in P.read_products(spark, root).collect())
+    assert got == [("p1", "m2"), ("p2", "m1")]
