@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions import exact_avg, round2
 from pricelens.operators.dates import latest_date
+from pricelens.operators.joins import join_checked, materialise_small
 from pricelens.operators.topk import top_k_per_group
 from pricelens.schemas import (
     DEALS_COLUMNS, DECREASES_COLUMNS, DISCOUNTS_COLUMNS, INCREASES_COLUMNS,
@@ -87,8 +88,16 @@ def avg_deals_30d(products: DataFrame, k: int = DEFAULT_K, days: int = 30,
     """Products priced furthest below their trailing ``days``-day average, per store.
 
     The average is rounded before it is compared, ranked and turned into
-    a percentage.  The join reuses the aggregate's hash partitioning on
-    (product_id, store), so only the latest snapshot is shuffled for it.
+    a percentage.  Plan, narrow first:
+
+    1. latest snapshot (available rows) projected to (product_id, store,
+       price) joins the aggregate on (product_id, store); the aggregate's
+       hash partitioning is reused, so only narrow latest rows shuffle;
+    2. top k per store (partial ``WindowGroupLimit`` before the shuffle),
+       materialised: at most k rows per store;
+    3. the wide display columns (name, brand, link, image) are fetched for
+       those winners only, by a size-checked broadcast join over a
+       streamed scan of the latest snapshot (no shuffle of text columns).
     """
     if latest is None:
         latest = latest_date(products)
@@ -100,12 +109,18 @@ def avg_deals_30d(products: DataFrame, k: int = DEFAULT_K, days: int = 30,
     else:
         cur = cur.where((F.col("scrape_date") == F.lit(latest)) & F.col("is_available"))
     gap = (F.col("avg_price_30d") - F.col("price")) / F.col("avg_price_30d")
-    df = (cur.join(avg, ["product_id", "store"])
-          .where((F.col("avg_price_30d") > 0) & (F.col("price") < F.col("avg_price_30d")))
-          .withColumns({
-              "current_price": F.col("price"),
-              "pct_discount": round2((F.col("avg_price_30d") - F.col("price"))
-                                     / F.col("avg_price_30d") * 100),
-              "_gap": gap,
-          }))
-    return _ranked(df, [F.col("_gap").desc()], k, DEALS_COLUMNS)
+    cand = (cur.select("product_id", "store", "price").join(avg, ["product_id", "store"])
+            .where((F.col("avg_price_30d") > 0) & (F.col("price") < F.col("avg_price_30d")))
+            .withColumns({
+                "current_price": F.col("price"),
+                "pct_discount": round2((F.col("avg_price_30d") - F.col("price"))
+                                       / F.col("avg_price_30d") * 100),
+                "_gap": gap,
+            }))
+    top = materialise_small(top_k_per_group(cand, "store", [F.col("_gap").desc()], k,
+                                            tie_break=TIE_BREAK)
+                            .select("product_id", "store", "current_price", "avg_price_30d",
+                                    "pct_discount", "rank"))
+    wide = cur.select("product_id", "store", "name", "brand", "link", "image")
+    return (join_checked(wide, top, ["product_id", "store"], "inner", materialised=True)
+            .select(*DEALS_COLUMNS).orderBy("store", "rank"))
