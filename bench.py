@@ -40,6 +40,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", max(8, 2 * cpus), app_name="pricelens-bench")
     spark.sparkContext.setLogLevel("ERROR")
+    # Local-scale sizing: inputs here are a few MB, so let AQE keep partitions down to 256 KB
+    # (default 1 MB) -- otherwise every stage, including the partitioned writers, collapses
+    # into one serial task.  On a cluster the defaults apply.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     root = work_path(spark, "bench", uuid.uuid4().hex, "products")

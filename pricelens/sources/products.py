@@ -107,6 +107,26 @@ def _touched(spark: SparkSession, df: DataFrame, pairs: list[tuple]) -> DataFram
     return pruned.join(F.broadcast(keys), ["scrape_date", "store"], "left_semi")
 
 
+def _listed_partitions(spark: SparkSession, root: str, pairs: list[tuple]) -> list[tuple]:
+    """(scrape_date, store, maincatid) directories under the given pairs (one listing per pair)."""
+    jvm = spark._jvm
+    esc = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    unesc = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for d, s in pairs:
+        store_dir = "__HIVE_DEFAULT_PARTITION__" if s is None else esc(str(s))
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/scrape_date={d}/store={store_dir}")
+        if not fs.exists(path):
+            continue
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("maincatid="):
+                m = unesc(name.split("=", 1)[1])
+                out.append((d, s, None if m == "__HIVE_DEFAULT_PARTITION__" else m))
+    return out
+
+
 def snapshot_dates(spark: SparkSession, root: str, n: int | None = None) -> list:
     """Snapshot dates present in the table, newest first, from the directory layout.
 
@@ -170,7 +190,7 @@ def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None)
     old_keys: list[tuple] = []
     if table_exists(spark, root):
         existing = _touched(spark, read_products(spark, root), pairs)
-        old_keys = [tuple(r) for r in existing.select(*PARTITION_COLUMNS).distinct().collect()]
+        old_keys = _listed_partitions(spark, root, pairs)
         null_order = F.struct(F.lit(0).alias("_src"),
                               *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order])
         merged_in = existing.withColumn("_order", null_order).select(*cols, "_order").unionByName(merged_in)
