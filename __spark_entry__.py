@@ -146,6 +146,15 @@ def _stream(s: SparkSession, d: str) -> DataFrame:
     return ops.price_changes(P.read_products(s, root))
 
 
+def _bucketed_changes(s: SparkSession, d: str) -> DataFrame:
+    """Weekly panel stored in a product_id-bucketed catalog table, then price_changes on it."""
+    import uuid
+    name = f"products_bucketed_{uuid.uuid4().hex[:12]}"
+    P.create_bucketed_table(s, name, _scratch(s, "bucketed"), 4)
+    P.write_bucketed(_products(s, d, "weekly"), name)
+    return ops.price_changes(P.read_bucketed(s, name))
+
+
 def _refresh_feed(s: SparkSession, d: str) -> DataFrame:
     root = _scratch(s, "products")
     P.write_products(_products(s, d, "weekly"), root)
@@ -201,6 +210,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["price_changes_materialised_weekly"] = _materialised_changes
     q["stream_refresh"] = _stream
     q["refresh_feed_weekly"] = _refresh_feed
+    q["price_changes_bucketed_weekly"] = _bucketed_changes
     q["catalog_a"] = lambda s, d: _catalog_a(s, d, sim=False)
     q["price_override"] = lambda s, d: _catalog_a(s, d, sim=True)
     q["catalog_b"] = _catalog_b
@@ -234,6 +244,7 @@ def oracle_sql() -> dict[str, str]:
     o["price_changes_materialised_weekly"] = O.price_changes_sql(O.PANEL_B)
     o["stream_refresh"] = O.price_changes_sql(O.PANEL_A)
     o["refresh_feed_weekly"] = O.feed_sql(O.PANEL_B)
+    o["price_changes_bucketed_weekly"] = O.price_changes_sql(O.PANEL_B)
     o["catalog_a"] = O.catalog_a_sql()
     o["price_override"] = O.price_override_sql()
     o["catalog_b"] = O.catalog_b_sql()

@@ -301,3 +301,40 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
 
 def fresh_work_dir(spark: SparkSession, name: str) -> str:
     return work_path(spark, name, uuid.uuid4().hex)
+
+
+# --- optional layout: catalog table bucketed by product_id ------------------------------
+
+BUCKET_COLUMN = "product_id"
+
+
+def create_bucketed_table(spark: SparkSession, name: str, root: str, buckets: int) -> None:
+    """S3 for a catalog table: partitioned like the path layout and bucketed by product_id.
+
+    Bucketing co-locates every snapshot of a product in the same bucket
+    number, so ``price_changes`` (join on product_id, store) and the
+    30-day aggregate (group by product_id, store) read buckets in place
+    instead of shuffling.  Spark does not allow a partition column
+    (store) as a bucket column, hence product_id alone.
+    """
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PRODUCTS_STORED.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) "
+              f"CLUSTERED BY ({BUCKET_COLUMN}) INTO {buckets} BUCKETS LOCATION '{root}'")
+
+
+def write_bucketed(df: DataFrame, name: str, order: list[str] | None = None) -> None:
+    """Dynamic-overwrite the partitions present in ``df`` into the bucketed table (key unique)."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = dedup_latest(conform(df, keep=order), PRODUCT_KEY, order)
+    table_cols = spark.table(name).columns
+    rows.select(*table_cols).hint("rebalance", *PARTITION_COLUMNS).write.insertInto(name, overwrite=True)
+
+
+def read_bucketed(spark: SparkSession, name: str) -> DataFrame:
+    """Scan the bucketed table; joins and aggregates keyed on (product_id, store) may
+    reuse its product_id bucketing (all our keys contain product_id, which has high
+    cardinality, so reusing that partitioning cannot collapse work into few tasks)."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return spark.table(name).select(*PRODUCT_COLUMNS, "maincatid")

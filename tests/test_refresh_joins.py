@@ -55,3 +55,25 @@ def test_report_history_semi_join(spark, tmp_root):
     prod = stored_seed(spark, os.path.join(tmp_root, "products"))
     pc = ops.price_changes(prod)
     assert ops.history(ops.list_price_increases(pc), prod).count() == 8
+
+
+def test_bucketed_table_joins_without_exchange(spark, tmp_root):
+    name = "products_bucketed_test"
+    P.create_bucketed_table(spark, name, os.path.join(tmp_root, "bucketed"), 4)
+    df = spark.createDataFrame(seed_rows(), SEED_SCHEMA).withColumn("maincatid", F.lit("m"))
+    P.write_bucketed(df, name)
+    prod = P.read_bucketed(spark, name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        pc = ops.price_changes(prod)
+        assert pc.count() == 9
+        plan = _plan(pc)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        avg = ops.avg_price_30d(prod)
+        assert "Exchange" not in _plan(avg)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+        spark.sql(f"DROP TABLE {name}")
