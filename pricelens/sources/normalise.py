@@ -25,12 +25,36 @@ from pricelens.schemas import (
 
 # --- S14 / S15: landed JSON sources -----------------------------------------------
 
+CORRUPT = "_corrupt_record"
+
+
 def read_json(spark: SparkSession, path: str, schema, multiline: bool = False) -> DataFrame:
     """Landed payload files with a declared schema; malformed lines become NULL rows."""
     return (spark.read.schema(schema).option("multiLine", multiline)
             .option("mode", "PERMISSIVE").json(path))
 
 
+def read_json_checked(spark: SparkSession, path: str, schema,
+                      multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Landed payloads split into (documents, quarantine).
+
+    Lines that fail to parse do not stop the batch and do not vanish: they
+    go to the quarantine frame (file, raw text, fields parsed before the
+    error), the counterpart of
+    skip-and-log in a scraping loop.  The raw text is kept whole.
+    """
+    with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    raw = (spark.read.schema(with_bad).option("multiLine", multiline).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+           .withColumn("_file", F.input_file_name()))
+    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
+    # the fields parsed before the error are kept next to the raw text
+    bad = raw.where(F.col(CORRUPT).isNotNull()).select(
+        F.col("_file").alias("file"), F.col(CORRUPT).alias("raw"),
+        F.struct(*[F.col(f.name) for f in schema.fields]).alias("partial"))
+    return good, bad
+
+
 def parse_json(df: DataFrame, col: str, schema) -> DataFrame:
     """Parse a string column holding one payload document per row."""
     return df.withColumn("doc", F.from_json(F.col(col), schema)).drop(col)

@@ -57,3 +57,18 @@ def test_catalog_table_refresh(spark, tmp_root):
     P.refresh_table(spark, "products_tbl")
     assert [r.product_id for r in spark.table("products_tbl").collect()] == ["p2"]
     spark.sql("DROP TABLE products_tbl")
+
+
+def test_landed_json_quarantine(spark, tmp_root):
+    path = os.path.join(tmp_root, "landing_q")
+    os.makedirs(path)
+    good_page = {"totalCount": 1, "products": [{"id": 7, "productData": {"name": "y", "availability": "1"}}]}
+    with open(os.path.join(path, "p1.json"), "w") as f:
+        f.write(json.dumps(good_page) + "\n")
+        f.write('{"totalCount": 2, "products": [broken\n')
+    good, bad = N.read_json_checked(spark, path, CATALOG_B_PAGE)
+    rows = N.catalog_b_rows(good.selectExpr("struct(*) AS doc"), "sb").collect()
+    assert [(r.product_id, r.is_available) for r in rows] == [("7", True)]
+    quarantined = bad.collect()
+    assert len(quarantined) == 1 and quarantined[0].raw.startswith('{"totalCount": 2')
+    assert quarantined[0].file.endswith("p1.json")
