@@ -317,6 +317,8 @@ def create_bucketed_table(spark: SparkSession, name: str, root: str, buckets: in
     instead of shuffling.  Spark does not allow a partition column
     (store) as a bucket column, hence product_id alone.
     """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PRODUCTS_STORED.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) "
