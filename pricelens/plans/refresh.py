@@ -55,7 +55,10 @@ def refresh(spark: SparkSession, root: str, out: str, k: int = 20, csv: bool = T
     with ThreadPoolExecutor(max_workers=len(REPORT_NAMES)) as pool:
         reports = dict(pool.map(run, REPORT_NAMES))
     hist_path = _join(out, "histories")
-    ops.histories(reports, products).write.mode("overwrite").partitionBy("report").parquet(hist_path)
+    # static overwrite: the whole histories table is replaced, so a report that is empty
+    # this run leaves no stale partition behind (the session default is dynamic)
+    (ops.histories(reports, products).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("report").parquet(hist_path))
     hist = spark.read.parquet(hist_path)
     entries = ops.report_entries(reports)
     feed = (entries.join(hist, ["report", "product_id", "store"], "left").drop("report")

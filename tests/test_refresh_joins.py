@@ -77,3 +77,17 @@ def test_bucketed_table_joins_without_exchange(spark, tmp_root):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_refresh_replaces_stale_history(spark, tmp_root):
+    root, out = os.path.join(tmp_root, "products"), os.path.join(tmp_root, "out")
+    stored_seed(spark, root)
+    refresh(spark, root, out, csv=False)
+    # next week: nothing changed, so the three change reports are empty
+    import datetime as dt
+    latest = P.read_products(spark, root).where(F.col("scrape_date") == dt.date(2026, 4, 7))
+    P.write_products(latest.withColumn("scrape_date", F.lit(dt.date(2026, 4, 14))), root)
+    res = refresh(spark, root, out, csv=False)
+    assert res["price_changes"].count() == 0
+    reports = {r["report"] for r in res["histories"].select("report").distinct().collect()}
+    assert reports <= {"avg_deals_30d"}
