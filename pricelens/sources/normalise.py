@@ -41,7 +41,9 @@ def read_json_checked(spark: SparkSession, path: str, schema,
     Lines that fail to parse do not stop the batch and do not vanish: they
     go to the quarantine frame (file, raw text, fields parsed before the
     error), the counterpart of
-    skip-and-log in a scraping loop.  The raw text is kept whole.
+    skip-and-log in a scraping loop.  The raw text is kept whole.  Write
+    the quarantine frame out before counting it: Spark refuses a raw JSON
+    scan that needs only the corrupt-record column (e.g. a bare count).
     """
     with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(with_bad).option("multiLine", multiline).option("mode", "PERMISSIVE")

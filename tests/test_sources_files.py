@@ -72,3 +72,31 @@ def test_landed_json_quarantine(spark, tmp_root):
     quarantined = bad.collect()
     assert len(quarantined) == 1 and quarantined[0].raw.startswith('{"totalCount": 2')
     assert quarantined[0].file.endswith("p1.json")
+
+
+def test_cli_ingest_and_refresh(spark, tmp_root, capsys):
+    from pricelens.__main__ import main
+    landing = os.path.join(tmp_root, "cat_b")
+    os.makedirs(landing)
+
+    def page(price, offer):
+        return {"totalCount": 1, "products": [{
+            "id": 9, "productData": {"name": "p9", "brand": {"name": "B"}, "url": "/p/9", "availability": "true"},
+            "categories": [{"id": 31, "name": "Top"}],
+            "priceData": {"prices": [{"id": "PRICE", "value": {"centUnitAmount": price}},
+                                     {"id": "OFFER_PRICE", "value": {"centUnitAmount": offer}}]}}]}
+    root, out = os.path.join(tmp_root, "products"), os.path.join(tmp_root, "out")
+    for day, (price, offer) in (("2026-04-06", (10.0, 10.0)), ("2026-04-13", (12.0, 9.0))):
+        path = os.path.join(landing, day)
+        os.makedirs(path)
+        with open(os.path.join(path, "page.json"), "w") as f:
+            f.write(json.dumps(page(price, offer)) + "\n")
+            f.write("{truncated\n")
+        q = os.path.join(tmp_root, "quarantine", day)
+        assert main(["ingest", "catalog_b", path, root, "--store", "sb", "--date", day,
+                     "--quarantine", q]) == 0
+        assert spark.read.parquet(q).count() == 1
+    assert main(["refresh", root, out, "--no-csv"]) == 0
+    printed = capsys.readouterr().out
+    assert "'price_changes': 1" in printed and "'list_price_increases': 1" in printed
+    assert "'discounts': 1" in printed
