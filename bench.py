@@ -38,7 +38,8 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(f"local[{cpus}]", max(8, 2 * cpus), app_name="pricelens-bench")
+    spark = get_session(f"local[{cpus}]", max(8, 2 * cpus), app_name="pricelens-bench",
+                        driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
     # Local-scale sizing: inputs here are a few MB, so let AQE keep partitions down to 256 KB
     # (default 1 MB) -- otherwise every stage, including the partitioned writers, collapses

@@ -50,8 +50,9 @@ def dashboard_feed(reports: dict[str, DataFrame], products: DataFrame) -> DataFr
     ordered by (tab, store, rank, scrape_date).
     """
     entries = materialise_small(report_entries(reports))
+    # keys come from the already materialised entries: no second checkpoint needed
     keys = entries.select("report", *KEY).distinct()
-    hist = join_checked(products.select(*HISTORY_COLUMNS), keys, KEY, "inner")
+    hist = join_checked(products.select(*HISTORY_COLUMNS), keys, KEY, "inner", materialised=True)
     return (entries.join(hist, ["report", *KEY], "left")
             .drop("report")
             .orderBy("tab", "store", "rank", "scrape_date"))

@@ -11,7 +11,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "pricelens") -> SparkSession:
+                app_name: str = "pricelens", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE, UTC dates and dynamic overwrite.
 
     On a cluster the master and checkpoint directory come from the
@@ -22,6 +22,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # only effective when this call starts the JVM (local runs); in local mode the
+        # driver heap is also the executors' heap
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = (
         builder
         .config("spark.sql.adaptive.enabled", "true")
