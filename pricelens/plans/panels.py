@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.schemas import PRODUCT_COLUMNS
 
 # Fixed values of panel B: first snapshot date, number of weekly snapshots.
 PANEL_B_START = "2026-01-06"
@@ -105,8 +104,3 @@ def panel_b(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("/p/"), pid).alias("link"),
         F.lower(F.col("p_type")).alias("maincatid"),
     )
-
-
-def products_only(panel: DataFrame) -> DataFrame:
-    """The 15 declared product columns (drops the storage key)."""
-    return panel.select(*PRODUCT_COLUMNS)

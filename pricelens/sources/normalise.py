@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pricelens.functions import fold_prices, lenient_bool
 from pricelens.operators.upsert import dedup_latest
 from pricelens.schemas import (
-    CATALOG_A_PRODUCT, CATALOG_B_PAGE, CATEGORIES, PRODUCT_COLUMNS, SIMULATION_A, TREE_A, TREE_B,
+    CATALOG_A_PRODUCT, CATALOG_B_PAGE, CATEGORIES, SIMULATION_A, TREE_A, TREE_B,
 )
 
 
@@ -240,9 +240,3 @@ def normalise(docs: DataFrame, fmt: str, store: str, json_col: str | None = None
     if json_col is not None:
         docs = parse_json(docs, json_col, schema)
     return fn(docs, store, **kw)
-
-
-def product_rows(df: DataFrame) -> DataFrame:
-    """Keep the declared product columns plus context (scrape_date / maincatid if present)."""
-    extra = [c for c in ("maincatid",) if c in df.columns]
-    return df.select(*PRODUCT_COLUMNS, *extra) if "scrape_date" in df.columns else df

@@ -299,10 +299,6 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def fresh_work_dir(spark: SparkSession, name: str) -> str:
-    return work_path(spark, name, uuid.uuid4().hex)
-
-
 # --- optional layout: catalog table bucketed by product_id ------------------------------
 
 BUCKET_COLUMN = "product_id"
