@@ -87,3 +87,12 @@ def test_tree_rows(spark):
     df = spark.createDataFrame([(json.dumps(tree_b),)], "json string")
     rows = {r.id: r for r in N.normalise(df, "tree_b", "sb", json_col="json", base_url="https://y/").collect()}
     assert rows["2"].link == "https://y/1/2/"
+
+
+def test_category_upsert_latest_document_wins(spark):
+    old = [{"id": "1", "name": "Old Name", "children": []}]
+    new = [{"id": "1", "name": "New Name", "children": [{"id": "2", "name": "Kid", "children": []}]}]
+    df = spark.createDataFrame([(1, json.dumps(old)), (2, json.dumps(new))], "seq long, json string")
+    rows = {r.id: r for r in N.normalise(df, "tree_a", "sa", json_col="json", base_url="https://x").collect()}
+    assert rows["1"].name == "New Name" and rows["1"].link == "https://x/New-Name"
+    assert rows["2"].parent_id == "1" and len(rows) == 2
