@@ -9,7 +9,7 @@ from pricelens.session import checkpoint_dir
 
 # Largest key set we ship to every executor (rows); beyond it the join
 # falls back to a shuffle join chosen by the planner / AQE.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def materialise_small(df: DataFrame) -> DataFrame:
