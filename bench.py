@@ -47,8 +47,9 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    root = work_path(spark, "bench", uuid.uuid4().hex, "products")
-    out = work_path(spark, "bench", uuid.uuid4().hex, "out")
+    run_dir = uuid.uuid4().hex          # every output of this run lives under bench/<run_dir>
+    root = work_path(spark, "bench", run_dir, "products")
+    out = work_path(spark, "bench", run_dir, "out")
     times: dict[str, float] = {}
     # untimed warm-up: JVM start, first codegen, file listing of the inputs
     for name in ("lineitem", "part", "events", "pages"):
@@ -83,15 +84,15 @@ def main() -> None:
     timed("daily_price_changes", lambda: run(ops.price_changes(daily)))
     timed("daily_avg_deals_30d", lambda: run(ops.avg_deals_30d(daily)))
 
-    daily_root = work_path(spark, "bench", uuid.uuid4().hex, "daily")
+    daily_root = work_path(spark, "bench", run_dir, "daily")
     P.write_products(panels.panel_a(spark, sf_dir, pick="first"), daily_root)
     timed("upsert_daily", lambda: P.upsert_products(daily, daily_root))
-    landing = work_path(spark, "bench", uuid.uuid4().hex, "landing")
+    landing = work_path(spark, "bench", run_dir, "landing")
     land(panels.panel_a(spark, sf_dir, pick="first").withColumn("ingest_seq", F.lit(1).cast("long")), landing)
     land(daily.withColumn("ingest_seq", F.lit(2).cast("long")), landing)
     timed("stream_refresh", lambda: stream_refresh(
-        spark, landing, work_path(spark, "bench", uuid.uuid4().hex, "streamed"),
-        work_path(spark, "bench", uuid.uuid4().hex, "ckpt")))
+        spark, landing, work_path(spark, "bench", run_dir, "streamed"),
+        work_path(spark, "bench", run_dir, "ckpt")))
 
     def catalog_a():
         docs = N.parse_json(compose.catalog_a_docs(spark, sf_dir), "json", N.CATALOG_A_PRODUCT)
@@ -109,6 +110,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_query_sec", "value": total, "unit": "sec",
                       "queries": times, "sf": sf}))
+    P._delete_path(spark, work_path(spark, "bench", run_dir))   # this run's scratch only
     spark.stop()
 
 
