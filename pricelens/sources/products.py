@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.functions import first_segment
-from pricelens.operators.upsert import dedup_latest
+from pricelens.operators.upsert import dedup_latest, unique_by_key
 from pricelens.schemas import (
     PARTITION_COLUMNS, PRODUCT_COLUMNS, PRODUCT_KEY, PRODUCTS, PRODUCTS_STORED,
 )
@@ -77,8 +77,8 @@ def write_products(df: DataFrame, root: str, order: list[str] | None = None,
     """Replace exactly the (scrape_date, store, maincatid) partitions present in ``df``.
 
     * The key (product_id, store, scrape_date) is made unique first
-      (``dedup_latest``: greatest ``order`` wins, else a deterministic
-      pick), because a product listed under two categories on one day
+      (``unique_by_key``: greatest ``order`` wins, else a deterministic
+      pick; only repeated keys pay for a wide shuffle), because a product listed under two categories on one day
       would otherwise be stored twice and double-count in every
       comparison.  ``unique=False`` skips it for input known to be keyed.
     * Dynamic partition overwrite: partitions not in ``df`` are untouched
@@ -91,7 +91,7 @@ def write_products(df: DataFrame, root: str, order: list[str] | None = None,
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     rows = conform(df, keep=order)
     if unique:
-        rows = dedup_latest(rows, PRODUCT_KEY, order)
+        rows = unique_by_key(rows, PRODUCT_KEY, order)
     rows = rows.select(*PRODUCT_COLUMNS, "maincatid") if "maincatid" in rows.columns else rows
     (rows.hint("rebalance", *PARTITION_COLUMNS)
      .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(root))

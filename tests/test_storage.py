@@ -112,3 +112,13 @@ def test_write_keeps_key_unique(spark, tmp_root):
     P.write_products(spark.createDataFrame(dup, PRODUCTS_STORED), root)
     got = sorted((r.product_id, r.maincatid) for r in P.read_products(spark, root).collect())
     assert got == [("p1", "m2"), ("p2", "m1")]
+
+
+def test_unique_by_key_equals_dedup_latest(spark):
+    from pricelens.operators.upsert import dedup_latest, unique_by_key
+    rows = [("a", 1, 1.0), ("a", 2, 5.0), ("b", 1, 2.0), (None, 1, 3.0), (None, 2, 4.0), ("c", 7, 7.0)]
+    df = spark.createDataFrame(rows, "k string, seq int, v double")
+    want = sorted(dedup_latest(df, ["k"], ["seq"]).collect(), key=str)
+    assert sorted(unique_by_key(df, ["k"], ["seq"]).collect(), key=str) == want
+    assert sorted(unique_by_key(df, ["k"], ["seq"], max_dup_keys=0).collect(), key=str) == want
+    assert sorted(r.v for r in want) == [2.0, 4.0, 5.0, 7.0]
