@@ -194,6 +194,7 @@ def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None)
         null_order = F.struct(F.lit(0).alias("_src"),
                               *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order])
         merged_in = existing.withColumn("_order", null_order).select(*cols, "_order").unionByName(merged_in)
+    # here repeated keys are the normal case (the batch updates stored rows): full dedup
     merged = dedup_latest(merged_in, PRODUCT_KEY, ["_order"]).drop("_order")
     staging = work_path(spark, "staging", f"upsert-{uuid.uuid4().hex}")
     merged.write.mode("overwrite").parquet(staging)
@@ -325,7 +326,7 @@ def write_bucketed(df: DataFrame, name: str, order: list[str] | None = None) ->
     """Dynamic-overwrite the partitions present in ``df`` into the bucketed table (key unique)."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows = dedup_latest(conform(df, keep=order), PRODUCT_KEY, order)
+    rows = unique_by_key(conform(df, keep=order), PRODUCT_KEY, order)
     table_cols = spark.table(name).columns
     rows.select(*table_cols).hint("rebalance", *PARTITION_COLUMNS).write.insertInto(name, overwrite=True)
 
