@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.functions import first_segment
+from pricelens.operators.joins import BROADCAST_MAX_ROWS
 from pricelens.operators.upsert import dedup_latest, unique_by_key
 from pricelens.schemas import (
     PARTITION_COLUMNS, PRODUCT_COLUMNS, PRODUCT_KEY, PRODUCTS, PRODUCTS_STORED,
@@ -164,8 +165,13 @@ def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None)
        by the number of partition directories, which the driver lists
        anyway); existing rows of those pairs are read with literal
        partition filters (pruned scan).
-    2. existing U batch is deduplicated on the key with ``dedup_latest``
-       (batch beats table; inside the batch the greatest ``order`` wins).
+    2. Batch beats table; inside the batch the greatest ``order`` wins.
+       The pass that lists the touched pairs also counts the batch.  A
+       small batch (count <= BROADCAST_MAX_ROWS) is deduplicated on its
+       own and stored rows survive through a null-safe broadcast anti join
+       on its keys, streamed without a shuffle (the usual incremental /
+       micro-batch case); a large batch and the stored rows go through one
+       keyed aggregate (``dedup_latest``), the least shuffle for it.
     3. The merge is written to a staging folder under the shared
        checkpoint directory, then dynamically overwrites the target:
        the plan that writes the table never reads the files it replaces,
@@ -179,23 +185,39 @@ def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None)
     new = conform(batch, keep=order)
     if "maincatid" not in new.columns:
         raise ValueError("batch needs a maincatid column (see with_maincatid)")
-    pairs = [(r[0], r[1]) for r in new.select("scrape_date", "store").distinct().collect()]
+    # one pass over the batch: touched (date, store) pairs and the batch's row count
+    counted = new.groupBy("scrape_date", "store").agg(F.count(F.lit(1)).alias("n")).collect()
+    pairs = [(r[0], r[1]) for r in counted]
+    batch_rows_n = sum(r[2] for r in counted)
     if not pairs:
         return []
-    seq = (F.struct(F.lit(1).alias("_src"), *[F.col(c) for c in order]) if order
-           else F.struct(F.lit(1).alias("_src")))
-    incoming = new.withColumn("_order", seq)
     cols = [*PRODUCT_COLUMNS, "maincatid"]
-    merged_in = incoming.select(*cols, "_order")
+    seq = F.struct(F.lit(1).alias("_src"), *[F.col(c) for c in order])
+    incoming = new.withColumn("_order", seq).select(*cols, "_order")
     old_keys: list[tuple] = []
-    if table_exists(spark, root):
+    if not table_exists(spark, root):
+        merged = dedup_latest(incoming, PRODUCT_KEY, ["_order"]).drop("_order")
+    else:
         existing = _touched(spark, read_products(spark, root), pairs)
         old_keys = _listed_partitions(spark, root, pairs)
-        null_order = F.struct(F.lit(0).alias("_src"),
-                              *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order])
-        merged_in = existing.withColumn("_order", null_order).select(*cols, "_order").unionByName(merged_in)
-    # here repeated keys are the normal case (the batch updates stored rows): full dedup
-    merged = dedup_latest(merged_in, PRODUCT_KEY, ["_order"]).drop("_order")
+        if batch_rows_n <= BROADCAST_MAX_ROWS:
+            # small batch (row count proven above): stored rows stream through a broadcast
+            # anti join on the batch's keys -- no shuffle of the stored partitions
+            bkeys = new.select(*[F.col(k).alias(f"_bk_{k}") for k in PRODUCT_KEY])
+            same = None
+            for k in PRODUCT_KEY:
+                c = F.col(k).eqNullSafe(F.col(f"_bk_{k}"))
+                same = c if same is None else same & c
+            survivors = existing.select(*cols).join(F.broadcast(bkeys), same, "left_anti")
+            merged = (dedup_latest(incoming, PRODUCT_KEY, ["_order"]).drop("_order")
+                      .unionByName(survivors))
+        else:
+            # large batch: one keyed aggregate over stored U batch (batch beats table)
+            stored = existing.withColumn("_order", F.struct(
+                F.lit(0).alias("_src"),
+                *[F.lit(None).cast(incoming.schema["_order"].dataType[c].dataType).alias(c) for c in order]))
+            merged = dedup_latest(stored.select(*cols, "_order").unionByName(incoming),
+                                  PRODUCT_KEY, ["_order"]).drop("_order")
     staging = work_path(spark, "staging", f"upsert-{uuid.uuid4().hex}")
     merged.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
