@@ -72,8 +72,8 @@ def _panel_queries(panel: str, suffix: str) -> dict[str, Callable[[SparkSession,
     def add(name, fn):
         q[name + suffix] = fn
 
-    add("latest_two_dates", lambda s, d: s.createDataFrame(
-        [(x,) for x in ops.latest_dates(_products(s, d, panel), 2)], "scrape_date date"))
+    add("latest_two_dates", lambda s, d: ops.distinct_dates(_products(s, d, panel))
+        .orderBy(F.col("scrape_date").desc()).limit(2))
     add("price_changes", lambda s, d: ops.price_changes(_products(s, d, panel)))
     add("avg_price_30d", lambda s, d: ops.avg_price_30d(_products(s, d, panel)))
     for rep in REPORTS:
