@@ -154,3 +154,12 @@ def test_stamp_date_and_maincatid(spark):
     df = spark.createDataFrame([("/12/34/56/",)], "category_path string")
     r = with_maincatid(stamp_date(df, "2026-04-13")).collect()[0]
     assert r.maincatid == "12" and r.scrape_date == dt.date(2026, 4, 13)
+
+
+def test_single_snapshot_gives_typed_empty_changes(spark):
+    rows = [r for r in seed_rows() if r[7] == LATEST]
+    df = spark.createDataFrame(rows, SEED_SCHEMA)
+    for method in ("join", "lag"):
+        pc = ops.price_changes(df, method=method)
+        assert pc.count() == 0 and "price_pct_change" in pc.columns
+    assert ops.list_price_increases(ops.price_changes(df)).count() == 0
