@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.operators.joins import materialise_small
+
 # Per report: (value that must be > 0, "before" column that must be set,
 # sign rule "after < before" or "after > before").
 _RULES = {
@@ -24,10 +26,13 @@ def report_violations(report: DataFrame, kind: str, k: int = 20) -> DataFrame:
 
     Checked: rank within 1..k, ranks 1..n without gap or repeat per store,
     positive percentage, a previous value present, and the sign of the
-    change.  Row rules are filters; the gap rule is one grouped aggregate
-    per store (partial aggregation, no window).
+    change.  The report is materialised once; row rules are filters, the
+    gap rule is one grouped aggregate per store (partial aggregation, no
+    window).
     """
     pct, before, after, sign = _RULES[kind]
+    # five checks read the report: compute it once (at most k rows per store)
+    report = materialise_small(report)
     moved = F.col(after) > F.col(before) if sign == ">" else F.col(after) < F.col(before)
     row_rules = {
         "rank_out_of_range": (F.col("rank") < 1) | (F.col("rank") > k),
