@@ -185,6 +185,16 @@ def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None)
     new = conform(batch, keep=order)
     if "maincatid" not in new.columns:
         raise ValueError("batch needs a maincatid column (see with_maincatid)")
+    # the batch is read up to three times (pairs, keys, merge): keep it for this call only;
+    # a lost executor recomputes its share from the batch's own lineage
+    new = new.persist()
+    try:
+        return _upsert(spark, new, root, order)
+    finally:
+        new.unpersist()
+
+
+def _upsert(spark: SparkSession, new: DataFrame, root: str, order: list[str]) -> list[tuple]:
     # one pass over the batch: touched (date, store) pairs and the batch's row count
     counted = new.groupBy("scrape_date", "store").agg(F.count(F.lit(1)).alias("n")).collect()
     pairs = [(r[0], r[1]) for r in counted]

@@ -37,13 +37,8 @@ def stream_refresh(spark: SparkSession, landing: str, root: str, checkpoint: str
     stream = reader.parquet(landing)
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        # the micro-batch is read twice by the upsert (touched partitions, then the merge);
-        # persisted for the batch only -- recomputable from the landed files if an executor dies
-        batch.persist()
-        try:
-            upsert_products(batch, root, order=["ingest_seq"])
-        finally:
-            batch.unpersist()
+        # upsert_products keeps the (conformed) micro-batch persisted while it reads it
+        upsert_products(batch, root, order=["ingest_seq"])
         if on_batch is not None:
             on_batch(batch.sparkSession, epoch)
 
