@@ -91,3 +91,26 @@ def test_refresh_replaces_stale_history(spark, tmp_root):
     assert res["price_changes"].count() == 0
     reports = {r["report"] for r in res["histories"].select("report").distinct().collect()}
     assert reports <= {"avg_deals_30d"}
+
+
+def test_report_csv_headers_match_published_order(spark, tmp_root):
+    import glob
+    root, out = os.path.join(tmp_root, "products"), os.path.join(tmp_root, "out")
+    stored_seed(spark, root)
+    refresh(spark, root, out)
+    expected = {
+        "list_price_increases": "name,product_id,brand,store,link,image,scrape_date,prev_list_price,"
+                                "current_list_price,price_increase,pct_increase,rank",
+        "list_price_decreases": "name,product_id,brand,is_available,store,link,image,scrape_date,"
+                                "prev_list_price,current_list_price,price_decrease,pct_decrease,rank",
+        "discounts": "name,product_id,brand,store,link,image,scrape_date,prev_price,current_price,"
+                     "price_decrease,pct_decrease,rank",
+        "avg_deals_30d": "name,product_id,brand,store,link,image,current_price,avg_price_30d,"
+                         "pct_discount,rank",
+        "discounts_history": "product_id,store,scrape_date,list_price,price",
+    }
+    for name, header in expected.items():
+        files = [f for f in glob.glob(os.path.join(out, "csv", name, "part-*.csv")) if os.path.getsize(f)]
+        assert files, name
+        with open(files[0]) as f:
+            assert f.readline().strip() == header, name
