@@ -65,8 +65,12 @@ def refresh(spark: SparkSession, root: str, out: str, k: int = 20, csv: bool = T
             .orderBy("tab", "store", "rank", "scrape_date"))
     feed = materialise(feed, _join(out, "feed"))
     if csv:
-        for name in REPORT_NAMES:
+        def history_csv(name: str) -> None:
             write_csv(hist.where(F.col("report") == name).drop("report")
                       .orderBy("product_id", "store", "scrape_date"),
                       _join(out, "csv", f"{name}_history"))
+
+        # independent small jobs (partition-pruned reads of one report each): run together
+        with ThreadPoolExecutor(max_workers=len(REPORT_NAMES)) as pool:
+            list(pool.map(history_csv, REPORT_NAMES))
     return {"price_changes": pc, **reports, "histories": hist, "feed": feed}
