@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed patterns.
+# Fixed patterns.  A class selector matches a whole class token, like a CSS ``.name``.
 ANCHOR = r'<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>'
-TILE_SPLIT = r'<div(?=\s[^>]*class="[^"]*\bproduct\b)'
+TILE_SPLIT = r'<div(?=\s[^>]*class="(?:[^"]*\s)?product(?:\s[^"]*)?")'
 PID = r'^[^>]*data-pid="([^"]*)"'
-TILE_LINK_TAG = r'<a\s[^>]*class="[^"]*product-tile--link[^"]*"[^>]*>'
-TILE_LINK_TEXT = r'<a\s[^>]*class="[^"]*product-tile--link[^"]*"[^>]*>\s*([^<]*?)\s*</a>'
+TILE_LINK_TAG = r'<a\s[^>]*class="(?:[^"]*\s)?product-tile--link(?:\s[^"]*)?"[^>]*>'
+TILE_LINK_TEXT = r'<a\s[^>]*class="(?:[^"]*\s)?product-tile--link(?:\s[^"]*)?"[^>]*>\s*([^<]*?)\s*</a>'
 HREF = r'href="([^"]*)"'
-PRICE = r'<span\s[^>]*class="[^"]*cart-price[^"]*"[^>]*>\s*([^<]*?)\s*</span>'
-IMG_TAG = r'<img\s[^>]*class="[^"]*tile-image[^"]*"[^>]*>'
+PRICE = r'<span\s[^>]*class="(?:[^"]*\s)?cart-price(?:\s[^"]*)?"[^>]*>\s*([^<]*?)\s*</span>'
+IMG_TAG = r'<img\s[^>]*class="(?:[^"]*\s)?tile-image(?:\s[^"]*)?"[^>]*>'
 SRC = r'src="([^"]*)"'
 
 
