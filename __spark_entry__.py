@@ -28,6 +28,12 @@ from pricelens.sources.reports_io import read_report_csv, write_csv  # noqa: E40
 from pricelens.sources.sitemap import url_hierarchy  # noqa: E402
 from pricelens.streaming.refresh_stream import land, stream_refresh  # noqa: E402
 
+try:  # the training-data operators and their pipeline are an optional part
+    import corpus_pipeline  # noqa: E402
+    from pricelens.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 PANELS = {"daily": panels.panel_a, "weekly": panels.panel_b}
@@ -224,6 +230,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["url_hierarchy"] = lambda s, d: url_hierarchy(
         _pages(s, d).select(F.col("page_id").alias("url_index"), "url"), "pages")
     q["html_links"] = lambda s, d: H.page_links(_pages(s, d))
+    if llm_queries is not None:
+        q.update(llm_queries.queries())
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
@@ -255,4 +264,8 @@ def oracle_sql() -> dict[str, str]:
     o["select_categories"] = O.select_categories_sql("store_a", "ASIA")
     o["url_hierarchy"] = O.url_hierarchy_sql("pages")
     o["html_links"] = O.html_links_sql()
+    if llm_queries is not None:
+        o.update(llm_queries.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL:
+            o["pipeline"] = corpus_pipeline.ORACLE_SQL
     return o
