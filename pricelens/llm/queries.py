@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import exact_dedup, quality, scratch, token_counts, warc
+from pricelens.llm import exact_dedup, pitman_yor, quality, scratch, shingle_join, token_counts, token_store, warc
 from pricelens.llm.shipping import prepare
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return shingle_join.shingle_components(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     path = scratch.scratch_path(spark, "warc")
@@ -46,8 +51,21 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return pitman_yor.language_model_scores(table(spark, sf_dir, "documents"))
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = scratch.scratch_path(spark, "tokens")
+    token_store.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_store.read_token_files(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op5_warc, op6_quality, op7_exact_dedup)}
+    return {f.__name__: f for f in (
+        op2_token_counts, op4_shingle_join, op5_warc, op6_quality, op7_exact_dedup, op9_pitman_yor, op10_token_store)}
 
 
 _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
