@@ -1,7 +1,9 @@
 """Training-corpus pipeline over the documents table: each stage applies one operator of ``pricelens.llm``.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and reread
-as the next stage's ``docs``.  All but the last return the columns of ``documents``.
+as the next stage's ``docs``.  All but the last return the columns of ``documents``, for all rows that
+their predecessors kept.  Null and empty texts, null ids, repeated rows and empty tables follow the
+operators' rules; an empty table stays empty through all stages.
 """
 
 from __future__ import annotations
@@ -9,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import quality
-from pricelens.llm.queries import table
-from pricelens.llm.scratch import written
+from pricelens.llm import decontaminate, mixing, quality, shingle_join, token_store
+from pricelens.llm.queries import table, tokenizer_path
+from pricelens.llm.scratch import scratch_path, written
 from pricelens.llm.shipping import prepare
 
 
@@ -22,9 +24,49 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.filter(quality.scorer(net)(F.col("text")) >= quality.THRESHOLD)
 
 
-STAGES = [("quality classifier", quality_filter)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each group of near copies, and one row of an id.
 
-#: SQL cannot express the classifier.
+    Rows without an id are in no group; of those with equal texts one stays.
+    """
+    prepare(spark)
+    groups = written(shingle_join.shingle_components(docs), "groups")
+    dropped = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    own = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256))
+    return kept.withColumn("__own", own).dropDuplicates(["doc_id", "__own"]).drop("__own")
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold the question and the answer of a test item."""
+    prepare(spark)
+    leaks = decontaminate.leak_flags(docs, table(spark, sf_dir, "benchmark"))
+    return docs.filter(~leaks(F.col("text")))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents by their fitted rates, so that languages meet tempered weights; none is dropped."""
+    prepare(spark)
+    labelled = table(spark, sf_dir, "labels").select("doc_id").join(
+        docs.select("doc_id", F.col("lang").alias("domain")), "doc_id")
+    return mixing.mixed_documents(docs, labelled)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the documents as range-coded token files and returns what the files hold."""
+    prepare(spark)
+    path = scratch_path(spark, "tokens")
+    token_store.write_token_files(docs, path, tokenizer_path())
+    return token_store.read_token_files(spark, path)
+
+
+STAGES = [("quality classifier", quality_filter),
+          ("n-gram Jaccard join", near_duplicates),
+          ("benchmark decontamination", benchmark_decontamination),
+          ("mixing sources to target weights", source_mixing),
+          ("token-ID / binary output", token_files)]
+
+#: SQL cannot express the classifier, the components or the rates; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import exact_dedup, pitman_yor, quality, scratch, shingle_join, token_counts, token_store, warc
+from pricelens.llm import (
+    decontaminate, exact_dedup, mixing, pitman_yor, quality, scratch, secret_scan, shingle_join, token_counts, token_store,
+    warc)
 from pricelens.llm.shipping import prepare
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,11 +25,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains of the labelled documents: their language."""
+    docs = table(spark, sf_dir, "documents")
+    return table(spark, sf_dir, "labels").select("doc_id").join(docs.select("doc_id", F.col("lang").alias("domain")), "doc_id")
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), language_labels(spark, sf_dir))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return secret_scan.scored_findings(table(spark, sf_dir, "documents"), audited=table(spark, sf_dir, "labels"))
+
+
 def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return shingle_join.shingle_components(table(spark, sf_dir, "documents"))
@@ -51,6 +69,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = decontaminate.retrieved_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.filter("leaked").drop("leaked")
+
+
 def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return pitman_yor.language_model_scores(table(spark, sf_dir, "documents"))
@@ -65,7 +89,8 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_token_counts, op4_shingle_join, op5_warc, op6_quality, op7_exact_dedup, op9_pitman_yor, op10_token_store)}
+        op1_mixing, op2_token_counts, op3_secret_scan, op4_shingle_join, op5_warc, op6_quality, op7_exact_dedup,
+        op8_decontamination, op9_pitman_yor, op10_token_store)}
 
 
 _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
