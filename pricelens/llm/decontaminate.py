@@ -4,7 +4,8 @@ A test item (or a piece of a long one) is an entry of the index; a term's impact
 by the entry's own score, so a passage scores between 0 and 1: the share of the entry's weight it holds.
 Passages are overlapping runs of words, twice as long as the longest entry and one such length apart, so
 an entry always lies whole in one of them.  Entries at or above the threshold are all retrieved, then
-their question and their answer are compared with the passage by word shingles.
+their question and their answer are compared with the passage by word shingles.  Case (of any script) and
+signs between words do not count.
 """
 
 from __future__ import annotations
@@ -14,17 +15,27 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.textbatch import SHINGLE, byte_slices, shingle_sets, text_words
 
 K1, B = 1.2, 0.75
+COARSE = 64              # runs of entries with a maximum impact of every term each
 THRESHOLD = 0.5
 OVERLAP = 0.5
 MAX_ENTRY, MIN_STRIDE, POSTINGS_BLOCK = 256, 32, 8
 ITEM_BLOCK_BYTES = 16 << 20
 _EPS = 1e-9
+#: ASCII signs other than letters and digits separate words.
+_SIGNS = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)], np.uint8)
+
+
+def folded_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slices of texts in lower case (of any script) without ASCII signs."""
+    for i, j, data, off in byte_slices(pc.utf8_lower(column)):
+        yield i, j, _SIGNS[data], off
 
 
 class ItemIndex:
@@ -34,7 +45,7 @@ class ItemIndex:
         """``items``: id, question and answer; an item without words is never found."""
         text = pa.array([t for _, q, a in items for t in (q, a)], pa.string())
         halves: list[np.ndarray] = []
-        for _, _, data, off in byte_slices(text):
+        for _, _, data, off in folded_slices(text):
             words, first = text_words(data, off)
             halves += [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
         self.item: list[int | None] = []
@@ -71,6 +82,8 @@ class ItemIndex:
         self.bound = np.array([max(x) for x in self.impact] + [0.0])
         self.blocks = [[(e[min(i + POSTINGS_BLOCK, len(e)) - 1], max(x[i:i + POSTINGS_BLOCK]))
                         for i in range(0, len(e), POSTINGS_BLOCK)] for e, x in zip(self.entry, self.impact, strict=True)]
+        self.coarse = np.zeros((len(self.terms) + 1, COARSE), np.float32)
+        np.maximum.at(self.coarse, (term, owner * COARSE // max(n, 1)), impact.astype(np.float32))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.terms >> np.uint64(44)).astype(np.int64)] = True
         self.found: dict[bytes, list[tuple[int, float]]] = {}
@@ -164,7 +177,8 @@ class ItemIndex:
         for p in np.flatnonzero(most[end] - most[begin] >= threshold - 1e-6).tolist():
             own = np.unique(terms[begin[p]:end[p]])
             own = own[own < len(self.terms)]
-            if self.bound[own].sum() < threshold - 1e-6:
+            # neither by all list bounds of its distinct terms, nor by the maxima of any run of entries
+            if self.bound[own].sum() < threshold - 1e-6 or self.coarse[own].sum(axis=0).max() < threshold - 1e-4:
                 continue
             key = own.tobytes()
             found = self.found.get(key)
@@ -235,7 +249,7 @@ def retrieved_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
             index = shared.value
             for batch in batches:
                 ids = batch.column(0)
-                for i, j, data, off in byte_slices(batch.column(1)):
+                for i, j, data, off in folded_slices(batch.column(1)):
                     best: dict[tuple[int, int | None], tuple] = {}
                     for text, entry, at, score, q, a in index.matches(*text_words(data, off), threshold):
                         key = (text, index.item[entry])
@@ -265,7 +279,7 @@ def leak_flags(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     def leaks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             flag = np.zeros(len(s), bool)
-            for i, _, data, off in byte_slices(pa.array(s, pa.string(), from_pandas=True)):
+            for i, _, data, off in folded_slices(pa.array(s, pa.string(), from_pandas=True)):
                 words, first = text_words(data, off)
                 for one in shared:
                     for text, _, _, _, q, a in one.value.matches(words, first, threshold):
