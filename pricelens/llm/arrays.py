@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SUM_TASKS = 16
 
@@ -59,16 +58,21 @@ def by_key(rows: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
     return dealt.sortWithinPartitions(key)
 
 
-def array_sum(rows: DataFrame, size: int) -> np.ndarray:
-    """Sum of the float64 arrays of fixed ``size`` in ``payload``, added up in a few tasks before the driver."""
+def sliced(total: np.ndarray) -> pa.RecordBatch:
+    """A task's array as rows ``part, payload``, one for each of the tasks that add arrays up."""
+    parts = np.array_split(total, SUM_TASKS)
+    return pa.RecordBatch.from_arrays([pa.array(range(SUM_TASKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+                                      names=["part", "payload"])
+
+
+def array_sum(rows: DataFrame, dtype: type = np.float64) -> np.ndarray:
+    """Sum of the tasks' ``sliced`` arrays (of one size); the driver gets the sum alone."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
-        for batch in batches:
-            for payload in batch.column(1):
-                total += np.frombuffer(payload.as_py())
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["payload"])
-
-    dealt = rows.select(F.pmod(F.spark_partition_id(), F.lit(SUM_TASKS)).alias("part"), "payload")
-    parts = dealt.repartition(SUM_TASKS, "part").mapInArrow(add, "payload binary").collect()
-    return np.sum([np.frombuffer(r.payload) for r in parts], axis=0) if parts else np.zeros(size)
+        for part, held in grouped(batches):
+            total = np.sum([np.frombuffer(p.as_py(), dtype) for b in held for p in b.column(1)], axis=0, dtype=dtype)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                             names=["part", "payload"])
+
+    parts = by_key(rows, "part", SUM_TASKS).mapInArrow(add, "part int, payload binary").collect()
+    return np.concatenate([np.frombuffer(r.payload, dtype) for r in sorted(parts, key=lambda r: r.part)] or [np.zeros(0, dtype)])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.llm.arrays import array_sum, by_key, grouped, pack, unpack
+from pricelens.llm.arrays import array_sum, by_key, grouped, pack, sliced, unpack
 from pricelens.llm.components import components
 from pricelens.llm.scratch import discard, written
 from pricelens.llm.skew import spread_join
@@ -178,14 +178,15 @@ def shingle_sketch(sets: DataFrame) -> np.ndarray:
     """Occurrences of all shingles of ``sets``, by hash, in a table of fixed size."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS)
+        total = np.zeros(1 << SKETCH_BITS, np.float32)
         for batch in batches:
             for blob in batch.column(0):
                 s = np.frombuffer(blob.as_py(), np.uint64)
                 np.add.at(total, (s >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["payload"])
+        yield sliced(total)
 
-    return array_sum(sets.select("shingles").mapInArrow(count, "payload binary"), 1 << SKETCH_BITS)
+    total = array_sum(sets.select("shingles").mapInArrow(count, "part int, payload binary"), np.float32)
+    return total if len(total) else np.zeros(1 << SKETCH_BITS, np.float32)
 
 
 def block_edges(sets: DataFrame, rank: np.ndarray, buckets: int) -> DataFrame:
