@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm.arrays import array_sum, by_key, grouped, pack, unpack
+from pricelens.llm.arrays import array_sum, by_key, grouped, pack, sliced, unpack
 from pricelens.llm.scratch import written
 from pricelens.llm.textbatch import byte_slices, text_words
 
@@ -40,23 +40,26 @@ EXACT = 64               # counts up to this use the exact conditional of the ta
 
 
 class Lexicon:
-    """The frequent words: hash to index by a table without collisions."""
+    """The frequent words, sorted by hash; the hash's first 16 bits lead to a few of them."""
 
     def __init__(self, words: np.ndarray):
-        self.words = words.astype(np.uint64)
-        for bits in range(16, 27):
-            slot = self.words >> np.uint64(64 - bits)
-            if len(np.unique(slot)) == len(slot):
-                break
-        self.shift = np.uint64(64 - bits)
-        self.table = np.full(1 << bits, -1, np.int32)
-        self.table[slot.astype(np.int64)] = np.arange(len(words))
-        self.known = np.append(self.words, np.uint64(0))
+        self.words = np.append(words.astype(np.uint64), np.uint64(0))
+        self.first = np.searchsorted(words >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64))
+        self.longest = int(np.diff(self.first).max())
+
+    def __len__(self) -> int:
+        return len(self.words) - 1
 
     def index(self, words: np.ndarray) -> np.ndarray:
         """Index of each word, -1 if it is not frequent."""
-        at = self.table[(words >> self.shift).astype(np.int64)]
-        return np.where((at >= 0) & (self.known[at] == words), at, -1)
+        head = (words >> np.uint64(48)).astype(np.int64)
+        at, end = self.first[head], self.first[head + 1]
+        out = np.full(len(words), -1)
+        for _ in range(self.longest):
+            hit = (self.words[at] == words) & (at < end)
+            out[hit] = at[hit]
+            at = np.minimum(at + 1, len(self.words) - 1)
+        return out
 
 
 def token_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +109,7 @@ def occurrences(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
 
     The texts' rows hold ids, training flags, token counts and the occurrences of frequent words.
     """
-    own = len(lexicon.words)
+    own = len(lexicon)
     start = own + SHARED
 
     def emit(part: list[int], flush: str, payload: list[bytes]) -> pa.RecordBatch:
@@ -383,10 +386,11 @@ def _sum_totals(pairs: DataFrame, model: Model, sweep: int) -> tuple[Totals, np.
                 tables += np.bincount(ctx, weights=t, minlength=contexts)
                 customers += np.bincount(ctx, weights=count, minlength=contexts)
                 rest += [c.sum(), u.sum(), (count == 1).sum(), (count == 2).sum(), (c == 1).sum(), (c == 2).sum()]
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([tables, customers, rest]).tobytes()], pa.binary())],
-                                         names=["payload"])
+        yield sliced(np.concatenate([tables, customers, rest]))
 
-    total = array_sum(pairs.select("part", "pairs").mapInArrow(add, "payload binary"), 2 * contexts + 6)
+    total = array_sum(pairs.select("part", "pairs").mapInArrow(add, "part int, payload binary"))
+    if not len(total):
+        total = np.zeros(2 * contexts + 6)
     rest = total[2 * contexts:]
     return Totals(total[:contexts], rest[0], rest[1]), total[contexts:2 * contexts], rest[2:]
 
@@ -418,6 +422,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train=N
     words = written(vocabulary(rows), "vocabulary")
     size = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     top = words.orderBy(F.desc("n"), "word").limit(frequent).collect()
+    top = sorted(top, key=lambda r: r.word % (1 << 64))
     lexicon = Lexicon(np.array([r.word for r in top], np.int64).view(np.uint64))
     own = len(top)
     buckets = max(1, -(-size.n * 5 // (4 * BUCKET_TOKENS)))
