@@ -32,8 +32,8 @@ FREQUENT = 2048          # previous words with a restaurant of their own; also t
 SHARED = 64              # restaurants shared by all other previous words
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
-BUCKET_TOKENS = 4 << 20
-FLUSH_WORDS, FLUSH_DOCS = 1 << 21, 60_000
+BUCKET_TOKENS = 2 << 20
+FLUSH_WORDS, FLUSH_DOCS = 1 << 20, 60_000
 TOP_GROUPS = 16
 END = np.uint64(0x5E7D0FD0C)     # stands for the end of a text
 EXACT = 64               # counts up to this use the exact conditional of the tables
@@ -224,13 +224,14 @@ def top_tables(tables: DataFrame, own: int, buckets: int) -> DataFrame:
     contexts = own + SHARED + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(max(own, 1) * contexts, np.int64)
+        total = np.zeros(max(own, 1) * contexts, np.int32)         # of one task's texts
         seen = False
         for batch in batches:
             for payload in batch.column(0):
                 _, _, learns, _, doc, top, ctx = unpack(payload.as_py())
                 mine = learns[doc] > 0
-                total += np.bincount(top[mine].astype(np.int64) * contexts + ctx[mine], minlength=len(total))
+                at, n = np.unique(top[mine].astype(np.int32) * contexts + ctx[mine], return_counts=True)
+                total[at] += n.astype(np.int32)
                 seen = True
         if seen:
             at = np.flatnonzero(total)
@@ -238,7 +239,7 @@ def top_tables(tables: DataFrame, own: int, buckets: int) -> DataFrame:
             edges = np.searchsorted(group, np.arange(TOP_GROUPS + 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(TOP_GROUPS, dtype=np.int32)),
-                 pa.array([pack(at[a:b], total[at[a:b]]) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+                 pa.array([pack(at[a:b], total[at[a:b]].astype(np.int64)) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
                 names=["part", "payload"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
