@@ -122,11 +122,26 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
             again = np.concatenate((same, [False])) | np.concatenate(([False], same))
             shared = np.bincount((pairs[again] & _U(0xFFFFFFFF)).astype(np.int64), minlength=len(sets))
             some = np.flatnonzero(shared)
-            yield pa.RecordBatch.from_arrays([pa.array(sets[some].view(np.int64)), pa.array(shared[some].astype(np.int64))],
+            sets, shared = sets[some], shared[some]
+            to = ((sets >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)      # ascending, as the sets are
+            cut = np.searchsorted(to, np.arange(buckets + 1))
+            parts = np.flatnonzero(np.diff(cut)).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts, pa.int32()),
+                 pa.array([pack(sets[cut[k]:cut[k + 1]], shared[cut[k]:cut[k + 1]].astype(np.uint32)) for k in parts],
+                          pa.binary())], names=["part", "payload"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held in grouped(batches):
+            pieces = [unpack(p.as_py()) for b in held for p in b.column(1)]
+            sets, at = np.unique(np.concatenate([p[0] for p in pieces]), return_inverse=True)
+            total = np.bincount(at, weights=np.concatenate([p[1] for p in pieces]))
+            yield pa.RecordBatch.from_arrays([pa.array(sets.view(np.int64)), pa.array(total.astype(np.int64))],
                                              names=["set_hash", "shared"])
 
-    rows = by_key(docs.mapInArrow(emit, "part int, payload binary"), "part", buckets)
-    return rows.mapInArrow(count, "set_hash long, shared long").groupBy("set_hash").agg(F.sum("shared").alias("shared"))
+    blobs = "part int, payload binary"
+    rows = by_key(docs.mapInArrow(emit, blobs), "part", buckets).mapInArrow(count, blobs)
+    return by_key(rows, "part", buckets).mapInArrow(add, "set_hash long, shared long")
 
 
 def _spots(ids: np.ndarray, bits: int) -> np.ndarray:
