@@ -33,7 +33,7 @@ def last_segment(path) -> Column:
 
 def url_path(url) -> Column:
     """Path component of a URL ('' when the URL has none)."""
-    return F.coalesce(F.try_parse_url(_col(url), F.lit("PATH")), F.lit(""))
+    return F.coalesce(F.regexp_extract(_col(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def slug_to_name(slug) -> Column:

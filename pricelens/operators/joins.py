@@ -24,8 +24,8 @@ def materialise_small(df: DataFrame) -> DataFrame:
 
 
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` (already written) has at most ``max_rows`` rows; a plain count, no row moves."""
+    return df.count() <= max_rows
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",

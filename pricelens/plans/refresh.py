@@ -57,9 +57,11 @@ def refresh(spark: SparkSession, root: str, out: str, k: int = 20, csv: bool = T
     hist_path = _join(out, "histories")
     # static overwrite: the whole histories table is replaced, so a report that is empty
     # this run leaves no stale partition behind (the session default is dynamic)
-    (ops.histories(reports, products).write.mode("overwrite")
+    histories = ops.histories(reports, products)
+    (histories.write.mode("overwrite")
      .option("partitionOverwriteMode", "static").partitionBy("report").parquet(hist_path))
-    hist = spark.read.parquet(hist_path)
+    # declared schema: empty reports (a first run, or no change) write no file to infer one from
+    hist = spark.read.schema(histories.schema).parquet(hist_path)
     entries = ops.report_entries(reports)
     feed = (entries.join(hist, ["report", "product_id", "store"], "left").drop("report")
             .orderBy("tab", "store", "rank", "scrape_date"))

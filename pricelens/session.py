@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="pricelens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if spark.sparkContext.getCheckpointDir() is None:

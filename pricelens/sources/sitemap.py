@@ -15,7 +15,7 @@ ROOT_PARENT = 0
 
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """``<url><loc>..</loc></url>`` entries of sitemap XML files -> (url_index, url)."""
-    df = spark.read.format("xml").option("rowTag", "url").load(path)
+    df = spark.read.format("xml").schema("loc string").option("rowTag", "url").load(path)
     return with_ordinal(df.select(F.trim(F.col("loc")).alias("url"),
                                   F.input_file_name().alias("_file"),
                                   F.monotonically_increasing_id().alias("_pos")),

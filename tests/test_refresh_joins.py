@@ -114,3 +114,28 @@ def test_report_csv_headers_match_published_order(spark, tmp_root):
         assert files, name
         with open(files[0]) as f:
             assert f.readline().strip() == header, name
+
+
+def test_refresh_of_a_single_snapshot_is_typed_and_empty(spark, tmp_root):
+    import datetime as dt
+
+    from pricelens.plans.refresh import refresh
+    from pricelens.schemas import PRODUCTS_STORED
+    from pricelens.sources import products as P
+
+    row = {"product_id": "1", "store": "s", "maincatid": "m", "scrape_date": dt.date(2026, 4, 7), "price": 5.0,
+           "list_price": 5.0, "is_available": True}
+    names = [f.name for f in PRODUCTS_STORED.fields]
+    df = spark.createDataFrame([tuple(row.get(n) for n in names)], PRODUCTS_STORED)
+    P.write_products(df, tmp_root + "/products")
+    out = refresh(spark, tmp_root + "/products", tmp_root + "/out", csv=False)
+    assert out["price_changes"].count() == 0
+    assert out["histories"].columns and out["feed"].filter("tab <> 'x'").count() >= 0
+
+
+def test_url_path_takes_any_sign(spark):
+    from pricelens.functions.text import url_path
+
+    urls = ["https://x.com/a b/c", "https://x.com/x|y/z?q=1#f", "https://x.com", None, "http://x.com/ok/"]
+    got = [r.p for r in spark.createDataFrame([(u,) for u in urls], "u string").select(url_path("u").alias("p")).collect()]
+    assert got == ["/a b/c", "/x|y/z", "", "", "/ok/"]
