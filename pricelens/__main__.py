@@ -17,7 +17,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pricelens.functions import first_segment, stamp_date
+from pricelens.functions import stamp_date
 from pricelens.plans.refresh import refresh
 from pricelens.session import get_session, work_path
 from pricelens.sources import normalise as N
@@ -25,30 +25,35 @@ from pricelens.sources import products as P
 from pricelens.streaming.refresh_stream import stream_refresh
 
 
-def _ingest(spark, fmt: str, path: str, root: str, store: str, date: str, sim: str | None,
-            quarantine: str | None = None) -> list:
-    schema, _ = N.NORMALISERS[fmt]
-    docs, bad = N.read_json_checked(spark, path, schema)
+def _quarantined(spark, bad, path: str) -> int:
+    """Write malformed lines out (Spark cannot query only the raw text of a JSON scan) and count them."""
+    bad.write.mode("append").parquet(path)
+    n = spark.read.parquet(path).count()
+    if n:
+        print(f"quarantined {n} malformed payload lines in {path}")
+    return n
+
+
+def _ingest(spark, a: argparse.Namespace) -> list:
+    """Normalise landed payloads of one category and date, and upsert them; malformed lines go to quarantine."""
+    schema, rows_of = N.NORMALISERS[a.format]
+    docs, bad = N.read_json_checked(spark, a.path, schema)
     docs = docs.selectExpr("struct(*) AS doc")
-    if fmt == "catalog_a":
-        sims = None
-        if sim:
-            sim_docs, _ = N.read_json_checked(spark, sim, N.SIMULATION_A)
+    held = a.quarantine or work_path(spark, "quarantine", f"{a.format}-{a.date}-{uuid.uuid4().hex}")
+    if a.format == "catalog_a":
+        sims, partial = None, False
+        if a.sim:
+            sim_docs, sim_bad = N.read_json_checked(spark, a.sim, N.SIMULATION_A)
+            partial = _quarantined(spark, sim_bad, f"{held.rstrip('/')}-simulation") > 0
             sims = N.simulated_prices(sim_docs.selectExpr("struct(*) AS doc"))
-        rows = N.apply_simulation(N.catalog_a_rows(docs, store), sims)
-        top = first_segment("maincat")
+        rows = N.apply_simulation(N.catalog_a_rows(docs, a.store), sims, partial)
     else:
-        rows = N.catalog_b_rows(docs, store)
-        top = F.col("catid")
-    rows = stamp_date(rows, date).withColumn("maincatid", top)
-    written = P.upsert_products(rows, root)
-    # malformed lines are kept in a quarantine folder (a sink: Spark cannot query the
-    # corrupt-record column of a raw JSON scan on its own, but it can write it out)
-    qpath = quarantine or work_path(spark, "quarantine", f"{fmt}-{date}-{uuid.uuid4().hex}")
-    bad.write.mode("append").parquet(qpath)
-    n_bad = spark.read.parquet(qpath).count()
-    if n_bad:
-        print(f"quarantined {n_bad} malformed payload lines in {qpath}")
+        rows = rows_of(docs, a.store)
+    rows = P.with_maincatid(stamp_date(rows, a.date).withColumn("category_path", F.lit(a.category))).drop("category_path")
+    if a.seq is not None:
+        rows = rows.withColumn(P.SEQ, F.lit(a.seq).cast("long"))
+    written = P.upsert_products(rows, a.root)
+    _quarantined(spark, bad, held)
     return written
 
 
@@ -66,6 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("root")
     i.add_argument("--store", required=True)
     i.add_argument("--date", required=True)
+    i.add_argument("--category", required=True, help="path of the scraped category; its first segment is the partition")
+    i.add_argument("--seq", type=int, help="ingest_seq of these rows; default: their time of arrival")
     i.add_argument("--sim")
     i.add_argument("--quarantine")
     s = sub.add_parser("stream")
@@ -79,8 +86,7 @@ def main(argv: list[str] | None = None) -> int:
         res = refresh(spark, a.root, a.out, k=a.k, csv=not a.no_csv)
         print({name: df.count() for name, df in res.items()})
     elif a.cmd == "ingest":
-        print(f"wrote {len(_ingest(spark, a.format, a.path, a.root, a.store, a.date, a.sim,
-                                            a.quarantine))} partitions")
+        print(f"wrote {len(_ingest(spark, a))} partitions")
     else:
         stream_refresh(spark, a.landing, a.root, a.checkpoint)
         if a.out:

@@ -26,29 +26,19 @@ def dedup_latest(df: DataFrame, key: list[str], order: list[str] | None = None)
     return packed.select(*key, "_row.*").select(*df.columns)
 
 
-def unique_by_key(df: DataFrame, key: list[str], order: list[str] | None = None,
-                  max_dup_keys: int = 1_000_000) -> DataFrame:
-    """``dedup_latest`` that only pays for the keys that really repeat.
-
-    1. a narrow grouped count per key (hash aggregate with map-side combine:
-       only the key columns are shuffled) finds the duplicated keys;
-    2. if that set is small enough (checked, materialised), rows of unique
-       keys pass through a broadcast anti join (streamed, no shuffle) and
-       only rows of duplicated keys go through ``dedup_latest``;
-    3. otherwise everything goes through ``dedup_latest``.
-    Same result as ``dedup_latest(df, key, order)``; key equality is
-    null-safe, as grouping is.
-    """
-    from pricelens.operators.joins import materialise_small, small_enough
+def unique_by_key(df: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
+    """``dedup_latest`` in which only rows of repeated keys are aggregated.
 
-    dups = materialise_small(df.groupBy(*key).count().where(F.col("count") > 1).select(*key))
-    if not small_enough(dups, max_dup_keys):
-        return dedup_latest(df, key, order)
-    d = F.broadcast(dups.select(*[F.col(k).alias(f"_dk_{k}") for k in key]))
-    match = None
+    A grouped count of the narrow key columns finds the repeated keys; the
+    other rows pass an anti join on them.  The planner picks the joins by
+    size.  ``df`` should be a stored table, as it is read three times.  Key
+    equality is null-safe, as grouping is.
+    """
+    dups = df.groupBy(*key).count().where(F.col("count") > 1)
+    dups = dups.select(*[F.col(k).alias(f"_dk_{k}") for k in key])
+    match = F.lit(True)
     for k in key:
-        c = F.col(k).eqNullSafe(F.col(f"_dk_{k}"))
-        match = c if match is None else match & c
-    once = df.join(d, match, "left_anti")
-    repeated = df.join(d, match, "left_semi")
+        match = match & F.col(k).eqNullSafe(F.col(f"_dk_{k}"))
+    once = df.join(dups, match, "left_anti")
+    repeated = df.join(dups, match, "left_semi")
     return once.unionByName(dedup_latest(repeated, key, order))

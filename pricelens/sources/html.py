@@ -10,16 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed patterns.  A class selector matches a whole class token, like a CSS ``.name``.
 ANCHOR = r'<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>'
-TILE_SPLIT = r'<div(?=\s[^>]*class="(?:[^"]*\s)?product(?:\s[^"]*)?")'
-PID = r'^[^>]*data-pid="([^"]*)"'
-TILE_LINK_TAG = r'<a\s[^>]*class="(?:[^"]*\s)?product-tile--link(?:\s[^"]*)?"[^>]*>'
-TILE_LINK_TEXT = r'<a\s[^>]*class="(?:[^"]*\s)?product-tile--link(?:\s[^"]*)?"[^>]*>\s*([^<]*?)\s*</a>'
-HREF = r'href="([^"]*)"'
-PRICE = r'<span\s[^>]*class="(?:[^"]*\s)?cart-price(?:\s[^"]*)?"[^>]*>\s*([^<]*?)\s*</span>'
-IMG_TAG = r'<img\s[^>]*class="(?:[^"]*\s)?tile-image(?:\s[^"]*)?"[^>]*>'
-SRC = r'src="([^"]*)"'
+
+#: Entities that are unescaped, the ampersand last (fixed values).
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def _has_class(token: str) -> str:
+    """Look-ahead inside a tag: its class attribute, in either quotes, holds the whole token."""
+    return (rf'(?=[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{token}(?:\s[^"]*)?"'
+            rf"|'(?:[^']*\s)?{token}(?:\s[^']*)?'))")
+
+
+def _tag(name: str, token: str) -> str:
+    return rf"(?is)<{name}(?=\s){_has_class(token)}[^>]*>"
+
+
+TILE = rf"(?is)<div(?=\s){_has_class('product')}"
+LINK, PRICE, IMAGE = _tag("a", "product-tile--link"), _tag("span", "cart-price"), _tag("img", "tile-image")
 
 
 def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -33,29 +41,56 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                     F.col("a")["hrefs"].alias("href"), F.trim(F.col("a")["texts"]).alias("text"))
 
 
-def _opt(col, pattern: str, group: int = 1):
-    """regexp_extract that yields NULL (not '') when the pattern is absent."""
-    return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, group))
+def _unescaped(col):
+    for entity, sign in ENTITIES.items():
+        col = F.replace(col, F.lit(entity), F.lit(sign))
+    return col
+
+
+def _attribute(tag, name: str):
+    """Value of an attribute of a tag in either quotes; NULL if it has none."""
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    value = F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2))
+    return F.when(tag.rlike(pattern), _unescaped(value))
+
+
+def _inner_text(tile, opening: str, name: str):
+    """Whole text of the first such element without the tags in it; NULL if it is missing or blank."""
+    inner = F.regexp_extract(tile, rf"{opening}(.*?)</{name}\s*>", 1)
+    text = F.trim(F.regexp_replace(_unescaped(F.regexp_replace(inner, "<[^>]*>", "")), r"\s+", " "))
+    return F.when(text != "", text)
+
+
+def _own_part(piece):
+    """A tile's text up to its own closing tag, counting the ``div`` tags opened and closed inside it."""
+    tokens = F.split(piece, r"(?i)(?=<div[\s>])|(?=</div\s*>)")
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+
+    def step(acc, token):
+        change = F.when(token.rlike(r"(?i)^<div[\s>]"), 1).when(token.rlike(r"(?i)^</div"), -1).otherwise(0)
+        depth = F.when(acc["depth"] > 0, acc["depth"] + change).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc["text"], token)).otherwise(acc["text"]).alias("text"))
+
+    return F.aggregate(tokens, start, step)["text"]
 
 
 def product_tiles(pages: DataFrame, base_url: str, id_col: str = "page_id",
                   html_col: str = "html") -> DataFrame:
     """Product tiles ``<div class="product" data-pid=..>``: pid, name, url, price, image.
 
-    A missing tag gives NULL for that field only.  The page is split at
-    each tile opening tag; each piece is one tile.
+    A tile reaches from its opening tag to its own closing tag or to the
+    next tile's opening.  A missing tag, attribute or blank text gives
+    NULL for that field only.  Attributes may stand in either quotes.
     """
-    pieces = pages.select(id_col, F.posexplode(F.split(F.col(html_col), TILE_SPLIT)).alias("i", "t"))
-    tiles = pieces.where(F.col("i") > 0).withColumn("t", F.col("t"))
+    pieces = pages.select(id_col, F.posexplode(F.split(F.col(html_col), TILE)).alias("i", "t"))
+    tiles = pieces.where(F.col("i") > 0).withColumn("t", _own_part(F.col("t")))
     t = F.col("t")
-    link_tag = F.regexp_extract(t, TILE_LINK_TAG, 0)
-    href = _opt(link_tag, HREF)
-    img_tag = F.regexp_extract(t, IMG_TAG, 0)
+    link, image = F.regexp_extract(t, LINK, 0), F.regexp_extract(t, IMAGE, 0)
     return tiles.select(
         id_col, F.col("i").cast("int").alias("tile"),
-        _opt(t, PID).alias("pid"),
-        F.when(link_tag != "", F.regexp_extract(t, TILE_LINK_TEXT, 1)).alias("name"),
-        F.when(href.isNotNull(), F.concat(F.lit(base_url), href)).alias("url"),
-        _opt(t, PRICE).alias("price"),
-        _opt(img_tag, SRC).alias("image"),
+        _attribute(F.regexp_extract(t, "^[^>]*>", 0), "data-pid").alias("pid"),
+        _inner_text(t, LINK, "a").alias("name"),
+        F.concat(F.lit(base_url), _attribute(link, "href")).alias("url"),
+        _inner_text(t, PRICE, "span").alias("price"),
+        _attribute(image, "src").alias("image"),
     )

@@ -114,12 +114,13 @@ def simulated_prices(sim_docs: DataFrame) -> DataFrame:
     return dedup_latest(rows, ["sku"], order).select("sku", "sim_price", "sim_list_price")
 
 
-def apply_simulation(rows: DataFrame, sim: DataFrame | None) -> DataFrame:
+def apply_simulation(rows: DataFrame, sim: DataFrame | None, partial: bool = False) -> DataFrame:
     """Override catalogue prices with simulated ones (left join on SKU).
 
     * simulation given and SKU found: price = pricewithoutdiscount =
       simulated price, list_price = simulated list price, available;
-    * simulation given, SKU absent: catalogue prices, NOT available;
+    * simulation given, SKU absent: catalogue prices, NOT available; with
+      ``partial`` (some of its documents could not be read) the row stays as it is;
     * no simulation at all (``sim is None``): rows unchanged.
     """
     if sim is None:
@@ -131,7 +132,7 @@ def apply_simulation(rows: DataFrame, sim: DataFrame | None) -> DataFrame:
         "price": F.when(found, F.col("sim_price")).otherwise(F.col("price")),
         "pricewithoutdiscount": F.when(found, F.col("sim_price")).otherwise(F.col("pricewithoutdiscount")),
         "list_price": F.when(found, F.col("sim_list_price")).otherwise(F.col("list_price")),
-        "is_available": found,
+        "is_available": found | F.col("is_available") if partial else found,
     }).drop("sku", "sim_price", "sim_list_price", "_hit"))
 
 

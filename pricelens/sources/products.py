@@ -7,27 +7,39 @@ the files), so a date filter with literals prunes whole directories.
 
 from __future__ import annotations
 
+import time
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.functions import first_segment
-from pricelens.operators.joins import BROADCAST_MAX_ROWS
 from pricelens.operators.upsert import dedup_latest, unique_by_key
 from pricelens.schemas import (
     PARTITION_COLUMNS, PRODUCT_COLUMNS, PRODUCT_KEY, PRODUCTS, PRODUCTS_STORED,
 )
 from pricelens.session import work_path
 
+#: Stored with every row: which write wins a key.
+SEQ = "ingest_seq"
+
 
 # --- S1 / S3: scan and empty table -------------------------------------------
 
+def _stored(spark: SparkSession, root: str) -> DataFrame:
+    """The table with its stored ``ingest_seq`` (NULL in files written before it was kept)."""
+    schema = T.StructType([*PRODUCTS_STORED.fields, T.StructField(SEQ, T.LongType())])
+    return (spark.read.schema(schema).option("basePath", root).parquet(root)
+            .select(*PRODUCT_COLUMNS, "maincatid", SEQ))
+
+
 def read_products(spark: SparkSession, root: str) -> DataFrame:
-    """Scan the partitioned table with the declared schema (no inference)."""
-    return (spark.read.schema(PRODUCTS_STORED).option("basePath", root).parquet(root)
-            .select(*PRODUCT_COLUMNS, "maincatid"))
+    """Scan the partitioned table with the declared schema (no inference); typed and empty before the first write."""
+    if not table_exists(spark, root):
+        return empty_products(spark).select(*PRODUCT_COLUMNS, "maincatid")
+    return _stored(spark, root).drop(SEQ)
 
 
 def empty_products(spark: SparkSession) -> DataFrame:
@@ -71,41 +83,121 @@ def with_maincatid(df: DataFrame, path_col: str = "category_path") -> DataFrame:
     return df.withColumn("maincatid", first_segment(path_col))
 
 
-# --- S5 / S8: partitioned write ------------------------------------------------
+# --- S4 / S5 / S8: keyed writes --------------------------------------------------
 
-def write_products(df: DataFrame, root: str, order: list[str] | None = None,
-                   unique: bool = True) -> None:
+def write_products(df: DataFrame, root: str, order: list[str] | None = None) -> list[tuple]:
     """Replace exactly the (scrape_date, store, maincatid) partitions present in ``df``.
 
-    * The key (product_id, store, scrape_date) is made unique first
-      (``unique_by_key``: greatest ``order`` wins, else a deterministic
-      pick; only repeated keys pay for a wide shuffle), because a product listed under two categories on one day
-      would otherwise be stored twice and double-count in every
-      comparison.  ``unique=False`` skips it for input known to be keyed.
-    * Dynamic partition overwrite: partitions not in ``df`` are untouched
-      and an empty ``df`` changes nothing.
-    * The ``rebalance`` hint lets AQE cut a hot partition (one store/day
-      can hold a third of all rows) into several evenly sized files and
-      merge tiny ones, instead of one task per partition value.
+    Rows of other partitions stay, unless they lose their key to a row of
+    ``df`` (see ``_store``).  An empty ``df`` changes nothing.  Returns the
+    partitions written.
+    """
+    return _store(df, root, order or [], replace=True)
+
+
+def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None) -> list[tuple]:
+    """Insert-or-replace rows by (product_id, store, scrape_date).  Returns the partitions written."""
+    if "maincatid" not in batch.columns:
+        raise ValueError("batch needs a maincatid column (see with_maincatid)")
+    return _store(batch, root, order or [], replace=False)
+
+
+def _same(left: list[str], right: list[str]):
+    """Null-safe equality of two column lists; Spark plans it as an ordinary equi-join."""
+    out = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
+
+
+def _key_join(df: DataFrame, keys: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Semi or anti join on null-safe ``columns``; the planner picks the join by size."""
+    named = [f"_k_{c}" for c in columns]
+    return df.join(keys.select(*[F.col(c).alias(n) for c, n in zip(columns, named)]), _same(columns, named), how)
+
+
+def _in_partitions(spark: SparkSession, df: DataFrame, keys: set[tuple], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` in (or, ``left_anti``, outside) the listed partitions; literals prune directories."""
+    if not keys:
+        return df if how == "left_anti" else df.where(F.lit(False))
+    columns = zip(*sorted(keys, key=str), strict=True)
+    kinds = [pa.date32(), pa.string(), pa.string()]
+    # an Arrow table becomes a local relation, whose size the planner knows
+    listed = spark.createDataFrame(pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                            names=PARTITION_COLUMNS))
+    if how == "left_semi":
+        df = df.where(F.col("scrape_date").isin(sorted({k[0] for k in keys})) & F.col("store").isin(sorted({k[1] for k in keys})))
+    return _key_join(df, listed, PARTITION_COLUMNS, how)
+
+
+def _store(df: DataFrame, root: str, order: list[str], replace: bool) -> list[tuple]:
+    """The one write path: (product_id, store, scrape_date) is unique in the whole table.
+
+    Of rows with one key, stored or incoming, the greatest ``ingest_seq``
+    stays; after it ``order`` decides inside the batch, then all columns,
+    so the result depends neither on the input order nor on how rows that
+    carry ``ingest_seq`` are split into calls.  A batch without that column
+    is stamped with its time of arrival: a later call wins.
+
+    1. The conformed batch is written once to a staging folder (the input
+       is read once); touched partitions and keys are taken from there.
+    2. Stored rows of the touched (scrape_date, store) pairs that share a
+       key with the batch compete with it.  Only partitions that the batch
+       or such rows lie in are written; with ``replace`` the stored rows of
+       the batch's own partitions are dropped first.
+    3. The merge is staged too, so the plan that overwrites the target never
+       reads the files it replaces.  Overwriting several partitions and
+       deleting emptied ones is not one atomic step: after a failure run
+       the same call again, it gives the same table.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows = conform(df, keep=order)
-    if unique:
-        rows = unique_by_key(rows, PRODUCT_KEY, order)
-    rows = rows.select(*PRODUCT_COLUMNS, "maincatid") if "maincatid" in rows.columns else rows
-    (rows.hint("rebalance", *PARTITION_COLUMNS)
-     .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(root))
+    rows = conform(df, keep=[*dict.fromkeys([SEQ, *order])])
+    if SEQ not in rows.columns:
+        rows = rows.withColumn(SEQ, F.lit(time.time_ns() // 1000).cast("long"))
+    if "maincatid" not in rows.columns:
+        rows = rows.withColumn("maincatid", F.lit(None).cast("string"))
+    folder = work_path(spark, "staging", f"write-{uuid.uuid4().hex}")
+    try:
+        rows.withColumn(SEQ, F.col(SEQ).cast("long")).write.parquet(f"{folder}/batch")
+        staged = spark.read.schema(rows.withColumn(SEQ, F.col(SEQ).cast("long")).schema).parquet(f"{folder}/batch")
+        return _merge(spark, staged, root, order, replace, folder)
+    finally:
+        _delete_path(spark, folder)
 
 
-def _touched(spark: SparkSession, df: DataFrame, pairs: list[tuple]) -> DataFrame:
-    """Rows of ``df`` in the (scrape_date, store) pairs: IN-lists prune the
-    directories, a semi join against the (bounded) pair list keeps exact pairs."""
-    dates = sorted({d for d, _ in pairs})
-    stores = sorted({s for _, s in pairs if s is not None})
-    pruned = df.where(F.col("scrape_date").isin(dates) & F.col("store").isin(stores))
-    keys = spark.createDataFrame(pairs, "scrape_date date, store string")
-    return pruned.join(F.broadcast(keys), ["scrape_date", "store"], "left_semi")
+def _merge(spark: SparkSession, staged: DataFrame, root: str, order: list[str], replace: bool, folder: str) -> list[tuple]:
+    touched = {tuple(r) for r in staged.select(*PARTITION_COLUMNS).distinct().collect()}
+    if not touched:
+        return []
+    if any(k[0] is None or k[1] is None for k in touched):
+        raise ValueError("scrape_date and store must not be NULL")
+    cols = [*PRODUCT_COLUMNS, "maincatid", SEQ]
+    rank = [SEQ, *[c for c in cols if c not in (*PRODUCT_KEY, SEQ)]]
+    batch = unique_by_key(staged, PRODUCT_KEY, [SEQ, *order, *rank[1:]]).select(*cols)
+    old = set(_listed_partitions(spark, root, sorted({k[:2] for k in touched}, key=str))) if table_exists(spark, root) else set()
+    kept = old - touched if replace else old
+    if not kept:
+        _overwrite(batch, root)
+        return sorted(touched, key=str)
+    existing = _in_partitions(spark, _stored(spark, root), kept)
+    rivals = materialise(_key_join(existing, staged, PRODUCT_KEY, "left_semi"), f"{folder}/rivals")
+    moved = {tuple(r) for r in rivals.select(*PARTITION_COLUMNS).distinct().collect()}
+    if moved:
+        batch = dedup_latest(batch.unionByName(rivals), PRODUCT_KEY, rank)
+    rewrite = moved | (touched & kept)
+    rest = _key_join(_in_partitions(spark, _stored(spark, root), rewrite), staged, PRODUCT_KEY, "left_anti")
+    merged = materialise(batch.unionByName(rest), f"{folder}/merged")
+    written = {tuple(r) for r in merged.select(*PARTITION_COLUMNS).distinct().collect()}
+    _overwrite(merged, root)
+    _delete_partitions(spark, root, (rewrite | (touched & old)) - written)
+    return sorted(written, key=str)
+
+
+def _overwrite(rows: DataFrame, root: str) -> None:
+    """Dynamic partition overwrite; ``rebalance`` lets AQE cut a hot partition into even files."""
+    (rows.hint("rebalance", *PARTITION_COLUMNS)
+     .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(root))
 
 
 def _listed_partitions(spark: SparkSession, root: str, pairs: list[tuple]) -> list[tuple]:
@@ -144,7 +236,7 @@ def snapshot_dates(spark: SparkSession, root: str, n: int | None = None) -> list
     found = []
     for st in fs.listStatus(base):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("scrape_date="):
+        if st.isDirectory() and name.startswith("scrape_date=") and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
             found.append((_dt.date.fromisoformat(name.split("=", 1)[1]), st.getPath()))
     out = []
     for d, path in sorted(found, reverse=True):
@@ -158,86 +250,6 @@ def snapshot_dates(spark: SparkSession, root: str, n: int | None = None) -> list
     return out
 
 
-def upsert_products(batch: DataFrame, root: str, order: list[str] | None = None) -> list[tuple]:
-    """Insert-or-replace rows by (product_id, store, scrape_date); last write wins.
-
-    1. The batch's touched (scrape_date, store) pairs are listed (bounded
-       by the number of partition directories, which the driver lists
-       anyway); existing rows of those pairs are read with literal
-       partition filters (pruned scan).
-    2. Batch beats table; inside the batch the greatest ``order`` wins.
-       The pass that lists the touched pairs also counts the batch.  A
-       small batch (count <= BROADCAST_MAX_ROWS) is deduplicated on its
-       own and stored rows survive through a null-safe broadcast anti join
-       on its keys, streamed without a shuffle (the usual incremental /
-       micro-batch case); a large batch and the stored rows go through one
-       keyed aggregate (``dedup_latest``), the least shuffle for it.
-    3. The merge is written to a staging folder under the shared
-       checkpoint directory, then dynamically overwrites the target:
-       the plan that writes the table never reads the files it replaces,
-       and a failed job leaves the target untouched.
-    4. A (date, store, maincatid) partition whose rows all moved to
-       another maincatid is deleted.
-    Returns the partitions written.
-    """
-    spark = batch.sparkSession
-    order = order or []
-    new = conform(batch, keep=order)
-    if "maincatid" not in new.columns:
-        raise ValueError("batch needs a maincatid column (see with_maincatid)")
-    # the batch is read up to three times (pairs, keys, merge): keep it for this call only;
-    # a lost executor recomputes its share from the batch's own lineage
-    new = new.persist()
-    try:
-        return _upsert(spark, new, root, order)
-    finally:
-        new.unpersist()
-
-
-def _upsert(spark: SparkSession, new: DataFrame, root: str, order: list[str]) -> list[tuple]:
-    # one pass over the batch: touched (date, store) pairs and the batch's row count
-    counted = new.groupBy("scrape_date", "store").agg(F.count(F.lit(1)).alias("n")).collect()
-    pairs = [(r[0], r[1]) for r in counted]
-    batch_rows_n = sum(r[2] for r in counted)
-    if not pairs:
-        return []
-    cols = [*PRODUCT_COLUMNS, "maincatid"]
-    seq = F.struct(F.lit(1).alias("_src"), *[F.col(c) for c in order])
-    incoming = new.withColumn("_order", seq).select(*cols, "_order")
-    old_keys: list[tuple] = []
-    if not table_exists(spark, root):
-        merged = dedup_latest(incoming, PRODUCT_KEY, ["_order"]).drop("_order")
-    else:
-        existing = _touched(spark, read_products(spark, root), pairs)
-        old_keys = _listed_partitions(spark, root, pairs)
-        if batch_rows_n <= BROADCAST_MAX_ROWS:
-            # small batch (row count proven above): stored rows stream through a broadcast
-            # anti join on the batch's keys -- no shuffle of the stored partitions
-            bkeys = new.select(*[F.col(k).alias(f"_bk_{k}") for k in PRODUCT_KEY])
-            same = None
-            for k in PRODUCT_KEY:
-                c = F.col(k).eqNullSafe(F.col(f"_bk_{k}"))
-                same = c if same is None else same & c
-            survivors = existing.select(*cols).join(F.broadcast(bkeys), same, "left_anti")
-            merged = (dedup_latest(incoming, PRODUCT_KEY, ["_order"]).drop("_order")
-                      .unionByName(survivors))
-        else:
-            # large batch: one keyed aggregate over stored U batch (batch beats table)
-            stored = existing.withColumn("_order", F.struct(
-                F.lit(0).alias("_src"),
-                *[F.lit(None).cast(incoming.schema["_order"].dataType[c].dataType).alias(c) for c in order]))
-            merged = dedup_latest(stored.select(*cols, "_order").unionByName(incoming),
-                                  PRODUCT_KEY, ["_order"]).drop("_order")
-    staging = work_path(spark, "staging", f"upsert-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
-    new_keys = [tuple(r) for r in staged.select(*PARTITION_COLUMNS).distinct().collect()]
-    write_products(staged, root, unique=False)
-    _delete_partitions(spark, root, set(old_keys) - set(new_keys))
-    _delete_path(spark, staging)
-    return new_keys
-
-
 def _partition_dir(spark: SparkSession, root: str, key: tuple) -> str:
     """Directory of one partition, escaped exactly as Spark's writer escapes values."""
     esc = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
@@ -269,29 +281,8 @@ def register_table(spark: SparkSession, name: str, root: str) -> None:
 
 
 def refresh_table(spark: SparkSession, name: str) -> None:
-    """Make the catalog list exactly the partitions present on storage.
-
-    Partitions whose directory is gone are dropped (one existence check
-    per catalogued partition, on the driver, like any partition listing),
-    then directories not yet catalogued are added and cached file lists
-    are invalidated.
-    """
-    try:
-        listed = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    except Exception:  # table not partition-managed by this catalog
-        listed = []
-    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
-    if listed and loc is not None:
-        jvm = spark._jvm
-        root = loc[1]
-        fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-        for spec in listed:
-            if not fs.exists(jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "/" + spec)):
-                kv = [p.split("=", 1) for p in spec.split("/")]
-                unesc = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-                cond = ", ".join(f"{k} = '{unesc(v)}'" for k, v in kv)
-                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({cond})")
-    spark.catalog.recoverPartitions(name)
+    """Make the catalog list exactly the partitions present on storage, in one statement."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
 
 

@@ -4,9 +4,9 @@ Landed snapshot files (append-only, new names) are read as a file stream
 with the declared schema; each micro-batch is upserted into the
 partitioned table by key (a retried or late batch replaces the same
 rows, so no watermark is needed), after which the derived tables can be
-rebuilt.  Insert-or-replace follows arrival: a later micro-batch
-replaces stored rows of the same key; ``ingest_seq`` orders rows that
-arrive together in one micro-batch.  ``availableNow`` processes what has landed and stops, which is
+rebuilt.  The row with the greatest ``ingest_seq`` stays, whether rows
+of a key arrive in one micro-batch or in several, and in whatever order.
+``availableNow`` processes what has landed and stops, which is
 how a weekly trigger runs it; the checkpoint folder makes it resume
 exactly after the last committed batch.
 """
@@ -39,8 +39,7 @@ def stream_refresh(spark: SparkSession, landing: str, root: str, checkpoint: str
     stream = reader.parquet(landing)
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        # upsert_products keeps the (conformed) micro-batch persisted while it reads it
-        upsert_products(batch, root, order=["ingest_seq"])
+        upsert_products(batch, root)
         if on_batch is not None:
             on_batch(batch.sparkSession, epoch)
 

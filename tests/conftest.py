@@ -13,7 +13,8 @@ from pricelens.session import configure  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 
-HIST, PREV, LATEST = dt.date(2026, 3, 8), dt.date(2026, 4, 6), dt.date(2026, 4, 7)
+#: The newest snapshot, the one before, and the last day that the 30-day average still takes.
+LATEST, PREV, EDGE = dt.date(2025, 11, 20), dt.date(2025, 11, 13), dt.date(2025, 10, 21)
 
 
 @pytest.fixture(scope="session")
@@ -35,34 +36,37 @@ def tmp_root(tmp_path):
     return str(tmp_path)
 
 
-# 13 products, 26 rows: (id, store, dates, list prev->latest, price prev->latest)
-SEED = [
-    ("C1", "store_a", PREV, 100, 200, 90, 90),
-    ("C2", "store_a", PREV, 100, 180, 90, 90),
-    ("C3", "store_a", PREV, 200, 100, 180, 180),
-    ("C4", "store_a", PREV, 200, 120, 180, 180),
-    ("C5", "store_a", PREV, 100, 100, 100, 20),
-    ("C6", "store_a", PREV, 100, 100, 100, 40),
-    ("C7", "store_a", PREV, 100, 100, 90, 90),
-    ("S1", "store_b", PREV, 100, 300, 90, 90),
-    ("S2", "store_b", PREV, 100, 150, 90, 90),
-    ("S3", "store_b", PREV, 200, 100, 180, 90),
-    ("D_C1", "store_a", HIST, 1000, 1000, 1000, 100),
-    ("D_C2", "store_a", HIST, 500, 500, 500, 80),
-    ("D_S1", "store_b", HIST, 1000, 1000, 1000, 100),
-]
+#: id -> store, earlier day, (list price, sale price) on that day and on the newest
+SEED = {
+    "milk": ("north", PREV, (40, 38), (50, 38)),        # list price up
+    "bread": ("north", PREV, (20, 19), (22, 19)),
+    "soap": ("south", PREV, (16, 16), (40, 16)),
+    "brush": ("south", PREV, (25, 21), (30, 21)),
+    "rice": ("north", PREV, (80, 55), (60, 55)),        # list price down
+    "beans": ("north", PREV, (50, 30), (45, 30)),
+    "towel": ("south", PREV, (120, 110), (90, 66)),     # both down
+    "tea": ("north", PREV, (64, 64), (64, 16)),         # sale price down
+    "salt": ("north", PREV, (10, 10), (10, 7)),
+    "oil": ("south", PREV, (70, 70), (70, 84)),         # sale price up: a change, but in no report
+    "sugar": ("north", PREV, (33, 31), (33, 31)),       # no change
+    "lamp": ("north", EDGE, (300, 300), (300, 60)),     # only the average sees the earlier day
+    "chair": ("north", EDGE, (400, 250), (400, 150)),
+    "desk": ("south", EDGE, (900, 800), (900, 200)),
+}
 
 SEED_SCHEMA = ("product_id string, store string, name string, brand string, link string, image string, "
                "is_available boolean, scrape_date date, list_price double, price double")
 
 
 def seed_rows(extra=()):
-    rows = []
-    for pid, store, first, lp0, lp1, p0, p1 in SEED:
-        for d, lp, p in ((first, lp0, p0), (LATEST, lp1, p1)):
-            rows.append((pid, store, f"Product {pid}", "Brand", f"https://example.com/{pid}",
-                         f"https://img.example.com/{pid}.jpg", True, d, float(lp), float(p)))
-    return rows + list(extra)
+    """Two rows a product, and ``extra``."""
+    def on(pid, store, day, prices):
+        listed, paid = map(float, prices)
+        return (pid, store, pid.title(), "House", f"https://shop.example/{store}/{pid}", f"https://shop.example/{pid}.png",
+                True, day, listed, paid)
+
+    return [r for pid, (store, day, before, after) in SEED.items()
+            for r in (on(pid, store, day, before), on(pid, store, LATEST, after))] + list(extra)
 
 
 @pytest.fixture()

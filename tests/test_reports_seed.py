@@ -1,7 +1,7 @@
-"""The 26-row seed: every report against hand-derived results."""
+"""The seed of conftest: every report against hand-derived results."""
 
 import pytest
-from conftest import LATEST, SEED_SCHEMA, seed_rows
+from conftest import EDGE, LATEST, PREV, SEED_SCHEMA, seed_rows
 
 from pricelens import operators as ops
 
@@ -13,7 +13,8 @@ def winners(df, pct):
 def test_price_changes(seed):
     pc = ops.price_changes(seed)
     rows = pc.collect()
-    assert sorted(r.product_id for r in rows) == ["C1", "C2", "C3", "C4", "C5", "C6", "S1", "S2", "S3"]
+    assert sorted(r.product_id for r in rows) == [
+        "beans", "bread", "brush", "milk", "oil", "rice", "salt", "soap", "tea", "towel"]
     assert {r.scrape_date for r in rows} == {LATEST}
     assert all(r.prev_list_price is not None and r.prev_price is not None for r in rows)
 
@@ -26,27 +27,27 @@ def test_price_changes_lag_equals_join(seed):
 
 def test_increases(seed):
     got = winners(ops.list_price_increases(ops.price_changes(seed)), "pct_increase")
-    assert got == {("store_a", "C1", 100.0, 1), ("store_a", "C2", 80.0, 2),
-                   ("store_b", "S1", 200.0, 1), ("store_b", "S2", 50.0, 2)}
+    assert got == {("north", "milk", 25.0, 1), ("north", "bread", 10.0, 2),
+                   ("south", "soap", 150.0, 1), ("south", "brush", 20.0, 2)}
 
 
 def test_decreases(seed):
     got = winners(ops.list_price_decreases(ops.price_changes(seed)), "pct_decrease")
-    assert got == {("store_a", "C3", 50.0, 1), ("store_a", "C4", 40.0, 2), ("store_b", "S3", 50.0, 1)}
+    assert got == {("north", "rice", 25.0, 1), ("north", "beans", 10.0, 2), ("south", "towel", 25.0, 1)}
 
 
 def test_discounts(seed):
     got = winners(ops.discounts(ops.price_changes(seed)), "pct_decrease")
-    assert got == {("store_a", "C5", 80.0, 1), ("store_a", "C6", 60.0, 2), ("store_b", "S3", 50.0, 1)}
+    assert got == {("north", "tea", 75.0, 1), ("north", "salt", 30.0, 2), ("south", "towel", 40.0, 1)}
 
 
 def test_avg_deals(seed):
     rows = ops.avg_deals_30d(seed).collect()
     got = {(r.store, r.product_id, r.avg_price_30d, r.current_price, r.pct_discount, r["rank"]) for r in rows}
     assert got == {
-        ("store_a", "D_C1", 1000.0, 100.0, 90.0, 1), ("store_a", "D_C2", 500.0, 80.0, 84.0, 2),
-        ("store_a", "C5", 100.0, 20.0, 80.0, 3), ("store_a", "C6", 100.0, 40.0, 60.0, 4),
-        ("store_b", "D_S1", 1000.0, 100.0, 90.0, 1), ("store_b", "S3", 180.0, 90.0, 50.0, 2),
+        ("north", "lamp", 300.0, 60.0, 80.0, 1), ("north", "tea", 64.0, 16.0, 75.0, 2),
+        ("north", "chair", 250.0, 150.0, 40.0, 3), ("north", "salt", 10.0, 7.0, 30.0, 4),
+        ("south", "desk", 800.0, 200.0, 75.0, 1), ("south", "towel", 110.0, 66.0, 40.0, 2),
     }
 
 
@@ -75,15 +76,14 @@ def test_histories_single_scan(seed):
 
 def test_thirty_one_days_is_outside(spark):
     import datetime as dt
-    rows = seed_rows([("OLD", "store_a", "o", "b", "l", "i", True, dt.date(2026, 3, 7), 500.0, 500.0),
+    rows = seed_rows([("OLD", "store_a", "o", "b", "l", "i", True, EDGE - dt.timedelta(days=1), 500.0, 500.0),
                       ("OLD", "store_a", "o", "b", "l", "i", True, LATEST, 100.0, 100.0)])
     df = spark.createDataFrame(rows, SEED_SCHEMA)
     assert "OLD" not in {r.product_id for r in ops.avg_deals_30d(df).collect()}
 
 
 def test_rank_cut_with_ties(spark):
-    import datetime as dt
-    prev = dt.date(2026, 4, 6)
+    prev = PREV
     rows = []
     for i in range(25):
         pid = f"T{i:02d}"
@@ -96,8 +96,7 @@ def test_rank_cut_with_ties(spark):
 
 
 def test_missing_previous_and_unavailable(spark):
-    import datetime as dt
-    prev = dt.date(2026, 4, 6)
+    prev = PREV
     rows = [("A", "s", "n", "b", "l", "i", True, LATEST, 200.0, 200.0),                      # only latest
             ("B", "s", "n", "b", "l", "i", True, prev, 100.0, 100.0),
             ("B", "s", "n", "b", "l", "i", None, LATEST, 200.0, 200.0),                      # NULL availability
@@ -140,10 +139,10 @@ def test_feed(seed):
 
 def test_report_stores_and_labels(seed):
     pc = ops.price_changes(seed)
-    assert [r.store for r in ops.report_stores(ops.discounts(pc)).collect()] == ["store_a", "store_b"]
+    assert [r.store for r in ops.report_stores(ops.discounts(pc)).collect()] == ["north", "south"]
     entries = ops.with_labels(ops.report_entries({"list_price_increases": ops.list_price_increases(pc)}))
     labels = {r.product_id: r.label for r in entries.collect()}
-    assert labels["C1"] == "▲ 100.0%  ($100.00 → $200.00)"
+    assert labels["milk"] == "▲ 25.0%  ($40.00 → $50.00)"
 
 
 def test_stamp_date_and_maincatid(spark):

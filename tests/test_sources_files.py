@@ -93,10 +93,21 @@ def test_cli_ingest_and_refresh(spark, tmp_root, capsys):
             f.write(json.dumps(page(price, offer)) + "\n")
             f.write("{truncated\n")
         q = os.path.join(tmp_root, "quarantine", day)
-        assert main(["ingest", "catalog_b", path, root, "--store", "sb", "--date", day,
+        assert main(["ingest", "catalog_b", path, root, "--store", "sb", "--date", day, "--category", "/31/7/",
                      "--quarantine", q]) == 0
         assert spark.read.parquet(q).count() == 1
+        assert {r.maincatid for r in P.read_products(spark, root).collect()} == {"31"}
     assert main(["refresh", root, out, "--no-csv"]) == 0
     printed = capsys.readouterr().out
     assert "'price_changes': 1" in printed and "'list_price_increases': 1" in printed
     assert "'discounts': 1" in printed
+
+
+def test_broken_simulation_line_leaves_products_available(spark):
+    rows = spark.createDataFrame([("1", 5.0, 5.0, 6.0, True), ("2", 7.0, 7.0, 8.0, True), ("3", 7.0, 7.0, 8.0, False)],
+                                 "sku string, price double, pricewithoutdiscount double, list_price double, is_available boolean")
+    sim = spark.createDataFrame([("1", 4.0, 6.0)], "sku string, sim_price double, sim_list_price double")
+    whole = sorted((r.price, r.is_available) for r in N.apply_simulation(rows, sim).collect())
+    partial = sorted((r.price, r.is_available) for r in N.apply_simulation(rows, sim, partial=True).collect())
+    assert whole == [(4.0, True), (7.0, False), (7.0, False)]
+    assert partial == [(4.0, True), (7.0, False), (7.0, True)]

@@ -3,7 +3,9 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelens import operators as ops
 from pricelens.schemas import PRODUCTS_STORED
@@ -120,5 +122,36 @@ def test_unique_by_key_equals_dedup_latest(spark):
     df = spark.createDataFrame(rows, "k string, seq int, v double")
     want = sorted(dedup_latest(df, ["k"], ["seq"]).collect(), key=str)
     assert sorted(unique_by_key(df, ["k"], ["seq"]).collect(), key=str) == want
-    assert sorted(unique_by_key(df, ["k"], ["seq"], max_dup_keys=0).collect(), key=str) == want
     assert sorted(r.v for r in want) == [2.0, 4.0, 5.0, 7.0]
+
+
+def test_key_is_unique_across_categories(spark, tmp_root):
+    """The same product written under two categories in two calls is stored once, by the later call."""
+    root = tmp_root + "/products"
+    P.write_products(spark.createDataFrame([row("p1", 1.0, maincatid="m1"), row("p2", 5.0, maincatid="m1")], PRODUCTS_STORED), root)
+    P.write_products(spark.createDataFrame([row("p1", 2.0, maincatid="m2")], PRODUCTS_STORED), root)
+    got = {(r.product_id, r.price, r.maincatid) for r in P.read_products(spark, root).collect()}
+    assert got == {("p1", 2.0, "m2"), ("p2", 5.0, "m1")}
+
+
+@pytest.mark.parametrize("calls,backwards", [(1, True), (2, False), (8, True)])
+def test_upsert_does_not_depend_on_the_split(spark, tmp_root, calls, backwards):
+    """Rows with ``ingest_seq`` give one table, however they are split into calls and ordered."""
+    root = tmp_root + "/products"
+    schema = T.StructType([*PRODUCTS_STORED.fields, T.StructField("ingest_seq", T.LongType())])
+    rows = [(*row(f"p{k % 3}", float(k), maincatid=f"m{k % 2}"), 10 - k if k % 3 else 7) for k in range(8)]
+    rows = rows[::-1] if backwards else rows
+    step = 8 // calls
+    for a in range(0, 8, step):
+        P.upsert_products(spark.createDataFrame(rows[a:a + step], schema), root)
+    got = {(r.product_id, r.price, r.maincatid) for r in P.read_products(spark, root).collect()}
+    # p0 ties on ingest_seq 7 between 0, 3 and 6: the greater columns win
+    assert got == {("p0", 6.0, "m0"), ("p1", 1.0, "m1"), ("p2", 2.0, "m0")}
+
+
+def test_null_partition_keys_are_rejected(spark, tmp_root):
+    root = tmp_root + "/products"
+    for bad in (row("p1", 1.0, d=None), row("p1", 1.0, store=None)):
+        with pytest.raises(ValueError, match="must not be NULL"):
+            P.write_products(spark.createDataFrame([bad], PRODUCTS_STORED), root)
+    assert P.read_products(spark, root).count() == 0 and P.snapshot_dates(spark, root) == []
