@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import SEED_SCHEMA, seed_rows
+from conftest import LATEST, SEED_SCHEMA, seed_rows
 from pyspark.sql import functions as F
 
 from pricelens import operators as ops
@@ -21,7 +21,7 @@ def test_refresh_outputs(spark, tmp_root):
     root, out = os.path.join(tmp_root, "products"), os.path.join(tmp_root, "out")
     stored_seed(spark, root)
     res = refresh(spark, root, out)
-    assert res["price_changes"].count() == 9
+    assert res["price_changes"].count() == 10
     assert {n: res[n].count() for n in ("list_price_increases", "list_price_decreases", "discounts",
                                          "avg_deals_30d")} == {
         "list_price_increases": 4, "list_price_decreases": 3, "discounts": 3, "avg_deals_30d": 6}
@@ -41,7 +41,7 @@ def test_join_checked_broadcasts_only_small_sides(spark, tmp_root):
     keys = prod.select("product_id", "store").distinct()
     small = join_checked(prod, keys, ["product_id", "store"], "left_semi", max_rows=100)
     big = join_checked(prod, keys, ["product_id", "store"], "left_semi", max_rows=3)
-    assert small.count() == big.count() == 26
+    assert small.count() == big.count() == 28
     assert "BroadcastHashJoin" in _plan(small)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -67,7 +67,7 @@ def test_bucketed_table_joins_without_exchange(spark, tmp_root):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         pc = ops.price_changes(prod)
-        assert pc.count() == 9
+        assert pc.count() == 10
         plan = _plan(pc)
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         avg = ops.avg_price_30d(prod)
@@ -85,8 +85,8 @@ def test_refresh_replaces_stale_history(spark, tmp_root):
     refresh(spark, root, out, csv=False)
     # next week: nothing changed, so the three change reports are empty
     import datetime as dt
-    latest = P.read_products(spark, root).where(F.col("scrape_date") == dt.date(2026, 4, 7))
-    P.write_products(latest.withColumn("scrape_date", F.lit(dt.date(2026, 4, 14))), root)
+    latest = P.read_products(spark, root).where(F.col("scrape_date") == LATEST)
+    P.write_products(latest.withColumn("scrape_date", F.lit(LATEST + dt.timedelta(days=7))), root)
     res = refresh(spark, root, out, csv=False)
     assert res["price_changes"].count() == 0
     reports = {r["report"] for r in res["histories"].select("report").distinct().collect()}
