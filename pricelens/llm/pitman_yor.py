@@ -1,22 +1,24 @@
 """Hierarchical Pitman-Yor language model with distributed Gibbs sampling.
 
-Restaurants: one for each frequent previous word, a fixed number of shared ones for all other previous
-words (by hash) and one for text starts.  They share one parent, the unigram restaurant, whose base is
-uniform over the ``V`` training words and one unknown word.  A dish is a word.  Each sweep redraws, for
-every dish, the number of tables that serve it in every restaurant given all other dishes' tables
-(generalised Stirling numbers give the seatings' weights), then the tables of the parent.  All of a
-dish's state lies together, so a sweep is one pass over words and exchanges only the restaurants'
-totals, an array of fixed size.  Draws use generators keyed by bucket and sweep: a task that runs again
-draws the same.
-
-Words are cut into buckets by hash.  Words that are among the ``frequent`` most common ones would make
-hot buckets: their pairs are counted where they are read, and only their occurrences stay with the text.
+Restaurants: one for every previous word, keyed by its hash, and one for text starts.  They share one
+parent, the unigram restaurant, whose base is uniform over the ``V`` training words and one unknown word.
+A dish is a word.  Each sweep redraws, for every dish, the number of tables that serve it in every
+restaurant given all other dishes' tables (generalised Stirling numbers give the seatings' weights), then
+the tables of the parent.  Draws use generators keyed by bucket and sweep: a task that runs again draws
+the same.
+
+Words are cut into buckets by hash; all of a dish's state lies in one.  A flush of texts sends each
+bucket its distinct pairs of words with their counts, so a frequent pair is one entry of a flush, and
+keeps for every occurrence the number of its pair.  After a sweep every bucket sends the tables of its
+previous words to the bucket of their hash, which adds them up and answers with the totals: what is
+exchanged grows with the previous words, and the driver sees only sums over all of them.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,44 +26,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm.arrays import array_sum, by_key, grouped, pack, sliced, unpack
+from pricelens.llm.arrays import by_key, grouped, pack, unpack
 from pricelens.llm.scratch import written
 from pricelens.llm.textbatch import byte_slices, text_words
 
-FREQUENT = 2048          # previous words with a restaurant of their own; also the words scored beside the text
-SHARED = 64              # restaurants shared by all other previous words
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
 BUCKET_TOKENS = 2 << 20
 FLUSH_WORDS, FLUSH_DOCS = 1 << 20, 60_000
-TOP_GROUPS = 16
 END = np.uint64(0x5E7D0FD0C)     # stands for the end of a text
+START = np.uint64(0x57A27F10A7)  # stands for its start, as a previous word
 EXACT = 64               # counts up to this use the exact conditional of the tables
 
 
-class Lexicon:
-    """The frequent words, sorted by hash; the hash's first 16 bits lead to a few of them."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = np.append(words.astype(np.uint64), np.uint64(0))
-        self.first = np.searchsorted(words >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64))
-        self.longest = int(np.diff(self.first).max())
-
-    def __len__(self) -> int:
-        return len(self.words) - 1
-
-    def index(self, words: np.ndarray) -> np.ndarray:
-        """Index of each word, -1 if it is not frequent."""
-        head = (words >> np.uint64(48)).astype(np.int64)
-        at, end = self.first[head], self.first[head + 1]
-        out = np.full(len(words), -1)
-        for _ in range(self.longest):
-            hit = (self.words[at] == words) & (at < end)
-            out[hit] = at[hit]
-            at = np.minimum(at + 1, len(self.words) - 1)
-        return out
-
-
 def token_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and end signs of all texts in order, and the number of tokens of each text."""
     words, first = text_words(data, off)
@@ -104,13 +81,29 @@ def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
     return (((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
 
 
-def occurrences(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
-    """Rows ``part, flush, payload``: a flush's rare words by bucket (``part`` below ``buckets``), and its texts.
+def distinct_pairs(words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and contexts of the distinct pairs, sorted by them, and the pair of each occurrence."""
+    order = np.lexsort((contexts, words))
+    w, ctx = words[order], contexts[order]
+    new = np.ones(len(w), bool)
+    new[1:] = (w[1:] != w[:-1]) | (ctx[1:] != ctx[:-1])
+    pair = np.empty(len(w), np.uint32)
+    pair[order] = np.cumsum(new) - 1
+    return w[new], ctx[new], pair
+
+
+def steps_of(values: np.ndarray) -> np.ndarray:
+    """Differences that ``np.cumsum`` undoes; those of sorted values pack well."""
+    out = values.copy()
+    out[1:] -= values[:-1]
+    return out
+
+
+def occurrences(docs: DataFrame, buckets: int) -> DataFrame:
+    """Rows ``part, flush, payload``: a flush's distinct pairs by bucket (``part`` below ``buckets``), and its texts.
 
-    The texts' rows hold ids, training flags, token counts and the occurrences of frequent words.
+    The texts' rows hold ids, training flags, token counts and the pair of every occurrence.
     """
-    own = len(lexicon)
-    start = own + SHARED
 
     def emit(part: list[int], flush: str, payload: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([flush] * len(part)),
@@ -122,28 +115,21 @@ def occurrences(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
         n_words = n_docs = 0
 
         def flush() -> pa.RecordBatch:
-            w, ctx, n = np.concatenate(words), np.concatenate(contexts), np.concatenate(sizes)
-            key, learns = pa.concat_arrays(ids), np.concatenate(train)
-            doc = np.repeat(np.arange(len(n), dtype=np.uint16), n)
-            top = lexicon.index(w)
-            common = top >= 0
+            n, key, learns = np.concatenate(sizes), pa.concat_arrays(ids), np.concatenate(train)
+            w, ctx, pair = distinct_pairs(np.concatenate(words), np.concatenate(contexts))
+            count = np.bincount(pair, weights=np.repeat(learns, n), minlength=len(w)).astype(np.int64)
+            edges = np.searchsorted(bucket_of(w, buckets), np.arange(buckets + 1))
             rows, blobs = [], []
-            rare = np.flatnonzero(~common)
-            rw = w[rare]
-            order = np.argsort(rw)                                # by word, hence by bucket
-            rare, rw = rare[order], rw[order]
-            part = bucket_of(rw, buckets)
-            edges = np.searchsorted(part, np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 at = slice(edges[b], edges[b + 1])
-                pick = rare[at]
+                own, per = np.unique(w[at], return_counts=True)
                 rows.append(b)
-                blobs.append(pack(rw[at], ctx[pick], doc[pick], learns[doc[pick]].astype(np.uint8)))
+                blobs.append(pack(steps_of(own), per.astype(np.uint32), steps_of(ctx[at]), count[at]))
             here = f"{name}-{seq}"
-            rows.append(buckets + seq * 31 % max(buckets, 1))
+            rows.append(buckets + zlib.crc32(here.encode()) % buckets)
             blobs.append(pack(
                 key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
-                learns.astype(np.uint8), n.astype(np.int64), doc[common], top[common].astype(np.uint16), ctx[common]))
+                learns.astype(np.uint8), n.astype(np.int64), pair))
             for x in (ids, train, sizes, words, contexts):
                 x.clear()
             return emit(rows, here, blobs)
@@ -151,9 +137,6 @@ def occurrences(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
         for batch in batches:
             learns = batch.column(1).to_numpy(zero_copy_only=False)
             for i, j, data, off in byte_slices(batch.column(2)):
-                if n_docs + j - i > FLUSH_DOCS and n_docs:
-                    yield flush()
-                    seq, n_words, n_docs = seq + 1, 0, 0
                 for a in range(i, j, FLUSH_DOCS):                 # a slice of very many tiny texts
                     b = min(j, a + FLUSH_DOCS)
                     if n_docs and n_docs + b - a > FLUSH_DOCS:
@@ -161,11 +144,9 @@ def occurrences(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
                         seq, n_words, n_docs = seq + 1, 0, 0
                     lo, hi = off[a - i], off[b - i]
                     tokens, n = token_stream(data[lo:hi], off[a - i:b - i + 1] - lo)
-                    top = lexicon.index(tokens)
-                    ctx = np.where(top >= 0, top, own + (tokens % np.uint64(SHARED)).astype(np.int64)).astype(np.uint16)
-                    before = np.empty_like(ctx)
-                    before[1:] = ctx[:-1]
-                    before[np.cumsum(n) - n] = start
+                    before = np.empty_like(tokens)
+                    before[1:] = tokens[:-1]
+                    before[np.cumsum(n) - n] = START
                     ids.append(batch.column(0).slice(a, b - a))
                     train.append(learns[a:b])
                     sizes.append(n)
@@ -182,81 +163,44 @@ def occurrences(docs: DataFrame, lexicon: Lexicon, buckets: int) -> DataFrame:
 
 
 def bucket_tables(rows: DataFrame, buckets: int) -> DataFrame:
-    """One row per bucket of rare words, and the texts' rows as they are.
+    """One row per bucket of words, and the texts' rows as they are.
 
-    ``part, flush, pairs, uses``: ``pairs`` has each word, its number of pairs, and every pair's context
-    and training count; ``uses`` has, for each occurrence, its pair, flush and text.
+    ``part, flush, pairs, contexts, uses``: ``pairs`` has the number of pairs of each word, and every
+    pair's context and training count; ``contexts`` has the contexts' hashes in order; ``uses`` has the
+    pairs of each flush, in the flush's own order.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(part: int, flush: str, pairs: bytes | None, uses: bytes) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([flush]),
-                                               pa.array([pairs], pa.binary()), pa.array([uses], pa.binary())],
-                                              names=["part", "flush", "pairs", "uses"])
+        def row(part: int, flush: str, pairs: bytes | None, contexts: bytes | None, uses: bytes) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([flush]), *(pa.array([x], pa.binary()) for x in (pairs, contexts, uses))],
+                names=["part", "flush", "pairs", "contexts", "uses"])
 
         for part, held in grouped(batches):
             flushes = [f for b in held for f in b.column(1).to_pylist()]
             blobs = (p.as_py() for b in held for p in b.column(2))
             if part >= buckets:
                 for name, blob in zip(flushes, blobs, strict=True):
-                    yield row(part, name, None, blob)
+                    yield row(part, name, None, None, blob)
                 continue
             order = np.argsort(flushes)                       # the same row whatever order blobs came in
             pieces = [unpack(p) for p in blobs]
             pieces = [pieces[i] for i in order]
-            flushes = [flushes[i] for i in order]
-            w, ctx, doc, learns = (np.concatenate([p[i] for p in pieces]) for i in range(4))
-            source = np.repeat(np.arange(len(pieces), dtype=np.uint32), [len(p[0]) for p in pieces])
-            words, at = np.unique(w, return_inverse=True)
-            pair, use = np.unique(at * (1 << 16) + ctx, return_inverse=True)
-            count = np.bincount(use, weights=learns, minlength=len(pair)).astype(np.int64)
-            order = np.lexsort((doc, source))
-            names = "\n".join(flushes).encode()
-            yield row(part, "", pack(words, np.bincount(pair >> 16, minlength=len(words)).astype(np.uint32),
-                                     (pair & 0xFFFF).astype(np.uint16), count),
-                      pack(use[order].astype(np.uint32), source[order], doc[order], np.frombuffer(names, np.uint8)))
-
-    return by_key(rows, "part", 2 * buckets).mapInArrow(build, "part int, flush string, pairs binary, uses binary")
-
-
-def top_tables(tables: DataFrame, own: int, buckets: int) -> DataFrame:
-    """Rows like ``bucket_tables``' for the frequent words, from the texts' rows: ``part, pairs``."""
-    contexts = own + SHARED + 1
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(max(own, 1) * contexts, np.int32)         # of one task's texts
-        seen = False
-        for batch in batches:
-            for payload in batch.column(0):
-                _, _, learns, _, doc, top, ctx = unpack(payload.as_py())
-                mine = learns[doc] > 0
-                at, n = np.unique(top[mine].astype(np.int32) * contexts + ctx[mine], return_counts=True)
-                total[at] += n.astype(np.int32)
-                seen = True
-        if seen:
-            at = np.flatnonzero(total)
-            group = at // contexts * TOP_GROUPS // max(own, 1)
-            edges = np.searchsorted(group, np.arange(TOP_GROUPS + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(TOP_GROUPS, dtype=np.int32)),
-                 pa.array([pack(at[a:b], total[at[a:b]].astype(np.int64)) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
-                names=["part", "payload"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, held in grouped(batches):
-            pieces = [unpack(p.as_py()) for b in held for p in b.column(1)]
-            at, inverse = np.unique(np.concatenate([p[0] for p in pieces]), return_inverse=True)
-            n = np.zeros(len(at), np.int64)
-            np.add.at(n, inverse, np.concatenate([p[1] for p in pieces]))
-            words, per = np.unique(at // contexts, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([2 * buckets + part], pa.int32()),
-                 pa.array([pack(words.astype(np.uint64), per.astype(np.uint32), (at % contexts).astype(np.uint16), n)],
-                          pa.binary())], names=["part", "pairs"])
-
-    texts = tables.filter(F.col("part") >= buckets).select("uses")
-    return by_key(texts.mapInArrow(count, "part int, payload binary"), "part", TOP_GROUPS).mapInArrow(
-        add, "part int, pairs binary")
+            names = "\n".join(flushes[i] for i in order).encode()
+            sizes = np.array([len(p[2]) for p in pieces], np.int64)
+            n = np.concatenate([p[3] for p in pieces])
+            w, ctx, use = distinct_pairs(
+                np.concatenate([np.repeat(np.cumsum(p[0], dtype=np.uint64), p[1]) for p in pieces]),
+                np.concatenate([np.cumsum(p[2], dtype=np.uint64) for p in pieces]))
+            del pieces
+            count = np.bincount(use, weights=n, minlength=len(w)).astype(np.int64)
+            per = np.unique(w, return_counts=True)[1]
+            contexts, at = np.unique(ctx, return_inverse=True)
+            yield row(part, "", pack(per.astype(np.uint32), at.astype(np.uint32), count), pack(steps_of(contexts)),
+                      pack(steps_of(use), sizes, np.frombuffer(names, np.uint8)))
+
+    return by_key(rows, "part", 2 * buckets).mapInArrow(
+        build, "part int, flush string, pairs binary, contexts binary, uses binary")
 
 
 def log_stirling(discount: float, size: int = EXACT) -> np.ndarray:
@@ -276,8 +220,8 @@ def draw_tables(count: np.ndarray, weight: np.ndarray, discount: float, stirling
                 rng: np.random.Generator) -> np.ndarray:
     """Tables of dishes with ``count`` customers; ``weight`` is the weight of a new table, (theta + d T) P.
 
-    Up to ``EXACT`` customers are drawn from the exact conditional; further ones are seated in batches
-    of an eighth of those already there.
+    Up to ``EXACT`` customers are drawn from the exact conditional; further ones are seated in binomial
+    batches of an eighth of those already there, which is not a Gibbs draw.
     """
     tables = np.ones(len(count), np.int64)
     some = np.flatnonzero(count >= 2)
@@ -372,28 +316,80 @@ class Model:
         return total / kept
 
 
-def _sum_totals(pairs: DataFrame, model: Model, sweep: int) -> tuple[Totals, np.ndarray, np.ndarray]:
-    """Totals after ``sweep`` sweeps, each context's customers, and counts of counts (pairs; parents)."""
-    contexts = model.contexts
+def with_totals(tables: DataFrame, totals: list[DataFrame], buckets: int, uses: bool = False) -> DataFrame:
+    """A bucket's row and the totals of its contexts after each sweep so far, side by side."""
+    own = tables.filter(F.col("part") < buckets).select(
+        "part", F.lit(-1).alias("sweep"), F.lit(-1).alias("bucket"), F.col("pairs").alias("payload"), "contexts",
+        (F.col("uses") if uses else F.lit(None).cast("binary")).alias("uses"))
+    if not totals:
+        return own
+    for t in totals:
+        own = own.unionByName(t.select("part", "sweep", "bucket", "payload", F.lit(None).cast("binary").alias("contexts"),
+                                       F.lit(None).cast("binary").alias("uses")))
+    return by_key(own, "part", buckets)
+
+
+def bucket_state(held: list[pa.RecordBatch], model: Model, parents: list[tuple[float, float]]
+                 ) -> tuple[Model, list[np.ndarray], np.ndarray, bytes | None]:
+    """The model as a bucket's contexts see it, the bucket's pairs, its contexts and its uses."""
+    rows = sorted((r for b in held for r in zip(*(b.column(k).to_pylist() for k in range(1, 6)), strict=True)),
+                  key=lambda r: r[:2])
+    (_, _, pairs, contexts, uses), told = rows[0], [(r[0], unpack(r[2])) for r in rows[1:]]
+    # a bucket's contexts are sorted by hash, hence by the bucket that added them up
+    local = replace(model, history=[
+        Totals(np.concatenate([x[0] for sweep, x in told if sweep == s]).astype(np.float64), *parent)
+        for s, parent in enumerate(parents)])
+    if told:
+        local.customers = np.concatenate([x[1] for sweep, x in told if sweep == 0]).astype(np.float64)
+    return local, unpack(pairs), np.cumsum(unpack(contexts)[0], dtype=np.uint64), uses
+
+
+def _sum_totals(tables: DataFrame, totals: list[DataFrame], model: Model, parents: list[tuple[float, float]], buckets: int
+                ) -> tuple[DataFrame, np.ndarray]:
+    """Totals of each context after the next sweep, for each bucket that has it, and six sums over all.
+
+    The sums are the parent's customers and tables, and the counts of counts (pairs; parents).
+    """
+    sweep = len(totals)
+    names = [f"r{k}" for k in range(6)]
+    kind = "payload binary, " + ", ".join(f"{x} double" for x in names)
+
+    def batch_of(keys: list[tuple[str, list[int]]], payload: list[bytes], rest: np.ndarray) -> pa.RecordBatch:
+        sums = [pa.array([x] + [0.0] * (len(payload) - 1)) for x in rest.tolist()]          # once, with the first row
+        return pa.RecordBatch.from_arrays([*(pa.array(v, pa.int32()) for _, v in keys), pa.array(payload, pa.binary()), *sums],
+                                          names=[*(k for k, _ in keys), "payload", *names])
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, held in grouped(batches):
+            local, (per, ctx, count), contexts, _ = bucket_state(held, model, parents)
+            for state in local.states(part, per, ctx, count, sweep):
+                pass
+            t, c, u = state
+            rest = np.array([c.sum(), u.sum(), (count == 1).sum(), (count == 2).sum(), (c == 1).sum(), (c == 2).sum()], float)
+            sent = [np.bincount(ctx, weights=x, minlength=len(contexts)).astype(np.int64)
+                    for x in ((t, count) if sweep == 0 else (t,))]
+            edges = np.searchsorted(bucket_of(contexts, buckets), np.arange(buckets + 1))
+            to = np.flatnonzero(np.diff(edges)).tolist()
+            blobs = [pack(steps_of(contexts[edges[k]:edges[k + 1]]), *(x[edges[k]:edges[k + 1]] for x in sent)) for k in to]
+            yield batch_of([("bucket", to), ("part", [part] * len(to))], blobs, rest)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, customers, rest = np.zeros(contexts), np.zeros(contexts), np.zeros(6)
-        for batch in batches:
-            for part, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                _, per, ctx, count = unpack(payload.as_py())
-                for state in model.states(part, per, ctx, count, sweep):
-                    pass
-                t, c, u = state
-                tables += np.bincount(ctx, weights=t, minlength=contexts)
-                customers += np.bincount(ctx, weights=count, minlength=contexts)
-                rest += [c.sum(), u.sum(), (count == 1).sum(), (count == 2).sum(), (c == 1).sum(), (c == 2).sum()]
-        yield sliced(np.concatenate([tables, customers, rest]))
-
-    total = array_sum(pairs.select("part", "pairs").mapInArrow(add, "part int, payload binary"))
-    if not len(total):
-        total = np.zeros(2 * contexts + 6)
-    rest = total[2 * contexts:]
-    return Totals(total[:contexts], rest[0], rest[1]), total[contexts:2 * contexts], rest[2:]
+        for bucket, held in grouped(batches):
+            parts = [x for b in held for x in b.column(1).to_pylist()]
+            pieces = [unpack(x.as_py()) for b in held for x in b.column(2)]
+            rest = np.array([[x for b in held for x in b.column(3 + k).to_pylist()] for k in range(6)]).sum(axis=1)
+            at = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in pieces]), return_inverse=True)[1]
+            total = [np.bincount(at, weights=np.concatenate([p[k] for p in pieces])).astype(np.int64)
+                     for k in range(1, len(pieces[0]))]
+            edges = np.cumsum([0, *(len(p[0]) for p in pieces)])
+            blobs = [pack(*(x[at[a:b]] for x in total)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            n = len(parts)
+            yield batch_of([("part", parts), ("sweep", [sweep] * n), ("bucket", [bucket] * n)], blobs, rest)
+
+    told = with_totals(tables, totals, buckets).mapInArrow(tell, f"bucket int, part int, {kind}")
+    added = written(by_key(told, "bucket", buckets).mapInArrow(add, f"part int, sweep int, bucket int, {kind}"), f"totals{sweep}")
+    sums = added.agg(*(F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in names)).first()
+    return added, np.array(sums, float)
 
 
 def _discount(ones: float, twos: float) -> float:
@@ -402,141 +398,82 @@ def _discount(ones: float, twos: float) -> float:
 
 @dataclass
 class Fitted:
-    """A fitted model: the word tables it was fitted on, and its totals."""
+    """A fitted model: the word tables it was fitted on, and the totals of every sweep."""
 
     tables: DataFrame
-    top: DataFrame
     buckets: int
     model: Model
-    top_counts: np.ndarray
+    totals: list[DataFrame]
+    parents: list[tuple[float, float]]      # the parent's customers and tables after each sweep
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train=None, sweeps: int = SWEEPS,
-        frequent: int = FREQUENT) -> Fitted:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train=None, sweeps: int = SWEEPS) -> Fitted:
     """Read all texts, learn from the rows that ``train`` (a Column) marks, and run the sampler.
 
-    Every training token is counted; the only bounds are the numbers of restaurants.
+    Every training token is counted, in the restaurant of its own previous word.
     """
     train = F.lit(True) if train is None else train
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"),
                        F.col(text_col).alias("text"))
-    words = written(vocabulary(rows), "vocabulary")
-    size = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    top = words.orderBy(F.desc("n"), "word").limit(frequent).collect()
-    top = sorted(top, key=lambda r: r.word % (1 << 64))
-    lexicon = Lexicon(np.array([r.word for r in top], np.int64).view(np.uint64))
-    own = len(top)
+    size = vocabulary(rows).agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     buckets = max(1, -(-size.n * 5 // (4 * BUCKET_TOKENS)))
-    tables = written(bucket_tables(occurrences(rows, lexicon, buckets), buckets), "occurrences")
-    counted = written(top_tables(tables, own, buckets), "frequent")
-    pairs = tables.filter(F.col("part") < buckets).select("part", "pairs").unionByName(counted)
-    model = Model(own + SHARED + 1, size.v, size.n)
-    first, model.customers, ones = _sum_totals(pairs, model, 0)
-    model.discount, model.parent_discount = _discount(ones[0], ones[1]), _discount(ones[2], ones[3])
-    model.history.append(first)
-    for s in range(1, sweeps + 1):
-        model.history.append(_sum_totals(pairs, model, s)[0])
-    return Fitted(tables, counted, buckets, model, np.array([r.n for r in top], np.float64))
+    tables = written(bucket_tables(occurrences(rows, buckets), buckets), "occurrences")
+    model = Model(0, size.v, size.n)
+    totals: list[DataFrame] = []
+    parents: list[tuple[float, float]] = []
+    for s in range(sweeps + 1):
+        added, rest = _sum_totals(tables, totals, model, parents, buckets)
+        if s == 0:
+            model.discount, model.parent_discount = _discount(rest[2], rest[3]), _discount(rest[4], rest[5])
+        totals.append(added)
+        parents.append((float(rest[0]), float(rest[1])))
+    return Fitted(tables, buckets, model, totals, parents)
 
 
 def score(spark: SparkSession, fitted: Fitted) -> DataFrame:
     """One row per text: ``doc_id, trained, n_tokens, n_known, base_score, score`` (log10)."""
-    model, buckets = fitted.model, fitted.buckets
-    own, contexts = len(fitted.top_counts), model.contexts
+    model, buckets, parents = fitted.model, fitted.buckets, fitted.parents
     floor = model.tokens + 0.5 * (model.vocabulary + 1)
 
-    def top_matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words, per, ctx, count = unpack(payload.as_py())
-                if not len(words):
-                    continue
-                # a dense row for each word: contexts it was not seen in have no customers
-                dense = np.zeros((len(words), contexts), np.int64)
-                dense[np.repeat(np.arange(len(words)), per), ctx] = count
-                p = _dense_predict(model, part, per, ctx, count, dense)
-                yield pa.RecordBatch.from_arrays([pa.array([pack(words, np.log10(p).astype(np.float32).ravel())], pa.binary())],
-                                                 names=["payload"])
-
-    logs = np.zeros((max(own, 1), contexts), np.float32)         # frequent words x contexts: a fixed size
-    for row in fitted.top.mapInArrow(top_matrix, "payload binary").collect():
-        words, values = unpack(bytes(row.payload))
-        logs[words.astype(np.int64)] = values.reshape(len(words), contexts)
-    shared = spark.sparkContext.broadcast((logs, np.log10((fitted.top_counts + 0.5) / floor)))
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, pairs, uses in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                _, per, ctx, count = unpack(pairs.as_py())
-                use, source, doc, names = unpack(uses.as_py())
-                p = np.log10(model.predict(part, per, ctx, count))
-                owner = np.repeat(np.arange(len(per)), per)
-                c = np.bincount(owner, weights=count, minlength=len(per))
-                base = np.log10((c + 0.5) / floor)[owner]
-                known = (c > 0)[owner]
-                flushes = names.tobytes().decode().split("\n")
-                edges = np.searchsorted(source, np.arange(len(flushes) + 1))
-                blobs = []
-                for a, b in zip(edges[:-1], edges[1:], strict=True):
-                    docs, at = np.unique(doc[a:b], return_inverse=True)
-                    u = use[a:b]
-                    blobs.append(pack(docs, np.bincount(at, weights=p[u]), np.bincount(at, weights=base[u]),
-                                      np.bincount(at, weights=known[u]).astype(np.uint32)))
-                yield pa.RecordBatch.from_arrays([pa.array(flushes), pa.array([False] * len(flushes)),
-                                                  pa.array(blobs, pa.binary())], names=["flush", "texts", "payload"])
-
-    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_p, log_base = shared.value
-        for batch in batches:
-            for flush, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids, null, learns, n, doc, top, ctx = unpack(payload.as_py())
-                blob = pack(ids, null, learns, n,
-                            np.bincount(doc, weights=log_p[top, ctx], minlength=len(n)) if len(doc) else np.zeros(len(n)),
-                            np.bincount(doc, weights=log_base[top], minlength=len(n)) if len(doc) else np.zeros(len(n)),
-                            np.bincount(doc, minlength=len(n)).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array([flush]), pa.array([True]), pa.array([blob], pa.binary())],
-                                                 names=["flush", "texts", "payload"])
+    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, held in grouped(batches):
+            local, (per, ctx, count), _, uses = bucket_state(held, model, parents)
+            steps, sizes, names = unpack(uses)
+            use = np.cumsum(steps, dtype=np.uint32)
+            p = np.log10(local.predict(part, per, ctx, count)).astype(np.float32)
+            owner = np.repeat(np.arange(len(per)), per)
+            c = np.bincount(owner, weights=count, minlength=len(per)).astype(np.int64)[owner]
+            edges = np.concatenate(([0], np.cumsum(sizes)))
+            for flush, a, b in zip(names.tobytes().decode().split("\n"), edges[:-1], edges[1:], strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([flush]), pa.array([part], pa.int32()), pa.array([pack(p[use[a:b]], c[use[a:b]])], pa.binary())],
+                    names=["flush", "part", "payload"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in grouped(batches):
-            rows = [(t.as_py(), p.as_py()) for b in held for t, p in zip(b.column(1), b.column(2), strict=True)]
-            ids, null, learns, n, p, base, known = next(unpack(x) for is_text, x in rows if is_text)
-            p, base, known = p.copy(), base.copy(), known.copy()
-            for is_text, x in sorted(rows, key=lambda r: r[1]):           # the same sum in any order of arrival
-                if not is_text:
-                    docs, add_p, add_base, add_known = unpack(x)
-                    p[docs] += add_p
-                    base[docs] += add_base
-                    known[docs] += add_known
+            # the texts first, then the flush's pairs in order
+            rows = sorted((r for b in held for r in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)),
+                          key=lambda r: r[0])
+            ids, null, learns, n, pair = unpack(rows[0][1])
+            pieces = [unpack(x) for _, x in rows[1:]]
+            p, c = (np.concatenate([x[k] for x in pieces]) for k in range(2))
+            base = np.log10((c + 0.5) / floor)
+            doc = np.repeat(np.arange(len(n)), n)
+            known = np.bincount(doc, weights=(c > 0)[pair], minlength=len(n)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, mask=null > 0), pa.array(learns > 0), pa.array(n), pa.array(known), pa.array(base),
-                 pa.array(p)], names=["doc_id", "trained", "n_tokens", "n_known", "base_score", "score"])
-
-    kind = "flush string, texts boolean, payload binary"
-    sums = (fitted.tables.filter(F.col("part") < buckets).select("part", "pairs", "uses").mapInArrow(rare, kind)
-            .unionByName(fitted.tables.filter(F.col("part") >= buckets).select("flush", "uses").mapInArrow(common, kind)))
-    return by_key(sums, "flush").mapInArrow(
+                [pa.array(ids, mask=null > 0), pa.array(learns > 0), pa.array(n), pa.array(known),
+                 pa.array(np.bincount(doc, weights=base[pair], minlength=len(n))),
+                 pa.array(np.bincount(doc, weights=p[pair], minlength=len(n)))],
+                names=["doc_id", "trained", "n_tokens", "n_known", "base_score", "score"])
+
+    scored = with_totals(fitted.tables, fitted.totals, buckets, uses=True).mapInArrow(
+        predicted, "flush string, part int, payload binary")
+    texts = fitted.tables.filter(F.col("part") >= buckets).select(
+        "flush", F.lit(-1).alias("part"), F.col("uses").alias("payload"))
+    return by_key(scored.unionByName(texts), "flush").mapInArrow(
         gather, "doc_id long, trained boolean, n_tokens long, n_known long, base_score double, score double")
 
 
-def _dense_predict(model: Model, part: int, per: np.ndarray, ctx: np.ndarray, count: np.ndarray, dense: np.ndarray
-                   ) -> np.ndarray:
-    """Like ``Model.predict`` for every context of every word."""
-    owner = np.repeat(np.arange(len(per)), per)
-    total, kept = np.zeros(dense.shape), 0
-    full = model.strength + model.customers
-    for s, (tables, customers, parent_tables) in enumerate(model.states(part, per, ctx, count, len(model.history) - 1)):
-        if s <= BURN_IN and s < len(model.history) - 1:
-            continue
-        totals = model.history[s]
-        own = dense.astype(np.float64)
-        own[owner, ctx] -= model.discount * tables
-        p = model.parent(totals, customers, parent_tables)
-        total += (own + (model.strength + model.discount * totals.tables) * p[:, None]) / full
-        kept += 1
-    return total / kept
-
-
 def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fit on the rows whose crc32(id as text) mod 5 is not 1 and score every row's whole text.
 

@@ -268,6 +268,19 @@ def test_pitman_yor_sums_to_one():
     assert np.bincount(ctx, weights=p, minlength=3) + unknown == pytest.approx(np.ones(3))
 
 
+def test_pitman_yor_every_previous_word_has_its_own_restaurant(spark):
+    """Texts of one shape score alike, however many previous words there are."""
+    prepare(spark)
+    rows = [(3 * i + k, f"left{i} right{i}") for i in range(2500) for k in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    fitted = pitman_yor.fit(table)
+    scores = [r.score for r in pitman_yor.score(spark, fitted).collect()]
+    assert len(scores) == 7500 and max(scores) - min(scores) < 0.5
+    # the start of texts and 5,000 words, none of them merged
+    own = fitted.tables.filter(F.col("part") < fitted.buckets).collect()
+    assert len({x for r in own for x in np.cumsum(pitman_yor.unpack(r.contexts)[0], dtype=np.uint64).tolist()}) == 5001
+
+
 def test_range_coder_and_token_files(spark, docs, empty):
     rng = np.random.default_rng(0)
     for n in (0, 1, 63, 64, 65, 1000):
