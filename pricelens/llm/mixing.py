@@ -1,16 +1,17 @@
 """Mixing to target weights with soft membership, in DataFrame and SQL functions only.
 
 A naive Bayes classifier over hashed words, fitted on labelled rows, gives every document a posterior
-over domains.  Projected-gradient least squares then fits one nonnegative rate per document so that the
-expected tokens of each domain, ``sum(rate * tokens * posterior)``, match their targets.  A document's
-rate after some steps depends on the steps' residuals alone (one number per domain), so rates are never
-stored: each step is one aggregation over a narrow table, and only domain totals reach the driver.
+over domains.  The rates are the nonnegative ones nearest to 1 (in squares weighted by tokens) whose expected
+tokens of each domain, ``sum(rate * tokens * posterior)``, are the targets.  By duality a document's rate is
+``max(0, 1 + posterior . multiplier)`` with one multiplier per domain, so rates are never stored: Newton's
+method finds the multipliers, each pass is one aggregation over a narrow table, and only domain sums reach
+the driver.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,7 @@ MAX_LABELLED = 20_000
 MAX_DOMAINS = 64
 EVIDENCE = 50            # a text weighs as much evidence as this many words at most
 SMOOTHING = 0.5
-STEPS, TOLERANCE = 60, 1e-4
+PASSES, TOLERANCE = 50, 1e-4
 
 
 def words_of(text: Column) -> Column:
@@ -101,20 +102,23 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_LAB
 
 @dataclass
 class Rates:
-    """Steps taken by the fit; enough to compute any document's rate."""
+    """The fit's multiplier of each domain; enough to compute any document's rate."""
 
     domains: list[str]
-    steps: list[np.ndarray]
+    multiplier: np.ndarray
     totals: np.ndarray            # tokens of each domain as they are
     targets: np.ndarray
     reached: np.ndarray
 
     def rate(self, posterior: Column) -> Column:
         """A document's nonnegative rate from its posterior."""
-        if not self.steps:
-            return F.lit(1.0)
-        return F.aggregate(_constant(np.array(self.steps)), F.lit(1.0),
-                           lambda r, g: F.greatest(F.lit(0.0), r - _dot(posterior, g)))
+        return F.greatest(F.lit(0.0), F.lit(1.0) + _dot(posterior, _constant(self.multiplier)))
+
+    @property
+    def miss(self) -> float:
+        """The largest miss as a share of its target (or of a millionth of all tokens)."""
+        scale = np.maximum(self.targets, 1e-6 * self.totals.sum())
+        return float(np.max(np.abs(self.reached - self.targets) / np.maximum(scale, 1e-300), initial=0.0))
 
 
 def tempered_weights(totals: np.ndarray, power: float) -> np.ndarray:
@@ -124,41 +128,59 @@ def tempered_weights(totals: np.ndarray, power: float) -> np.ndarray:
 
 
 def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None = None, power: float = 0.5,
-              keep_all: bool = False, steps: int = STEPS, tolerance: float = TOLERANCE) -> Rates:
-    """Projected-gradient least squares over ``members`` (``n_tokens, posterior``).
+              keep_all: bool = False, passes: int = PASSES, tolerance: float = TOLERANCE) -> Rates:
+    """Rates that meet the targets, over ``members`` (``n_tokens, posterior``).
 
     Targets are ``weights`` (by domain; default: tokens to the power ``power``) of the present total, or,
-    with ``keep_all``, of the least total at which no domain is thinned.  The objective is the sum of
-    squared misses, each divided by its target; steps use its exact Lipschitz constant.
+    with ``keep_all``, of the least total at which no domain is thinned.  Newton's method runs on the dual,
+    ``sum(tokens * rate ** 2) / 2 - targets . multiplier``, until the largest miss is below ``tolerance`` of
+    its target; targets that are not met after ``passes`` passes, as no nonnegative rates may, raise.
     """
     d = len(domains)
     p = [F.col("posterior")[i] for i in range(d)]
-    grams = [F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(d) for j in range(i, d)]
-    first = members.agg(*(F.sum(F.col("n_tokens") * x).alias(f"t{i}") for i, x in enumerate(p)), *grams).first().asDict()
-    totals = np.array([first[f"t{i}"] or 0.0 for i in range(d)])
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    rates = Rates(domains, np.zeros(d), np.zeros(d), np.zeros(d), np.zeros(d))
+
+    def sums(multiplier: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+        """Domain tokens at these multipliers, the dual's first term, and its curvature."""
+        rated = members.select("n_tokens", "posterior", replace(rates, multiplier=multiplier).rate(F.col("posterior")).alias("r"))
+        weight = F.col("r") * F.col("n_tokens")
+        live = F.when(F.col("r") > 0, F.col("n_tokens")).otherwise(0)
+        row = rated.agg(*(F.sum(weight * x) for x in p), F.sum(weight * F.col("r")),
+                        *(F.sum(live * p[i] * p[j]) for i, j in pairs)).first()
+        got = np.array([x or 0.0 for x in row], float)
+        gram = np.zeros((d, d))
+        for (i, j), x in zip(pairs, got[d + 1:], strict=True):
+            gram[i, j] = gram[j, i] = x
+        return got[:d], got[d] / 2, gram
+
+    rates.totals, first, gram = sums(rates.multiplier)
+    rates.reached = totals = rates.totals
     w = tempered_weights(totals, power) if weights is None else np.array([max(weights.get(x, 0.0), 0.0) for x in domains])
     w = w / w.sum() if w.sum() else np.full(d, 1 / d)
     total = max([t / x for t, x in zip(totals, w, strict=True) if x > 0], default=0.0) if keep_all else totals.sum()
-    targets = w * total
+    rates.targets = targets = w * total
     if totals.sum() <= 0:
-        return Rates(domains, [], totals, targets, totals)
-    scale = np.maximum(targets, 1e-6 * totals.sum())
-    gram = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            gram[i, j] = gram[j, i] = first[f"g{i}_{j}"] or 0.0
-    size = float(np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max())
-    rates = Rates(domains, [], totals, targets, totals)
-    for _ in range(steps):
+        return rates
+    unit = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))          # domains of any size weigh alike
+    value, damping = first, 1e-12
+    for _ in range(passes):
+        if rates.miss < tolerance:
+            return rates
         miss = rates.reached - targets
-        if np.max(np.abs(miss) / scale) < tolerance:
-            break
-        rates.steps.append(miss / scale / size)
-        r = rates.rate(F.col("posterior"))
-        rated = members.select("n_tokens", "posterior", r.alias("r"))
-        row = rated.agg(*(F.sum(F.col("r") * F.col("n_tokens") * x).alias(f"t{i}") for i, x in enumerate(p))).first()
-        rates.reached = np.array(row, float)
-    return rates
+        curve = gram * np.outer(unit, unit) + damping * np.eye(d)
+        step = -unit * np.linalg.lstsq(curve, unit * miss, rcond=None)[0]
+        reached, term, new_gram = sums(rates.multiplier + step)
+        new_value = term - targets @ (rates.multiplier + step)
+        if new_value <= value + 1e-4 * (miss @ step) + 1e-12 * abs(value):
+            rates.multiplier, rates.reached, value, gram = rates.multiplier + step, reached, new_value, new_gram
+            damping = max(damping / 10, 1e-12)
+        else:                                                      # too far: a shorter step
+            damping = max(damping * 100, 1e-6)
+    if rates.miss < tolerance:
+        return rates
+    raise ValueError(f"no rates found that meet the targets: {dict(zip(domains, targets.tolist(), strict=True))} tokens wanted, "
+                     f"{dict(zip(domains, rates.reached.tolist(), strict=True))} reached")
 
 
 def copies(rate: Column, id_col: Column, least: int = 0) -> Column:

@@ -221,6 +221,27 @@ def test_mixing_meets_targets(spark, docs, empty):
     assert mixing.mixing_rates(empty, labelled).count() == 0
 
 
+@pytest.mark.parametrize("rare", [20, 2])
+def test_mixing_meets_targets_of_rare_domains(spark, rare):
+    """Domains of 1 % and of 0.1 % of the texts, brought to equal weights."""
+    rows = [(i, "le fleuve et la ville" if i < rare else "the river and the town") for i in range(2000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "fr" if i < rare else "en") for i in range(0, 2000, max(1, rare // 2))], "doc_id long, domain string")
+    for weights in ({"en": 1.0, "fr": 1.0}, None):
+        _, rates, members = mixing.mixed(table, labelled, weights)
+        got = members.select("n_tokens", "posterior", rates.rate(F.col("posterior")).alias("rate")).collect()
+        held = np.array([sum(r.rate * r.n_tokens * r.posterior[k] for r in got) for k in range(2)])
+        assert all(r.rate >= 0 for r in got) and held == pytest.approx(rates.targets, rel=1e-3) and rates.miss < 1e-3
+        assert weights is None or held[0] == pytest.approx(held[1], rel=1e-3)
+
+
+def test_mixing_raises_where_targets_cannot_be_met(spark):
+    same = spark.createDataFrame([(i, "one text for all") for i in range(20)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "en" if i % 2 else "fr") for i in range(20)], "doc_id long, domain string")
+    with pytest.raises(ValueError, match="targets"):
+        mixing.mixing_rates(same, labelled, {"en": 9.0, "fr": 1.0})
+
+
 def test_secret_scan(spark, docs, empty):
     rng = np.random.default_rng(4)
     rows = []
