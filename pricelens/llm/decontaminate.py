@@ -1,10 +1,11 @@
 """Benchmark decontamination: every passage queries a BM25 index of the test items by block-max WAND.
 
-A test item (or a piece of a long one) is an entry of the index; a term's impact on an entry is divided
+A test item (or a piece of a long one; all its pieces have the same length) is an entry of the index; a term's impact on an entry is divided
 by the entry's own score, so a passage scores between 0 and 1: the share of the entry's weight it holds.
 Passages are overlapping runs of words, twice as long as the longest entry and one such length apart, so
 an entry always lies whole in one of them.  Entries at or above the threshold are all retrieved, then
-their question and their answer are compared with the passage by word shingles.  Case (of any script) and
+their question and their answer are compared with the passage by word shingles; those of a long item are
+whole, and gathered over the passages of all its pieces that are found in the text.  Case (of any script) and
 signs between words do not count.
 """
 
@@ -48,21 +49,27 @@ class ItemIndex:
         for _, _, data, off in folded_slices(text):
             words, first = text_words(data, off)
             halves += [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-        self.item: list[int | None] = []
+        self.item: list[int | None] = []          # of each item with words: id, and shingles of both parts
         self.question: list[np.ndarray] = []
         self.answer: list[np.ndarray] = []
+        self.owner: list[int] = []                # item of each entry
+        self.pieces: list[int] = []               # entries of each item
         entries: list[np.ndarray] = []
         for k, (item, _, _) in enumerate(items):
             q, a = halves[2 * k], halves[2 * k + 1]
             both, cut = np.concatenate([q, a]), len(q)
-            for s in range(0, len(both), MAX_ENTRY):
-                piece = both[s:s + MAX_ENTRY]
-                # a piece of a long item is cut where its question ends, or else in the middle
-                at = cut - s if 0 < cut - s < len(piece) else len(piece) // 2
-                entries.append(piece)
-                self.item.append(item)
-                for part, to in ((piece[:at], self.question), (piece[at:], self.answer)):
-                    to.append(shingle_sets(part, np.array([0, len(part)]))[0])
+            if not len(both):
+                continue
+            # an item is cut where its question ends, or else in the middle
+            at = cut if 0 < cut < len(both) else len(both) // 2
+            for part, to in ((both[:at], self.question), (both[at:], self.answer)):
+                to.append(shingle_sets(part, np.array([0, len(part)]))[0])
+            # the last piece of a long item overlaps the one before
+            begins = [min(s, max(len(both) - MAX_ENTRY, 0)) for s in range(0, len(both), MAX_ENTRY)]
+            entries += [both[s:s + MAX_ENTRY] for s in begins]
+            self.owner += [len(self.item)] * len(begins)
+            self.pieces.append(len(begins))
+            self.item.append(item)
         n = len(entries)
         self.stride = max([MIN_STRIDE, *map(len, entries)])
         size = np.array([len(e) for e in entries], float)
@@ -100,7 +107,7 @@ class ItemIndex:
     def retrieve(self, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """All entries that the distinct ``terms`` score at least ``threshold`` on, by block-max WAND."""
         goal = threshold - _EPS
-        ended = len(self.item)
+        ended = len(self.owner)
         lists = [(self.entry[t], self.impact[t], self.blocks[t], float(self.bound[t])) for t in terms]
         place = [0] * len(lists)
         now = [e[0] for e, _, _, _ in lists]
@@ -163,7 +170,11 @@ class ItemIndex:
 
     def matches(self, words: np.ndarray, first: np.ndarray, threshold: float = THRESHOLD
                 ) -> Iterator[tuple[int, int, int, float, float, float]]:
-        """Text, entry, first word of the passage, score, and overlaps of question and answer with it."""
+        """Text, item, first word of the passage, score, and overlaps of question and answer with it.
+
+        An item in one piece is reported for each passage that finds it; one in several pieces once for a
+        text, with the best of its passages and the overlaps with all of them together.
+        """
         if not len(self.terms):
             return
         terms = self.term_ids(words)
@@ -172,6 +183,7 @@ class ItemIndex:
         text = np.repeat(np.arange(len(size)), count)
         begin = first[:-1][text] + self.stride * (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count))
         end = np.minimum(begin + 2 * self.stride, first[1:][text])
+        long: dict[tuple[int, int], tuple[tuple[float, int], list[np.ndarray]]] = {}
         # no entry can reach the threshold where all list bounds together do not
         most = np.concatenate(([0.0], np.cumsum(self.bound[terms])))
         for p in np.flatnonzero(most[end] - most[begin] >= threshold - 1e-6).tolist():
@@ -191,21 +203,34 @@ class ItemIndex:
             passage = words[begin[p]:end[p]]
             whole = shingle_sets(passage, np.array([0, len(passage)]))[0]
             for entry, score in found:
-                yield (int(text[p]), entry, int(begin[p] - first[text[p]]), score,
-                       self._share(self.question[entry], passage, whole), self._share(self.answer[entry], passage, whole))
+                k, at = self.owner[entry], int(begin[p] - first[text[p]])
+                held = [self._held(part, passage, whole) for part in (self.question[k], self.answer[k])]
+                if self.pieces[k] == 1:
+                    yield int(text[p]), k, at, score, self._share(held[0]), self._share(held[1])
+                    continue
+                key = int(text[p]), k
+                if key in long:
+                    best, before = long[key]
+                    long[key] = max(best, (score, -at)), [x | y for x, y in zip(before, held, strict=True)]
+                else:
+                    long[key] = (score, -at), held
+        for (one, k), ((score, at), held) in long.items():
+            yield one, k, -at, score, self._share(held[0]), self._share(held[1])
 
     @staticmethod
-    def _share(part: np.ndarray, passage: np.ndarray, whole: np.ndarray) -> float:
-        """Share of a part's shingles that the passage has; a part of few words is looked for as a whole."""
-        if not len(part):
-            return 1.0
+    def _held(part: np.ndarray, passage: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Which of a part's shingles the passage has; a part of few words is looked for as a whole."""
         if len(part) == 1 and len(passage) >= SHINGLE:
             for n in range(1, SHINGLE):
                 runs = np.arange(len(passage) - n + 1)
                 short = np.concatenate([passage[i:i + n] for i in runs])
                 if part[0] in np.concatenate(shingle_sets(short, np.arange(0, len(short) + 1, n))):
-                    return 1.0
-        return float(np.isin(part, whole, assume_unique=True).mean())
+                    return np.ones(1, bool)
+        return np.isin(part, whole, assume_unique=True)
+
+    @staticmethod
+    def _share(held: np.ndarray) -> float:
+        return float(held.mean()) if len(held) else 1.0
 
 
 def halves(items: DataFrame) -> DataFrame:
@@ -235,7 +260,7 @@ def retrieved_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     """Best passage of each row and item at or above the threshold.
 
     ``doc_id, item_id, first_word, bm25, question_overlap, answer_overlap, leaked``; ``leaked`` asks for
-    ``overlap`` of the shingles of both parts.  Null and empty texts have no passages, items without
+    ``overlap`` of the shingles of both parts, of a long item over all its passages.  Null and empty texts have no passages, items without
     words match nothing, repeated rows are reported each, a null id is kept, and an empty table on
     either side gives no rows.  Other columns are not read.
     """
@@ -251,8 +276,8 @@ def retrieved_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                 ids = batch.column(0)
                 for i, j, data, off in folded_slices(batch.column(1)):
                     best: dict[tuple[int, int | None], tuple] = {}
-                    for text, entry, at, score, q, a in index.matches(*text_words(data, off), threshold):
-                        key = (text, index.item[entry])
+                    for text, item, at, score, q, a in index.matches(*text_words(data, off), threshold):
+                        key = (text, index.item[item])
                         if key not in best or (min(q, a), score) > (min(best[key][2:]), best[key][1]):
                             best[key] = (at, score, q, a)
                     if best:

@@ -192,6 +192,22 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.retrieved_items(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_long_items(spark):
+    """An item of 257 words is no leak by its last word, nor by its question alone."""
+    item = [f"q{i}" for i in range(150)] + [f"a{i}" for i in range(106)] + ["common"]
+    items = spark.createDataFrame([(1, " ".join(item[:150]), " ".join(item[150:]))], "item_id long, question string, answer string")
+    filler = " ".join(f"fill{i}" for i in range(300))
+    table = spark.createDataFrame([(1, f"{filler} common {filler}"), (2, f"{filler} {' '.join(item)} {filler}"),
+                                   (3, f"{filler} {' '.join(item[:150])} common {filler}"), (4, " ".join(item[:140] + item[150:]))],
+                                  "doc_id long, text string")
+    got = decontaminate.retrieved_items(table, items).collect()
+    assert sorted(r.doc_id for r in got if r.leaked) == [2, 4] and len({(r.doc_id, r.item_id) for r in got}) == len(got)
+    flags = table.select("doc_id", decontaminate.leak_flags(table, items)(F.col("text")).alias("leak")).collect()
+    assert {r.doc_id for r in flags if r.leak} == {2, 4}
+    index = decontaminate.ItemIndex([(1, " ".join(item), "")])
+    assert index.stride == decontaminate.MAX_ENTRY and index.pieces == [2]
+
+
 def test_wand_retrieves_all_above_the_threshold():
     rng = np.random.default_rng(2)
     vocab = [f"t{i}" for i in range(60)]
