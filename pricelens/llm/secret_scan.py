@@ -1,8 +1,8 @@
 """Secret scan: a random forest over candidate findings removes false positives.
 
-Candidates are words with a long run of key characters and at least one digit.  Their features are the
-run's length, its character transitions, the share that dictionary words cover, the document's path and
-the neighbouring words.  Everything is DataFrame functions and Spark's own forest.
+Candidates are all long runs of key characters, several in a word where it has them.  Their features are
+the run's length, its character transitions, the share that dictionary words cover, the document's path,
+the text beside the run inside its word and the neighbouring words.  Everything is DataFrame functions and Spark's own forest.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ NEIGHBOURS = 64          # buckets of neighbouring words
 
 #: Names that people assign secrets to (fixed values).
 NAMES = ["token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "access_key", "private_key", "auth"]
-_RUN = rf"[A-Za-z0-9+/_=\-]{{{MIN_LENGTH},}}"
+_KEY = r"[A-Za-z0-9+/_\-]"
+#: '=' belongs to a run as padding at its end, elsewhere it assigns.
+_RUN = rf"{_KEY}{{{MIN_LENGTH},}}(?:={{1,2}}(?![A-Za-z0-9+/_\-=\"']))?"
 _KINDS = ("v", "c", "u", "d", "o")       # vowel, consonant, upper case, digit, other
 
 
@@ -36,18 +38,28 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
 
 
 def candidates(docs: DataFrame, path_col: str = "source") -> DataFrame:
-    """``doc_id, word_index, run, before2, before, after, path`` of every candidate of every whole text."""
+    """Every candidate of every whole text.
+
+    ``doc_id, word_index, run_index, run, before2, before, left, right, after, path``: ``run_index`` counts the
+    runs of a word, ``left`` and ``right`` are the text inside the word up to the next runs (``left`` with the
+    run before).
+    """
     path = F.col(path_col).cast("string") if path_col in docs.columns else F.lit(None).cast("string")
     words = docs.select(F.col("doc_id"), F.coalesce(path, F.lit("")).alias("path"),
                         F.split(F.coalesce("text", F.lit("")), r"\s+").alias("words"))
     hits = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
-                    lambda x: (F.length(x["w"]) >= MIN_LENGTH) & x["w"].rlike("[0-9]") & x["w"].rlike(_RUN))
-    # only rows with a candidate are exploded, and only their words are kept along
-    rows = words.withColumn("hits", hits).filter(F.size("hits") > 0)
-    one = rows.select("doc_id", "path", "words", F.explode("hits").alias("hit"))
-    near = lambda k: F.coalesce(F.get("words", F.col("hit")["i"] + k), F.lit(""))
-    return one.select("doc_id", F.col("hit")["i"].alias("word_index"), F.regexp_extract(F.col("hit")["w"], _RUN, 0).alias("run"),
-                      near(-2).alias("before2"), near(-1).alias("before"), near(1).alias("after"), "path")
+                    lambda x: (F.length(x["w"]) >= MIN_LENGTH) & x["w"].rlike(_RUN))
+    near = lambda x, k: F.coalesce(F.get("words", x["i"] + k), F.lit(""))
+    # only rows with a candidate are exploded, and a word's arrays are made once
+    rows = words.withColumn("hits", hits).filter(F.size("hits") > 0).withColumn("hits", F.transform("hits", lambda x: F.struct(
+        x["i"].alias("i"), F.regexp_extract_all(x["w"], F.lit(_RUN), F.lit(0)).alias("runs"), F.split(x["w"], _RUN).alias("gaps"),
+        near(x, -2).alias("before2"), near(x, -1).alias("before"), near(x, 1).alias("after"))))
+    gap = lambda x, k: F.coalesce(F.get(x["gaps"], k), F.lit(""))
+    found = F.flatten(F.transform("hits", lambda x: F.transform(x["runs"], lambda run, k: F.struct(
+        x["i"].alias("word_index"), k.alias("run_index"), run.alias("run"), x["before2"].alias("before2"), x["before"].alias("before"),
+        F.concat(F.coalesce(F.get(x["runs"], k - 1), F.lit("")), gap(x, k)).alias("left"), gap(x, k + 1).alias("right"),
+        x["after"].alias("after")))))
+    return rows.select("doc_id", "path", F.explode(found).alias("hit")).select("doc_id", "hit.*", "path")
 
 
 def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
@@ -74,29 +86,37 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
         out[f"f_{side}"] = F.pmod(F.xxhash64(word), F.lit(NEIGHBOURS)).cast("double")
         out[f"f_{side}_sign"] = word.rlike(r"^[^a-z0-9]+$").cast("double")
         out[f"f_{side}_name"] = named(word).cast("double")
+    for side in ("left", "right"):
+        out[f"f_{side}"] = F.pmod(F.xxhash64(F.regexp_extract(side, "[^A-Za-z0-9]*$" if side == "left" else "^[^A-Za-z0-9]*", 0)),
+                                  F.lit(NEIGHBOURS)).cast("double")
+    out["f_left_name"] = named("left").cast("double")
+    out["f_digit"] = run.rlike("[0-9]").cast("double")
     return found.withColumn("__kinds", kinds).withColumns(out).drop("__kinds"), list(out)
 
 
-def named(word: Column) -> Column:
+def named(word: Column | str) -> Column:
     """Whether a word ends in a name that secrets are assigned to."""
     return F.regexp_replace(F.lower(word), r"[^a-z_]", "").rlike(f"({'|'.join(NAMES)})$")
 
 
 def reviewed_findings(found: DataFrame) -> DataFrame:
-    """``doc_id, word_index, label`` as a reviewer's rule gives them, where no labelled findings exist.
+    """``doc_id, word_index, run_index, label`` as a reviewer's rule gives them, where no labelled findings exist.
 
     A run of 32 signs or more that is assigned to a secret's name is a secret; anything else is not.
     """
     secret = (F.length("run") >= 32) & F.col("before").rlike("^[=:]+$") & named(F.col("before2"))
-    return found.select("doc_id", "word_index", secret.cast("double").alias("label"))
+    return found.select("doc_id", "word_index", "run_index", secret.cast("double").alias("label"))
 
 
 def fit(featured: DataFrame, names: list[str], labelled: DataFrame, max_rows: int = MAX_TRAIN
         ) -> RandomForestClassificationModel | None:
     """Forest trained on at most ``max_rows`` labelled findings; None where labels are not of both kinds."""
-    rows = (labelled.filter("doc_id is not null and label is not null").groupBy("doc_id", "word_index").agg(F.max("label").alias("label"))
-            .orderBy(F.crc32(F.concat_ws("/", F.lit("secret"), "doc_id", "word_index")), "doc_id", "word_index").limit(max_rows))
-    train = featured.join(rows, ["doc_id", "word_index"]).select("label", *names)
+    key = ["doc_id", "word_index", "run_index"]
+    if "run_index" not in labelled.columns:
+        labelled = labelled.withColumn("run_index", F.lit(0))
+    rows = (labelled.filter("doc_id is not null and label is not null").groupBy(*key).agg(F.max("label").alias("label"))
+            .orderBy(F.crc32(F.concat_ws("/", F.lit("secret"), *key)), *key).limit(max_rows))
+    train = featured.join(rows, key).select("label", *names)
     if train.select("label").distinct().count() < 2:
         return None
     data = VectorAssembler(inputCols=names, outputCol="features").transform(train).select("label", "features")
@@ -105,9 +125,9 @@ def fit(featured: DataFrame, names: list[str], labelled: DataFrame, max_rows: in
 
 def scored_findings(docs: DataFrame, labelled: DataFrame | None = None, path_col: str = "source",
                     audited: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Every candidate with the forest's probability: ``doc_id, word_index, length, masked, score, secret``.
+    """Every candidate with the forest's probability: ``doc_id, word_index, run_index, length, masked, score, secret``.
 
-    ``labelled`` has ``doc_id, word_index, label``; without it, the findings of ``audited`` documents
+    ``labelled`` has ``doc_id, word_index, label`` and ``run_index`` (default: a word's first run); without it, the findings of ``audited`` documents
     (``doc_id``; default: all) are labelled by ``reviewed_findings``.  Where the labels are all alike
     the score is that label (0 without any).  Null and empty texts have no candidates; repeated rows and
     null ids are scored each (a null id teaches nothing); other columns are not read.
@@ -125,5 +145,5 @@ def scored_findings(docs: DataFrame, labelled: DataFrame | None = None, path_col
         vectors = VectorAssembler(inputCols=names, outputCol="features").transform(featured)
         scored = model.transform(vectors).withColumn("score", vector_to_array("probability")[1])
     masked = F.concat(F.substring("run", 1, 4), F.lit("..."))
-    return scored.select("doc_id", F.col("word_index").cast("long").alias("word_index"), F.length("run").alias("length"),
+    return scored.select("doc_id", F.col("word_index").cast("long").alias("word_index"), "run_index", F.length("run").alias("length"),
                          masked.alias("masked"), "score", (F.col("score") >= threshold).alias("secret"))

@@ -273,6 +273,15 @@ def test_secret_scan(spark, docs, empty):
     assert secret_scan.scored_findings(empty).count() == 0
 
 
+def test_secret_scan_finds_every_run_of_a_word(spark):
+    a, b, c = "0123456789abcdef01", "zyxwvutsrqponmlkjihgfedc", "QUJDREVGR0hJSktMTU5PUA=="
+    docs = spark.createDataFrame([(1, f'{{"token":"{a}","secret":"{b}","n":1}}'), (2, f"pwd={a};aws_secret_access_key={c};x=1")],
+                                 "doc_id long, text string")
+    got = {(r.doc_id, r.word_index, r.run_index): (r.run, r.left) for r in secret_scan.candidates(docs).collect()}
+    assert got == {(1, 0, 0): (a, '{"token":"'), (1, 0, 1): (b, a + '","secret":"'), (2, 0, 0): (a, "pwd="),
+                   (2, 0, 1): ("aws_secret_access_key", a + ";"), (2, 0, 2): (c, "aws_secret_access_key=")}
+
+
 def test_pitman_yor_base_and_probability(spark, docs, empty):
     got = pitman_yor.language_model_scores(docs).collect()
     assert len(got) == len(TEXTS) + 3
