@@ -24,9 +24,16 @@ NEIGHBOURS = 64          # buckets of neighbouring words
 
 #: Names that people assign secrets to (fixed values).
 NAMES = ["token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "access_key", "private_key", "auth"]
+#: Key formats that are secrets whatever stands before them (fixed values).
+FORMATS = ["AKIA[0-9A-Z]{16}$", "ASIA[0-9A-Z]{16}$", "gh[pousr]_[A-Za-z0-9]{20,}$", "github_pat_[A-Za-z0-9_]{20,}$",
+           "glpat-[A-Za-z0-9_-]{16,}$", "xox[abprs]-[A-Za-z0-9-]{10,}$", "AIza[A-Za-z0-9_-]{35}$",
+           "[sr]k_(live|test)_[A-Za-z0-9]{8,}$", "sk-[A-Za-z0-9_-]{16,}$", "npm_[A-Za-z0-9]{20,}$"]
 _KEY = r"[A-Za-z0-9+/_\-]"
 #: '=' belongs to a run as padding at its end, elsewhere it assigns.
 _RUN = rf"{_KEY}{{{MIN_LENGTH},}}(?:={{1,2}}(?![A-Za-z0-9+/_\-=\"']))?"
+#: Text that ends in a secret's name, in quotes or not, an assigning sign and an opening quote.
+_ASSIGNED = (rf"({'|'.join(n.replace('_', '[_-]?') for n in NAMES)}|authorization)[\"'\])]*\s*(:=|=>|={{1,3}}|:)"
+             rf"\s*[\"'(\[]*\s*((bearer|basic)\s+)?$")
 _KINDS = ("v", "c", "u", "d", "o")       # vowel, consonant, upper case, digit, other
 
 
@@ -90,6 +97,8 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
         out[f"f_{side}"] = F.pmod(F.xxhash64(F.regexp_extract(side, "[^A-Za-z0-9]*$" if side == "left" else "^[^A-Za-z0-9]*", 0)),
                                   F.lit(NEIGHBOURS)).cast("double")
     out["f_left_name"] = named("left").cast("double")
+    out["f_assigned"] = assigned().cast("double")
+    out["f_format"] = known_format().cast("double")
     out["f_digit"] = run.rlike("[0-9]").cast("double")
     return found.withColumn("__kinds", kinds).withColumns(out).drop("__kinds"), list(out)
 
@@ -99,12 +108,23 @@ def named(word: Column | str) -> Column:
     return F.regexp_replace(F.lower(word), r"[^a-z_]", "").rlike(f"({'|'.join(NAMES)})$")
 
 
+def assigned() -> Column:
+    """Whether the text before a run, in its word or the two before, assigns the run to a secret's name."""
+    return F.lower(F.concat_ws(" ", "before2", "before", "left")).rlike(_ASSIGNED)
+
+
+def known_format() -> Column:
+    return F.col("run").rlike(f"^({'|'.join(FORMATS)})")
+
+
 def reviewed_findings(found: DataFrame) -> DataFrame:
     """``doc_id, word_index, run_index, label`` as a reviewer's rule gives them, where no labelled findings exist.
 
-    A run of 32 signs or more that is assigned to a secret's name is a secret; anything else is not.
+    A run in a known key format is a secret, and one that is assigned to a secret's name, unless it reads
+    like a name or path itself: under 32 signs, no digit, but signs between words.  Anything else is not.
     """
-    secret = (F.length("run") >= 32) & F.col("before").rlike("^[=:]+$") & named(F.col("before2"))
+    run = F.col("run")
+    secret = known_format() | (assigned() & (run.rlike("[0-9]") | (F.length(run) >= 32) | ~run.rlike("[_/-]")))
     return found.select("doc_id", "word_index", "run_index", secret.cast("double").alias("label"))
 
 

@@ -273,6 +273,22 @@ def test_secret_scan(spark, docs, empty):
     assert secret_scan.scored_findings(empty).count() == 0
 
 
+def test_secret_scan_learns_other_forms(spark):
+    """Secrets in quotes, after a colon, in JSON and of known formats, among paths and digests that are none."""
+    rng = np.random.default_rng(8)
+    key = lambda n, signs="0123456789abcdefghijklmnopqrstuv": "".join(rng.choice(list(signs), n))
+    forms = [lambda: f'api_key="{key(24)}1"', lambda: f"API_KEY={key(20)}7", lambda: f"password: {key(18)}3",
+             lambda: f'{{"id":"x","token":"{key(30)}5"}}', lambda: "AKIA" + key(16, "ABCDEFGH234567")]
+    plain = [lambda: f"sha1 {key(40, '0123456789abcdef')}", lambda: f"see /usr/share/doc/{key(12)}", lambda: key(16, "0123456789")]
+    rows, want = [], {}
+    for i in range(240):
+        form = (forms + plain)[i % 8]
+        rows.append((i, f"some words {form()} and more", "a/b.txt"))
+        want[i] = i % 8 < 5
+    got = secret_scan.scored_findings(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == 240 and all(r.secret == want[r.doc_id] for r in got)
+
+
 def test_secret_scan_finds_every_run_of_a_word(spark):
     a, b, c = "0123456789abcdef01", "zyxwvutsrqponmlkjihgfedc", "QUJDREVGR0hJSktMTU5PUA=="
     docs = spark.createDataFrame([(1, f'{{"token":"{a}","secret":"{b}","n":1}}'), (2, f"pwd={a};aws_secret_access_key={c};x=1")],
@@ -280,6 +296,8 @@ def test_secret_scan_finds_every_run_of_a_word(spark):
     got = {(r.doc_id, r.word_index, r.run_index): (r.run, r.left) for r in secret_scan.candidates(docs).collect()}
     assert got == {(1, 0, 0): (a, '{"token":"'), (1, 0, 1): (b, a + '","secret":"'), (2, 0, 0): (a, "pwd="),
                    (2, 0, 1): ("aws_secret_access_key", a + ";"), (2, 0, 2): (c, "aws_secret_access_key=")}
+    labels = {(r.doc_id, r.run_index): r.label for r in secret_scan.reviewed_findings(secret_scan.candidates(docs)).collect()}
+    assert labels == {(1, 0): 1, (1, 1): 1, (2, 0): 1, (2, 1): 0, (2, 2): 1}
 
 
 def test_pitman_yor_base_and_probability(spark, docs, empty):
