@@ -442,3 +442,159 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, href, trim(text) AS text FROM (
 def store_union_sql() -> str:
     b = PANEL_B.replace("products AS (", "products_b AS (")
     return with_ctes(PANEL_A, b) + "\nSELECT * FROM products UNION ALL SELECT * FROM products_b"
+
+
+# --- landed files, gates, stored categories, broken tables ------------------------------
+
+def gated_stream_sql() -> str:
+    """Run 1 sees the day's first events only, run 2 the last ones."""
+    first = PANEL_A.replace("ORDER BY ts DESC, event_id DESC", "ORDER BY ts, event_id")
+    return f"""SELECT *, 1 AS run FROM ({with_ctes(first)} SELECT * FROM products)
+UNION ALL SELECT *, 2 AS run FROM ({with_ctes(PANEL_A)} SELECT * FROM products)"""
+
+
+_STORED_CATS = f"""{_TREE_JOIN}, {_tree_cte('cats_a', 'store_a', 'names')}, {_tree_cte('cats_b', 'store_b', 'ids')},
+stored AS (
+    SELECT id, store, name || CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN ' v2' ELSE '' END AS name, parent_id, path, level, link
+    FROM cats_a UNION ALL SELECT * FROM cats_b
+)"""
+
+
+def stored_categories_sql() -> str:
+    return f"WITH {_STORED_CATS}\nSELECT * FROM stored"
+
+
+def select_stored_sql() -> str:
+    return f"""WITH {_STORED_CATS},
+leaves AS (SELECT path FROM stored WHERE store = 'store_a' AND level = 3)
+SELECT path FROM leaves
+WHERE split_part(path, '/', 2) IN (SELECT id FROM stored WHERE store = 'store_a' AND name = 'ASIA' AND level = 1)
+  AND path >= coalesce((SELECT min(path) FROM leaves WHERE path LIKE '/3/112/%'), '') ORDER BY path"""
+
+
+def quarantine_sql() -> str:
+    return """SELECT '0003' AS load, '{"totalCount": 1, "products": [{"name": "' || n_name AS raw, CAST(NULL AS BIGINT) AS "totalCount"
+FROM nation"""
+
+
+def landed_override_sql() -> str:
+    """Even parts take the later simulation if it has a price for them, all others the earlier one."""
+    return f"""WITH {CATALOG_A_FLAT},
+chosen AS (
+    SELECT *, CAST(product_id AS BIGINT) % 2 = 0 AND p_size % 3 <> 0 AND p_size <= 45 AS later FROM catalog_a
+),
+priced AS (
+    SELECT *, CASE WHEN later THEN FLOOR(p_retailprice * 95 + 0.5) ELSE FLOOR(p_retailprice * 190 + 0.5) END / 100 AS paid,
+           CASE WHEN later THEN FLOOR(p_retailprice * 100 + 0.5) ELSE FLOOR(p_retailprice * 200 + 0.5) END / 100 AS listed
+    FROM chosen
+)
+SELECT product_id, store, name, brand, maincat, cat, subcat, catid, image, paid AS price, paid AS pricewithoutdiscount,
+       listed AS list_price, TRUE AS is_available, link
+FROM priced"""
+
+
+def dirty_ingest_sql() -> str:
+    return with_ctes(PANEL_B) + """
+SELECT product_id, store, DATE '2026-04-13' AS scrape_date, name, brand, maincat, cat, subcat, catid, image,
+       CASE WHEN CAST(product_id AS BIGINT) % 11 IN (0, 2) THEN NULL ELSE price END AS price, pricewithoutdiscount,
+       CASE WHEN CAST(product_id AS BIGINT) % 13 = 0 THEN NULL ELSE list_price END AS list_price,
+       CASE WHEN CAST(product_id AS BIGINT) % 5 = 0 THEN NULL ELSE is_available END AS is_available, link, maincatid
+FROM products WHERE scrape_date = DATE '2026-01-13'"""
+
+
+def dropped_partition_sql() -> str:
+    return with_ctes(PANEL_B) + "\nSELECT * FROM products WHERE scrape_date > (SELECT min(scrape_date) FROM products)"
+
+
+def backfill_by_category_sql() -> str:
+    return with_ctes(PANEL_B) + """
+SELECT * REPLACE (CASE WHEN CAST(product_id AS BIGINT) % 10 = 9 THEN 'gone' WHEN CAST(product_id AS BIGINT) % 4 = 0 THEN catid
+                       ELSE md5(maincatid) END AS catid,
+                  CASE WHEN CAST(product_id AS BIGINT) % 10 <> 9 THEN maincatid END AS maincatid)
+FROM products"""
+
+
+_VIOLATION = "'{kind}' AS report, store, {product} AS product_id, CAST({rank} AS INTEGER) AS rank, '{rule}' AS rule"
+
+
+def _violation_rows(kind: str, rules: dict[str, str], rank: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT {_VIOLATION.format(kind=kind, product='product_id', rank=rank, rule=rule)} FROM broken WHERE coalesce({cond}, TRUE)"
+        for rule, cond in rules.items())
+
+
+def broken_report_sql() -> str:
+    name, ctes = REPORT_CTES["discounts"]
+    broken = f"""
+broken AS (
+    SELECT store, product_id,
+           CASE rank WHEN 2 THEN 0.0 WHEN 3 THEN NULL WHEN 4 THEN 99999.0 ELSE pct_decrease END AS pct,
+           CASE rank WHEN 5 THEN NULL ELSE prev_price END AS before,
+           CASE rank WHEN 6 THEN prev_price + 1 ELSE current_price END AS after,
+           CASE rank WHEN 7 THEN 8 WHEN 20 THEN 25 ELSE rank END AS rank
+    FROM {name} WHERE rank <> 9
+)"""
+    rows = _violation_rows("discounts", {
+        "rank_out_of_range": f"rank NOT BETWEEN 1 AND {K}", "non_positive_pct": "NOT pct > 0",
+        "missing_before": "before IS NULL", "wrong_direction": "NOT after < before"}, "rank")
+    gap = _VIOLATION.format(kind="discounts", product="CAST(NULL AS VARCHAR)", rank="NULL", rule="rank_gap")
+    order = _VIOLATION.format(kind="discounts", product="CAST(NULL AS VARCHAR)", rank="rank", rule="rank_order")
+    return with_ctes(PANEL_B, *ctes, broken) + f"""
+{rows}
+UNION ALL SELECT {gap} FROM broken GROUP BY store HAVING max(rank) <> count(*) OR count(DISTINCT rank) <> count(*)
+UNION ALL SELECT {order} FROM (SELECT DISTINCT a.store, a.rank FROM broken a JOIN broken b
+                               ON a.store = b.store AND a.rank = b.rank + 1 AND a.pct > b.pct)"""
+
+
+def broken_changes_sql() -> str:
+    broken = """
+told AS (SELECT *, CAST(product_id AS BIGINT) % 20 AS k, max(scrape_date) OVER () AS newest FROM price_changes),
+once AS (
+    SELECT * REPLACE (CASE WHEN k = 1 THEN CAST(scrape_date - INTERVAL 7 DAY AS DATE) ELSE scrape_date END AS scrape_date,
+                      CASE k WHEN 2 THEN NULL WHEN 3 THEN FALSE ELSE is_available END AS is_available,
+                      CASE k WHEN 4 THEN 0.0 WHEN 5 THEN NULL WHEN 6 THEN price ELSE prev_price END AS prev_price,
+                      CASE k WHEN 6 THEN list_price ELSE prev_list_price END AS prev_list_price)
+    FROM told
+),
+broken AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE k = 7)"""
+    rows = _violation_rows("price_changes", {
+        "not_latest_date": "scrape_date <> newest", "not_available": "NOT is_available",
+        "missing_previous": "NOT (prev_list_price > 0 AND prev_price > 0)",
+        "unchanged": "NOT (list_price <> prev_list_price OR price <> prev_price)"}, "NULL")
+    again = _VIOLATION.format(kind="price_changes", product="product_id", rank="NULL", rule="repeated_key")
+    return with_ctes(PANEL_B, PRICE_CHANGES, broken) + f"""
+{rows}
+UNION ALL SELECT {again} FROM broken GROUP BY store, product_id HAVING count(*) > 1"""
+
+
+def feed_labels_sql(panel: str) -> str:
+    body = feed_sql(panel)
+    at = body.rindex("SELECT e.*")
+    label = """SELECT e.*, printf('%s %.1f%%  ($%.2f \u2192 $%.2f)', CASE WHEN is_increase THEN '\u25b2' ELSE '\u25bc' END,
+       pct_change, before, after) AS label"""
+    return body[:at] + label + body[at + len("SELECT e.*"):]
+
+
+def product_tiles_sql() -> str:
+    return """
+SELECT p_partkey // 24 AS page_id, CAST(ROW_NUMBER() OVER (PARTITION BY p_partkey // 24 ORDER BY p_partkey) AS INTEGER) AS tile,
+       CASE WHEN p_size % 3 < 2 THEN CAST(p_partkey AS VARCHAR) END AS pid,
+       CASE WHEN p_size % 7 <> 0 THEN p_name || ' & ' || p_brand END AS name,
+       CASE WHEN p_size % 7 <> 0 THEN 'https://shop.example.com/p/' || CAST(p_partkey AS VARCHAR) || '?a=1&b=2' END AS url,
+       CASE WHEN p_size % 5 <> 0 THEN '$' || CAST(p_retailprice AS VARCHAR) END AS price,
+       CASE WHEN p_size % 4 <> 0 THEN '/i/' || CAST(p_partkey AS VARCHAR) || '.jpg' END AS image
+FROM part"""
+
+
+def sitemap_urls_sql() -> str:
+    return """SELECT url FROM pages WHERE url IS NOT NULL
+UNION ALL SELECT DISTINCT 'https://maps.example.com/' || CAST(page_id // 40 AS VARCHAR) || '.xml' FROM pages WHERE url IS NOT NULL"""
+
+
+def url_paths_sql() -> str:
+    return """
+WITH bare AS (
+    SELECT page_id, split_part(split_part(split_part(url, '://', 2), '?', 1), '#', 1) AS rest FROM pages WHERE url IS NOT NULL
+),
+tails AS (SELECT page_id, CASE WHEN contains(rest, '/') THEN substr(rest, strpos(rest, '/')) ELSE '' END AS tail FROM bare)
+SELECT page_id AS url_index, CASE WHEN page_id % 4 = 3 THEN ltrim(tail, '/') ELSE tail END AS path FROM tails"""

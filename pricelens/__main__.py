@@ -6,8 +6,14 @@
       normalise landed payloads (catalog_a | catalog_b) and upsert them;
       maincatid: first segment of the category path (catalog_a), the top
       category id (catalog_b); malformed lines go to the quarantine folder
-  stream LANDING ROOT CHECKPOINT [--out OUT]
-      upsert every snapshot landed since the last run, then refresh OUT
+  categories FORMAT PATH ROOT --store S --base-url U [--multiline] [--seq N] [--quarantine PATH]
+      load landed category trees (tree_a | tree_b) into the stored categories
+      table; of an id in several documents the one landed last counts
+  sitemap PATH ROOT --store S
+      load the category hierarchy of sitemap files into the stored table
+  stream LANDING ROOT CHECKPOINT [--out OUT] [--completed]
+      upsert every snapshot landed since the last run, then refresh OUT;
+      with --completed only those whose completion marker has arrived
 """
 
 from __future__ import annotations
@@ -20,9 +26,11 @@ from pyspark.sql import functions as F
 from pricelens.functions import stamp_date
 from pricelens.plans.refresh import refresh
 from pricelens.session import get_session, work_path
+from pricelens.sources import categories as C
 from pricelens.sources import normalise as N
 from pricelens.sources import products as P
-from pricelens.streaming.refresh_stream import stream_refresh
+from pricelens.sources.sitemap import read_sitemap, url_hierarchy
+from pricelens.streaming.refresh_stream import stream_completed, stream_refresh
 
 
 def _quarantined(spark, bad, path: str) -> int:
@@ -37,15 +45,15 @@ def _quarantined(spark, bad, path: str) -> int:
 def _ingest(spark, a: argparse.Namespace) -> list:
     """Normalise landed payloads of one category and date, and upsert them; malformed lines go to quarantine."""
     schema, rows_of = N.NORMALISERS[a.format]
-    docs, bad = N.read_json_checked(spark, a.path, schema)
-    docs = docs.selectExpr("struct(*) AS doc")
+    docs, bad = N.read_landed(spark, a.path, schema)
+    docs = docs.select("doc")
     held = a.quarantine or work_path(spark, "quarantine", f"{a.format}-{a.date}-{uuid.uuid4().hex}")
     if a.format == "catalog_a":
         sims, partial = None, False
         if a.sim:
-            sim_docs, sim_bad = N.read_json_checked(spark, a.sim, N.SIMULATION_A)
+            sim_docs, sim_bad = N.read_landed(spark, a.sim, N.SIMULATION_A)
             partial = _quarantined(spark, sim_bad, f"{held.rstrip('/')}-simulation") > 0
-            sims = N.simulated_prices(sim_docs.selectExpr("struct(*) AS doc"))
+            sims = N.simulated_prices(sim_docs)
         rows = N.apply_simulation(N.catalog_a_rows(docs, a.store), sims, partial)
     else:
         rows = rows_of(docs, a.store)
@@ -57,6 +65,18 @@ def _ingest(spark, a: argparse.Namespace) -> list:
     return written
 
 
+def _load_trees(spark, a: argparse.Namespace) -> list:
+    """Normalise landed category trees and upsert them into the stored table; malformed documents go to quarantine."""
+    schema, rows_of = N.NORMALISERS[a.format]
+    docs, bad = N.read_landed(spark, a.path, schema, multiline=a.multiline)
+    rows = rows_of(docs, a.store, base_url=a.base_url)
+    if a.seq is not None:
+        rows = rows.withColumn(P.SEQ, F.lit(a.seq).cast("long"))
+    written = C.upsert_categories(rows, a.root)
+    _quarantined(spark, bad, a.quarantine or work_path(spark, "quarantine", f"{a.format}-{uuid.uuid4().hex}"))
+    return written
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="pricelens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -75,7 +95,21 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--seq", type=int, help="ingest_seq of these rows; default: their time of arrival")
     i.add_argument("--sim")
     i.add_argument("--quarantine")
+    c = sub.add_parser("categories")
+    c.add_argument("format", choices=["tree_a", "tree_b"])
+    c.add_argument("path")
+    c.add_argument("root")
+    c.add_argument("--store", required=True)
+    c.add_argument("--base-url", default="")
+    c.add_argument("--multiline", action="store_true", help="a file is one document, not one a line")
+    c.add_argument("--seq", type=int, help="ingest_seq of these rows; default: their time of arrival")
+    c.add_argument("--quarantine")
+    m = sub.add_parser("sitemap")
+    m.add_argument("path")
+    m.add_argument("root")
+    m.add_argument("--store", required=True)
     s = sub.add_parser("stream")
+    s.add_argument("--completed", action="store_true", help="LANDING holds snapshots and their completion markers")
     s.add_argument("landing")
     s.add_argument("root")
     s.add_argument("checkpoint")
@@ -87,8 +121,12 @@ def main(argv: list[str] | None = None) -> int:
         print({name: df.count() for name, df in res.items()})
     elif a.cmd == "ingest":
         print(f"wrote {len(_ingest(spark, a))} partitions")
+    elif a.cmd == "categories":
+        print(f"wrote {len(_load_trees(spark, a))} buckets")
+    elif a.cmd == "sitemap":
+        print(f"wrote {len(C.upsert_categories(url_hierarchy(read_sitemap(spark, a.path), a.store), a.root))} buckets")
     else:
-        stream_refresh(spark, a.landing, a.root, a.checkpoint)
+        (stream_completed if a.completed else stream_refresh)(spark, a.landing, a.root, a.checkpoint)
         if a.out:
             refresh(spark, a.root, a.out)
     return 0

@@ -40,3 +40,33 @@ def exact_avg(x) -> Column:
 def pct_change(cur, prev) -> Column:
     """(cur - prev) / prev * 100; NULL when prev is 0 or NULL (no ANSI error)."""
     return F.try_divide(_col(cur) - _col(prev), _col(prev)) * 100
+
+
+#: Splits a double into two halves of 26 bits each (2**27 + 1).
+_SPLIT = 134217729.0
+
+
+def fixed(x, digits: int) -> Column:
+    """Text with ``digits`` decimals, rounded from the exact value of the double, ties to even.
+
+    ``format_string`` rounds the shortest decimal form half up instead, so
+    it shows 0.15 (which is a little less) as 0.2.  Here ``x * 10**digits``
+    is taken as a double and its exact rounding error, so the comparison
+    with one half is exact.  For magnitudes below 2**53 / 10**digits.
+    """
+    scale = float(10 ** digits)
+    size = F.abs(_col(x))
+    product = size * scale
+    high = size * _SPLIT - (size * _SPLIT - size)
+    error = (high * scale - product) + (size - high) * scale
+    whole = F.floor(product)
+    part = product - whole
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    # a product rounded up to the next whole number comes down again only below one half
+    units = whole + F.when(up, 1).otherwise(0)
+    sign = F.when((_col(x) < 0), "-").otherwise("")
+    base = 10 ** digits
+    text = F.concat(sign, F.floor(units / base).cast("string"))
+    if not digits:
+        return text
+    return F.concat(text, F.lit("."), F.lpad((units % base).cast("string"), digits, "0"))

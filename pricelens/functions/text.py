@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pricelens.functions.numeric import fixed
+
 # Fixed value: image shown when a product has no usable image URL
 # (a grey 72x72 square with the text "No img", as an inline SVG data URL).
 NO_IMAGE = (
@@ -31,9 +33,18 @@ def last_segment(path) -> Column:
     return F.get(segs, F.size(segs) - 1)
 
 
+#: Scheme and authority, both optional, then the path up to query or fragment.
+_URL = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
+
+
 def url_path(url) -> Column:
-    """Path component of a URL ('' when the URL has none)."""
-    return F.coalesce(F.regexp_extract(_col(url), r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1), F.lit(""))
+    """Path component of an absolute, protocol-relative (``//host/a``) or relative (``/a``) URL.
+
+    Parameters of the last segment (``;x``) do not belong to it; '' when
+    the URL is NULL or has no path.
+    """
+    path = F.regexp_extract(_col(url), _URL, 1)
+    return F.coalesce(F.regexp_replace(path, ";[^/]*$", ""), F.lit(""))
 
 
 def slug_to_name(slug) -> Column:
@@ -46,6 +57,18 @@ def lenient_bool(x) -> Column:
     return F.coalesce(F.lower(_col(x)).isin("true", "1"), F.lit(False))
 
 
+#: Entities that are replaced, the ampersand last (fixed values).
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def unescaped(x) -> Column:
+    """Text with the common XML and HTML entities replaced by their signs."""
+    out = _col(x)
+    for entity, sign in ENTITIES.items():
+        out = F.replace(out, F.lit(entity), F.lit(sign))
+    return out
+
+
 def escape_html(x) -> Column:
     return F.replace(F.replace(_col(x), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
@@ -66,11 +89,11 @@ def stamp_date(df, scrape_date=None):
 
 
 def format_pct(x) -> Column:
-    return F.format_string("%.1f", _col(x))
+    return fixed(x, 1)
 
 
 def format_money(x) -> Column:
-    return F.format_string("%.2f", _col(x))
+    return fixed(x, 2)
 
 
 def change_label(is_increase, pct, before, after) -> Column:
@@ -80,4 +103,4 @@ def change_label(is_increase, pct, before, after) -> Column:
     triangle otherwise.
     """
     arrow = F.when(_col(is_increase), F.lit("\u25b2")).otherwise(F.lit("\u25bc"))
-    return F.format_string("%s %.1f%%  ($%.2f \u2192 $%.2f)", arrow, _col(pct), _col(before), _col(after))
+    return F.format_string("%s %s%%  ($%s \u2192 $%s)", arrow, format_pct(pct), format_money(before), format_money(after))

@@ -9,12 +9,13 @@ from pricelens.operators.reports import (
 from pricelens.operators.history import REPORT_TABS, histories, history
 from pricelens.operators.feed import dashboard_feed, report_entries, report_stores, with_labels
 from pricelens.operators.upsert import dedup_latest
-from pricelens.operators.checks import report_violations
+from pricelens.operators.checks import change_violations, report_violations
 from pricelens.operators.categories import select_categories
 
 __all__ = [
     "distinct_dates", "latest_date", "latest_dates", "price_changes", "top_k_per_group",
     "avg_deals_30d", "avg_price_30d", "discounts", "list_price_decreases",
     "list_price_increases", "REPORT_TABS", "histories", "history", "dashboard_feed",
-    "report_entries", "report_stores", "with_labels", "dedup_latest", "report_violations", "select_categories",
+    "report_entries", "report_stores", "with_labels", "dedup_latest", "change_violations", "report_violations",
+    "select_categories",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.functions import change_label, escape_html, image_or_placeholder, link_or_hash
-from pricelens.operators.history import KEY, REPORT_TABS
+from pricelens.operators.history import KEY, REPORT_TABS, pruned
 from pricelens.operators.joins import join_checked, materialise_small
 from pricelens.schemas import HISTORY_COLUMNS
 
@@ -42,17 +42,20 @@ def with_labels(entries: DataFrame) -> DataFrame:
     return entries.withColumn("label", change_label("is_increase", "pct_change", "before", "after"))
 
 
-def dashboard_feed(reports: dict[str, DataFrame], products: DataFrame) -> DataFrame:
+def dashboard_feed(reports: dict[str, DataFrame], products: DataFrame, labels: bool = False) -> DataFrame:
     """Report rows x their history points (flat; one row per plotted point).
 
     A product without history keeps one row with NULL point columns.  The
     series is not collected into arrays: it stays one row per snapshot,
-    ordered by (tab, store, rank, scrape_date).
+    ordered by (tab, store, rank, scrape_date).  ``labels`` adds each
+    entry's display text.
     """
     entries = materialise_small(report_entries(reports))
     # keys come from the already materialised entries: no second checkpoint needed
     keys = entries.select("report", *KEY).distinct()
-    hist = join_checked(products.select(*HISTORY_COLUMNS), keys, KEY, "inner", materialised=True)
+    hist = join_checked(pruned(products.select(*HISTORY_COLUMNS), keys), keys, KEY, "inner", materialised=True)
+    if labels:
+        entries = with_labels(entries)
     return (entries.join(hist, ["report", *KEY], "left")
             .drop("report")
             .orderBy("tab", "store", "rank", "scrape_date"))

@@ -48,6 +48,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # lists of ids up to this length reach Parquet one by one, not as their range (operators.history)
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", "500")
     checkpoint_dir(spark)
     return spark
 

@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ANCHOR = r'<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>'
-
-#: Entities that are unescaped, the ampersand last (fixed values).
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+from pricelens.functions import unescaped
 
+ANCHOR = r'<a\s[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>'
 
 def _has_class(token: str) -> str:
     """Look-ahead inside a tag: its class attribute, in either quotes, holds the whole token."""
@@ -41,23 +39,17 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                     F.col("a")["hrefs"].alias("href"), F.trim(F.col("a")["texts"]).alias("text"))
 
 
-def _unescaped(col):
-    for entity, sign in ENTITIES.items():
-        col = F.replace(col, F.lit(entity), F.lit(sign))
-    return col
-
-
 def _attribute(tag, name: str):
     """Value of an attribute of a tag in either quotes; NULL if it has none."""
     pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
     value = F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2))
-    return F.when(tag.rlike(pattern), _unescaped(value))
+    return F.when(tag.rlike(pattern), unescaped(value))
 
 
 def _inner_text(tile, opening: str, name: str):
     """Whole text of the first such element without the tags in it; NULL if it is missing or blank."""
     inner = F.regexp_extract(tile, rf"{opening}(.*?)</{name}\s*>", 1)
-    text = F.trim(F.regexp_replace(_unescaped(F.regexp_replace(inner, "<[^>]*>", "")), r"\s+", " "))
+    text = F.trim(F.regexp_replace(unescaped(F.regexp_replace(inner, "<[^>]*>", "")), r"\s+", " "))
     return F.when(text != "", text)
 
 

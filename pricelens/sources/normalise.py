@@ -57,6 +57,40 @@ def read_json_checked(spark: SparkSession, path: str, schema,
     return good, bad
 
 
+ARRIVAL = "arrival"
+
+
+def with_arrival(files: DataFrame) -> DataFrame:
+    """Adds ``arrival``, which orders the documents of a file scan: by file time, file name, place in the file."""
+    meta = F.col("_metadata")
+    return files.withColumn(ARRIVAL, F.struct(
+        meta["file_modification_time"].alias("time"), meta["file_path"].alias("file"),
+        meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row")))
+
+
+def read_landed(spark: SparkSession, path: str | list[str], schema, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """All landed files of a payload format -> (documents ``doc`` with their ``arrival``, quarantine).
+
+    A file holds one document a line, or with ``multiline`` one document
+    (or one array of documents) in all.  Documents that do not parse go to
+    the quarantine frame (file, raw text, fields parsed before the
+    error).  ``schema`` is a document's; for
+    an array schema (category trees) the elements of each top-level array
+    are read, and ``doc`` is an array again.  The parsed rows are not
+    cached: write the quarantine frame before counting it.
+    """
+    many = isinstance(schema, T.ArrayType)
+    fields = (schema.elementType if many else schema).fields
+    with_bad = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    raw = with_arrival(spark.read.schema(with_bad).option("multiLine", multiline).option("mode", "PERMISSIVE")
+                       .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    doc = F.struct(*[F.col(f.name) for f in fields])
+    good = raw.where(F.col(CORRUPT).isNull()).select((F.array(doc) if many else doc).alias("doc"), ARRIVAL)
+    bad = raw.where(F.col(CORRUPT).isNotNull()).select(
+        F.col(ARRIVAL)["file"].alias("file"), F.col(CORRUPT).alias("raw"), doc.alias("partial"))
+    return good, bad
+
+
 def parse_json(df: DataFrame, col: str, schema) -> DataFrame:
     """Parse a string column holding one payload document per row."""
     return df.withColumn("doc", F.from_json(F.col(col), schema)).drop(col)
@@ -100,18 +134,19 @@ def simulated_prices(sim_docs: DataFrame) -> DataFrame:
     """Simulation documents -> (sku, sim_price, sim_list_price) in currency units.
 
     Only available items with a price; amounts arrive in hundredths.
-    A SKU repeated across documents keeps its largest document sequence
-    when a ``seq`` column is present, else any one of its rows.
+    Of a SKU repeated across documents the last document counts: the one
+    with the greatest ``arrival`` (see ``read_landed``) or ``seq``, if there
+    is such a column, and inside a document the last item.  Without either
+    the greatest prices do, so the result is still fixed.
     """
-    items = sim_docs.select(*[c for c in sim_docs.columns if c != "doc"],
-                            F.explode(F.col("doc")["items"]).alias("it"))
+    order = [c for c in (ARRIVAL, "seq") if c in sim_docs.columns][:1]
+    items = sim_docs.select(*order, F.posexplode(F.col("doc")["items"]).alias("at", "it"))
     ok = items.where((F.col("it")["availability"] == "available") & F.col("it")["price"].isNotNull())
     rows = ok.select(F.col("it")["id"].alias("sku"),
                      (F.col("it")["price"] / 100).alias("sim_price"),
-                     (F.col("it")["listPrice"] / 100).alias("sim_list_price"),
-                     *([F.col("seq")] if "seq" in sim_docs.columns else []))
-    order = ["seq"] if "seq" in rows.columns else ["sim_price", "sim_list_price"]
-    return dedup_latest(rows, ["sku"], order).select("sku", "sim_price", "sim_list_price")
+                     (F.col("it")["listPrice"] / 100).alias("sim_list_price"), *order, "at")
+    by = [*order, "at"] if order else ["sim_price", "sim_list_price"]
+    return dedup_latest(rows, ["sku"], by).select("sku", "sim_price", "sim_list_price")
 
 
 def apply_simulation(rows: DataFrame, sim: DataFrame | None, partial: bool = False) -> DataFrame:
@@ -175,10 +210,10 @@ def category_rows(trees: DataFrame, store: str, base_url: str, child_field: str,
 
     ``link_style`` "names": base/Main-Name/Sub-Name/...; "ids": base + id/id/.../.
     When an id occurs several times the row from the latest document wins
-    (``seq`` column, else document order is irrelevant because repeated
-    nodes carry identical fields).
+    (``arrival`` or ``seq`` column, else document order is irrelevant because
+    repeated nodes carry identical fields).
     """
-    seq = F.col("seq") if "seq" in trees.columns else F.lit(0)
+    seq = next((F.col(c) for c in (ARRIVAL, "seq") if c in trees.columns), F.lit(0))
     l1 = trees.select(seq.alias("seq"), F.explode(F.col("doc")).alias("m"))
     l2 = l1.select("seq", "m", F.explode_outer(F.col("m")[child_field]).alias("s"))
     l3 = l2.select("seq", "m", "s", F.explode_outer(F.col("s")[child_field]).alias("t"))
@@ -219,25 +254,23 @@ def tree_b_rows(trees: DataFrame, store: str, base_url: str) -> DataFrame:
 # --- R10: registry -------------------------------------------------------------------
 
 NORMALISERS: dict[str, tuple] = {
-    # payload format -> (document schema, rows function)
+    # payload format -> (document schema, an array for documents that are lists of records; rows function)
     "catalog_a": (CATALOG_A_PRODUCT, lambda docs, store, **kw: apply_simulation(
         catalog_a_rows(docs, store), kw.get("sim"))),
     "catalog_b": (CATALOG_B_PAGE, lambda docs, store, **kw: catalog_b_rows(docs, store)),
-    "tree_a": (TREE_A, lambda docs, store, **kw: tree_a_rows(docs, store, kw.get("base_url", ""))),
-    "tree_b": (TREE_B, lambda docs, store, **kw: tree_b_rows(docs, store, kw.get("base_url", ""))),
+    "tree_a": (T.ArrayType(TREE_A), lambda docs, store, **kw: tree_a_rows(docs, store, kw.get("base_url", ""))),
+    "tree_b": (T.ArrayType(TREE_B), lambda docs, store, **kw: tree_b_rows(docs, store, kw.get("base_url", ""))),
 }
 
 
 def register(fmt: str, schema, fn: Callable) -> None:
-    """Add a payload format: ``fn(docs, store, **kw) -> DataFrame``."""
+    """Add a payload format: ``fn(docs, store, **kw) -> DataFrame`` on documents (column ``doc``) of ``schema``."""
     NORMALISERS[fmt] = (schema, fn)
 
 
 def normalise(docs: DataFrame, fmt: str, store: str, json_col: str | None = None, **kw) -> DataFrame:
     """Parse (if ``json_col`` names a string column) and normalise documents of ``fmt``."""
     schema, fn = NORMALISERS[fmt]
-    if fmt.startswith("tree_"):
-        schema = T.ArrayType(schema)
     if json_col is not None:
         docs = parse_json(docs, json_col, schema)
     return fn(docs, store, **kw)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.functions import slug_to_name, url_path
+from pricelens.functions import slug_to_name, unescaped, url_path
 from pricelens.plans.ordinal import with_ordinal
 
 # Ids are handed out from 1001 upwards, roots have parent 0.
@@ -13,13 +13,36 @@ FIRST_ID = 1001
 ROOT_PARENT = 0
 
 
+#: A ``loc`` element of any parent; its text may be a CDATA section.
+_LOC = r"(?s)<loc(?:\s[^>]*)?>(.*?)</loc\s*>"
+_COMMENT = r"(?s)<!--.*?-->"
+_CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
+
+
+def sitemap_locations(files: DataFrame, text_col: str = "value") -> DataFrame:
+    """Every ``<loc>`` of whole sitemap or sitemap-index documents: the other columns, ``pos`` (from 0), ``url``.
+
+    Elements are found whatever tag they stand in; comments are left out,
+    blanks around the text too, entities are replaced.  An empty element
+    gives ''; a document that is NULL or has no element gives no row.
+    """
+    text = F.regexp_replace(F.col(text_col), _COMMENT, "")
+    found = files.select(*[c for c in files.columns if c != text_col],
+                         F.posexplode(F.regexp_extract_all(text, F.lit(_LOC), 1)).alias("pos", "raw"))
+    whole = F.regexp_extract(F.trim(F.col("raw")), _CDATA, 1)
+    plain = unescaped(F.regexp_replace("raw", "<[^>]*>", ""))
+    url = F.regexp_replace(F.when(F.col("raw").rlike(_CDATA), whole).otherwise(plain), r"^\s+|\s+$", "")
+    return found.withColumn("url", url).drop("raw")
+
+
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
-    """``<url><loc>..</loc></url>`` entries of sitemap XML files -> (url_index, url)."""
-    df = spark.read.format("xml").schema("loc string").option("rowTag", "url").load(path)
-    return with_ordinal(df.select(F.trim(F.col("loc")).alias("url"),
-                                  F.input_file_name().alias("_file"),
-                                  F.monotonically_increasing_id().alias("_pos")),
-                        ["_file", "_pos"], "url_index", 0).drop("_file", "_pos")
+    """All locations of the XML files under ``path`` -> (url_index, url), by file name and place in the file.
+
+    Sitemap files hold at most 50,000 locations and 50 MB by their
+    protocol, so a file is read as one text.
+    """
+    files = spark.read.text(path, wholetext=True).withColumn("_file", F.input_file_name())
+    return with_ordinal(sitemap_locations(files), ["_file", "pos"], "url_index", 0).select("url_index", "url")
 
 
 def url_hierarchy(urls: DataFrame, store: str, order_col: str = "url_index") -> DataFrame:
