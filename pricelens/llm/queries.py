@@ -93,9 +93,8 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     prepare(spark)
-    path = public_tokenizers.path(RANKS)
-    encoded = byte_bpe.encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return byte_bpe.decode_ids(encoded, path).select(
+    coded = byte_bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
