@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,24 @@ import zstandard
 from pyspark.sql import DataFrame
 
 SUM_TASKS = 16
+LEVEL = 1                # of the compression
+
+
+def released(task: Callable) -> Callable:
+    """``task`` for ``mapInArrow``; when it ends, memory that it freed goes back to the system.
+
+    Workers live on for later tasks, and the allocators keep what was freed otherwise.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):                  # another C library
+            pass
+
+    return run
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -18,7 +37,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T
         parts.append(a.dtype.str.encode().ljust(4) + len(a).to_bytes(8, "little") + planes.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(parts))
 
 
 def unpack(payload: bytes) -> list[np.ndarray]:

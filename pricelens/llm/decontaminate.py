@@ -11,7 +11,8 @@ signs between words do not count.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.llm.scratch import written
 from pricelens.llm.textbatch import SHINGLE, byte_slices, shingle_sets, text_words
 
 K1, B = 1.2, 0.75
@@ -39,11 +41,26 @@ def folded_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield i, j, _SIGNS[data], off
 
 
+def entry_begins(n: int) -> list[int]:
+    """First words of the entries of an item of ``n`` words; the last piece of a long item overlaps the one before."""
+    return [min(s, max(n - MAX_ENTRY, 0)) for s in range(0, n, MAX_ENTRY)]
+
+
+@dataclass
+class Statistics:
+    """What BM25 takes from all items, however they are cut into blocks."""
+
+    entries: int
+    mean: float              # words of an entry
+    longest: int
+    df: Callable[[np.ndarray], np.ndarray]       # entries that hold each of the (rising) terms
+
+
 class ItemIndex:
     """Inverted index of one block of items with impacts, list bounds and block maxima."""
 
-    def __init__(self, items: list[tuple[int, str, str]]):
-        """``items``: id, question and answer; an item without words is never found."""
+    def __init__(self, items: list[tuple[int, str, str]], of_all: Statistics | None = None):
+        """``items``: id, question and answer; an item without words is never found.  ``of_all``: if these are not all."""
         text = pa.array([t for _, q, a in items for t in (q, a)], pa.string())
         halves: list[np.ndarray] = []
         for _, _, data, off in folded_slices(text):
@@ -64,23 +81,25 @@ class ItemIndex:
             at = cut if 0 < cut < len(both) else len(both) // 2
             for part, to in ((both[:at], self.question), (both[at:], self.answer)):
                 to.append(shingle_sets(part, np.array([0, len(part)]))[0])
-            # the last piece of a long item overlaps the one before
-            begins = [min(s, max(len(both) - MAX_ENTRY, 0)) for s in range(0, len(both), MAX_ENTRY)]
+            begins = entry_begins(len(both))
             entries += [both[s:s + MAX_ENTRY] for s in begins]
             self.owner += [len(self.item)] * len(begins)
             self.pieces.append(len(begins))
             self.item.append(item)
         n = len(entries)
-        self.stride = max([MIN_STRIDE, *map(len, entries)])
         size = np.array([len(e) for e in entries], float)
-        norm = K1 * (1 - B + B * size / size.mean()) if n else size
+        if of_all is None:
+            of_all = Statistics(n, size.mean() if n else 1.0, int(size.max(initial=0)), lambda _: df)
+        self.stride = max(MIN_STRIDE, of_all.longest)
+        norm = K1 * (1 - B + B * size / of_all.mean)
         all_words = np.concatenate(entries) if n else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(n), size.astype(np.int64))
         self.terms, term = np.unique(all_words, return_inverse=True)
         pair, tf = np.unique(term * max(n, 1) + owner, return_counts=True)
         term, owner = pair // max(n, 1), pair % max(n, 1)
         df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        df = of_all.df(self.terms)
+        idf = np.log1p((of_all.entries - df + 0.5) / (df + 0.5))
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[owner]) if n else np.zeros(0)
         impact = impact / np.bincount(owner, weights=impact, minlength=n)[owner] if n else impact
         cut = np.searchsorted(term, np.arange(len(self.terms) + 1)).tolist()
@@ -245,14 +264,51 @@ def halves(items: DataFrame) -> DataFrame:
                         F.concat_ws(" ", F.slice(words, middle + 1, F.size(words))).alias("answer"))
 
 
-def item_blocks(items: DataFrame) -> Iterator[ItemIndex]:
-    """Indexes of the test items, in blocks of a bounded size."""
+def item_statistics(cut: DataFrame) -> Statistics:
+    """Counts over the entries of all items; the counts of words stay in a written table."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pa.array([t for pair in zip(*(c.to_pylist() for c in batch.columns), strict=True) for t in pair], pa.string())
+            found, sizes, held = [], [], np.zeros(0, np.uint64)
+            for i, _, data, off in folded_slices(text):
+                words, first = text_words(data, off)
+                for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+                    held = np.concatenate([held, words[a:b]]) if (i + k) % 2 else words[a:b]
+                    if (i + k) % 2:                        # question and answer are one text
+                        for s in entry_begins(len(held)):
+                            found.append(np.unique(held[s:s + MAX_ENTRY]))
+                            sizes.append(len(held[s:s + MAX_ENTRY]))
+            words, n = np.unique(np.concatenate(found or [held[:0]]), return_counts=True)
+            rows = len(words) + 1                          # a first row without a word has the entries' sizes
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(np.uint64(0), words).view(np.int64), mask=np.arange(rows) == 0), pa.array(np.append(len(sizes), n), pa.int64()),
+                 pa.array([sum(sizes)] + [0] * len(words), pa.int64()), pa.array([max(sizes, default=0)] + [0] * len(words), pa.int64())],
+                names=["word", "n", "total", "longest"])
+
+    counted = cut.select("question", "answer").mapInArrow(count, "word long, n long, total long, longest long")
+    held = written(counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("longest").alias("longest")),
+                   "item_words")
+    sums = held.filter("word IS NULL").first()
+
+    def df(terms: np.ndarray) -> np.ndarray:
+        own = held.sparkSession.createDataFrame(pa.table({"word": terms.view(np.int64)}))
+        rows = own.join(held, "word").select("word", "n").toArrow()                # one a term of the block
+        order = np.argsort(rows["word"].to_numpy().view(np.uint64))
+        return rows["n"].to_numpy()[order]
+
+    return Statistics(sums.n or 1, (sums.total or 1) / (sums.n or 1), sums.longest or 0, df)
+
+
+def item_blocks(items: DataFrame, block_bytes: int = ITEM_BLOCK_BYTES) -> Iterator[ItemIndex]:
+    """Indexes of the test items, in blocks of a bounded size; scores do not depend on the blocks."""
     cut = halves(items)
     total = cut.agg(F.coalesce(F.sum(F.octet_length("question") + F.octet_length("answer")), F.lit(0))).first()[0]
-    n = max(1, -(-total // ITEM_BLOCK_BYTES))
+    n = max(1, -(-total // block_bytes))
+    of_all = item_statistics(cut) if n > 1 else None
     for k in range(n):
         rows = cut.filter(F.pmod(F.xxhash64("item_id", "question"), F.lit(n)) == k).orderBy("item_id", "question").collect()
-        yield ItemIndex([(r.item_id, r.question, r.answer) for r in rows])
+        yield ItemIndex([(r.item_id, r.question, r.answer) for r in rows], of_all)
 
 
 def retrieved_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

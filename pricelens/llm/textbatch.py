@@ -1,8 +1,10 @@
 """Whole-batch text helpers: Arrow string columns as byte arrays, words and their 64-bit hashes.
 
 Words are maximal runs of bytes outside 0x20 and 0x09-0x0D; only A-Z is lower-cased.  A word is
-identified by a 64-bit hash (a polynomial over random byte values, then mixed), so two different
-words collide with a probability near 2**-60.
+identified by a 64-bit hash: each block of 8 bytes is mixed with its place, the mixed blocks are added
+up, and the sum is mixed with the length.  The mixing is one to one, so words of one length of up to 8
+bytes never share a hash; any other two words do with a probability near 2**-64, unless they were made
+to fit this function.
 """
 
 from __future__ import annotations
@@ -18,29 +20,17 @@ SHINGLE = 5
 
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
-_BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _rng.integers(0, 2, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 5
-_INV = pow(_BASE, -1, 1 << 64)
 _STEP = _rng.integers(1 << 60, 1 << 62, SHINGLE, dtype=np.uint64) * _U(2) + _U(1)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER_BYTE = _BYTE[LOWER]
-
-_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of them."""
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for k, base in enumerate((_BASE, _INV)):
-            steps = np.full(size, base, dtype=_U)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers
+#: Bits of the first 0 to 8 bytes of a block.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+_PLACE = 0x9E3779B97F4A7C15
+_LONG = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -95,11 +85,24 @@ def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each (A-Z lower-cased) word."""
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=_U)
-    np.cumsum(_LOWER_BYTE[data] * power[:len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(_U))
+    n = len(data)
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = LOWER[data]
+    block = np.ndarray((n + 1,), "<u8", padded, strides=(1,))          # the 8 bytes from each place on
+    length = ends - starts
+    total = mix((block[starts] & _KEEP[np.minimum(length, 8)]) + _U(_PLACE))
+    rest = np.flatnonzero((length > 8) & (length <= _LONG))
+    k = 1
+    while len(rest):
+        left = length[rest] - 8 * k
+        total[rest] += mix((block[starts[rest] + 8 * k] & _KEEP[np.minimum(left, 8)]) + _U(_PLACE * (k + 1) % (1 << 64)))
+        rest, k = rest[left > 8], k + 1
+    for i in np.flatnonzero(length > _LONG).tolist():                  # a long word's blocks side by side
+        own = block[starts[i] + 8:ends[i]:8].copy()
+        own[-1] &= _KEEP[(length[i] - 1) % 8 + 1]
+        own += _U(_PLACE) * np.arange(2, len(own) + 2, dtype=np.uint64)
+        total[i:i + 1] += mix(own).sum(dtype=np.uint64)
+    return mix(total + length.astype(_U) * _U(_BASE))
 
 
 def text_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

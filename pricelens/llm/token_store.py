@@ -12,6 +12,7 @@ Blocks are reset independently: each can be decoded with the order-0 table alone
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -24,8 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricelens.llm.arrays import released
 from pricelens.llm.range_coder import ZeroOrder, decode_blocks, encode_blocks
-from pricelens.llm.textbatch import byte_slices, word_hashes
+from pricelens.llm.textbatch import byte_slices
 from pricelens.llm.token_counts import counter
 
 MAGIC = b"PLTOKEN1"
@@ -36,16 +38,23 @@ END_ID = 2
 
 
 class TokenEncoder:
-    """Ids of whole texts: the library encodes each distinct pre-token once, texts are put together from those."""
+    """Ids of whole texts: the library encodes each distinct pre-token once, texts are put together from those.
 
-    MAX_KNOWN = 1 << 21
+    Pre-tokens are compared by their bytes.  They are normalised already, so they go to a copy of the
+    tokenizer without its normaliser: normalising twice may reorder combining marks.
+    """
+
+    MAX_KNOWN = 1 << 18
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        spec["normalizer"] = None
+        self.plain = Tokenizer.from_str(json.dumps(spec))
         self.plain.encode_special_tokens = True
         self.machine = counter(path)
         vocab = self.library.get_vocab()
@@ -54,21 +63,27 @@ class TokenEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.pool = np.zeros(1 << 16, np.int32)
         self.at = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _learn(self, keys: list[int], words: list[str]) -> None:
-        """Encode new pre-tokens, many to a call; a pre-token's last id is the one that ends a word."""
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens in order, and where each one's end; its last id is the one that ends a word."""
         texts = [" ".join(words[i:i + 1000]) for i in range(0, len(words), 1000)]
         ids = np.concatenate([np.array(e.ids, np.int32) for e in
                               self.plain.encode_batch_fast(texts, add_special_tokens=False)])
         ends = np.flatnonzero(self.final[ids]) + 1
-        if len(ends) != len(keys) or ends[-1] != len(ids):
-            raise ValueError("the library split the pre-tokens otherwise")
-        first, n = len(self.known), len(keys)
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            return ids, ends
+        own = [np.array(self.plain.encode(w, add_special_tokens=False).ids, np.int32) for w in words]
+        return np.concatenate(own), np.cumsum([len(x) for x in own])
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode new pre-tokens, many to a call."""
+        ids, ends = self._ids([w.decode("utf-8", "surrogatepass") for w in words])
+        first, n = len(self.known), len(words)
         while len(self.pool) < self.used + len(ids):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while len(self.at) < first + n:
@@ -77,23 +92,29 @@ class TokenEncoder:
         self.at[first:first + n] = self.used + np.concatenate(([0], ends[:-1]))
         self.size[first:first + n] = np.diff(ends, prepend=0)
         self.used += len(ids)
-        self.known.update(zip(keys, range(first, first + n), strict=True))
+        self.known.update(zip(words, range(first, first + n), strict=True))
+
+    def _entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Each pre-token's number among the known ones; new ones are encoded first."""
+        length = ends - starts
+        cut = np.concatenate(([0], np.cumsum(length)))
+        packed = data[np.repeat(starts - cut[:-1], length) + np.arange(cut[-1])]
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cut), pa.py_buffer(packed)])
+        coded = words.dictionary_encode()
+        listed = coded.dictionary.to_pylist()
+        if len(self.known) + len(listed) > self.MAX_KNOWN:
+            self._forget()
+        new = [w for w in listed if w not in self.known]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[coded.indices.to_numpy()]
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``end_id``, and the number of ids of each text."""
-        if len(self.known) > self.MAX_KNOWN:
-            self._forget()
         odd = [i for i, t in enumerate(texts) if "<|" in t and self.machine.special.search(t)]
         plain = ["" if i in set(odd) else t for i, t in enumerate(texts)] if odd else texts
         data, starts, ends, owner, _ = self.machine.pretokens(plain)
-        keys, first, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        listed = keys.tolist()
-        new = [j for j, key in enumerate(listed) if key not in self.known]
-        if new:
-            raw = data.tobytes()
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            self._learn([listed[j] for j in new], [raw[a:b].decode("utf-8") for a, b in spans])
-        entry = np.array([self.known[key] for key in listed], np.int64)[inverse] if listed else np.zeros(0, np.int64)
+        entry = self._entries(data, starts, ends) if len(starts) else np.zeros(0, np.int64)
         size = self.size[entry]
         total = int(size.sum())
         where = np.cumsum(size) - size
@@ -207,7 +228,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
             yield file()
 
     ordered = rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
-    ordered.mapInArrow(encode, "name string, n_tokens long, content binary").write.parquet(path)
+    ordered.mapInArrow(released(encode), "name string, n_tokens long, content binary").write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -231,8 +252,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    docs = files.select("name", "content").mapInArrow(
-        decode, "name string, doc_id long, offset long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    docs = files.select("name", "content").mapInArrow(released(decode), "name string, doc_id long, offset long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
     # one row a file: its place among all ids
     before = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
     places = files.select("name", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))

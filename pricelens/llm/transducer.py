@@ -19,6 +19,9 @@ import unicodedata
 
 import numpy as np
 
+from pricelens.llm import unicode_classes
+from pricelens.llm.unicode_classes import code_point_classes, young_code_points
+
 #: The pre-token pattern these machines implement (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Code points of white space (fixed values).
@@ -68,13 +71,10 @@ _classes: list[np.ndarray] = []
 def char_classes() -> np.ndarray:
     """Input class of every code point (built once per process)."""
     if not _classes:
+        classes = code_point_classes()[0]
         kind = np.full(0x110000, OTHER, np.uint8)
-        for cp in range(0x110000):
-            c = unicodedata.category(chr(cp))[0]
-            if c == "L":
-                kind[cp] = LETTER
-            elif c == "N":
-                kind[cp] = DIGIT
+        kind[classes == unicode_classes.LETTER] = LETTER
+        kind[classes == unicode_classes.DIGIT] = DIGIT
         kind[WHITE] = SPACE
         kind[ord("'")] = QUOTE
         for letters, c in (("stmd", L_END), ("r", L_R), ("v", L_V), ("l", L_L), ("e", L_E)):
@@ -161,6 +161,8 @@ class TokenCounter:
     MAX_STATES = 1 << 18          # the lazy table is dropped and rebuilt beyond this many states
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
         steps = spec["pre_tokenizer"]["pretokenizers"]
@@ -169,6 +171,7 @@ class TokenCounter:
             raise ValueError("only word-ended byte-level BPE with the known pre-token pattern is compiled")
         self.special = re.compile("|".join(re.escape(t["content"]) for t in sorted(
             spec["added_tokens"], key=lambda t: -len(t["content"]))) or r"(?!)")
+        self.young, self.normalizer = young_code_points().search, Tokenizer.from_file(path).normalizer
         self._load(model)
         self._reset()
 
@@ -333,6 +336,8 @@ class TokenCounter:
         if "<|" in text:
             text, found = self.special.subn(" ", text)
         if not text.isascii():
+            if self.young(text):                           # the library's Unicode tables are of other versions
+                return self.normalizer.normalize_str(text), found
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower(), found
 
