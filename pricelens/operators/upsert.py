@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.operators.joins import materialise_small
+
 
 def dedup_latest(df: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per ``key``: the row with the greatest ``order`` tuple wins.
@@ -29,13 +31,15 @@ def dedup_latest(df: DataFrame, key: list[str], order: list[str] | None = None)
 def unique_by_key(df: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
     """``dedup_latest`` in which only rows of repeated keys are aggregated.
 
-    A grouped count of the narrow key columns finds the repeated keys; the
+    A grouped count of the narrow key columns finds the repeated keys, which
+    are written out; without any, ``df`` itself is the result.  Else the
     other rows pass an anti join on them.  The planner picks the joins by
-    size.  ``df`` should be a stored table, as it is read three times.  Key
-    equality is null-safe, as grouping is.
+    size.  ``df`` should be a stored table, as it is read up to three times.
+    Key equality is null-safe, as grouping is.
     """
-    dups = df.groupBy(*key).count().where(F.col("count") > 1)
-    dups = dups.select(*[F.col(k).alias(f"_dk_{k}") for k in key])
+    dups = materialise_small(df.groupBy(*key).count().where(F.col("count") > 1).select(*[F.col(k).alias(f"_dk_{k}") for k in key]))
+    if dups.isEmpty():
+        return df
     match = F.lit(True)
     for k in key:
         match = match & F.col(k).eqNullSafe(F.col(f"_dk_{k}"))

@@ -11,7 +11,7 @@ import time
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,7 +140,8 @@ def _store(df: DataFrame, root: str, order: list[str], replace: bool) -> list[tu
     is stamped with its time of arrival: a later call wins.
 
     1. The conformed batch is written once to a staging folder (the input
-       is read once); touched partitions and keys are taken from there.
+       is read once), and its partitions are observed while it is written;
+       repeated keys are counted from there.
     2. Stored rows of the touched (scrape_date, store) pairs that share a
        key with the batch compete with it.  Only partitions that the batch
        or such rows lie in are written; with ``replace`` the stored rows of
@@ -159,15 +160,18 @@ def _store(df: DataFrame, root: str, order: list[str], replace: bool) -> list[tu
         rows = rows.withColumn("maincatid", F.lit(None).cast("string"))
     folder = work_path(spark, "staging", f"write-{uuid.uuid4().hex}")
     try:
-        rows.withColumn(SEQ, F.col(SEQ).cast("long")).write.parquet(f"{folder}/batch")
-        staged = spark.read.schema(rows.withColumn(SEQ, F.col(SEQ).cast("long")).schema).parquet(f"{folder}/batch")
-        return _merge(spark, staged, root, order, replace, folder)
+        rows = rows.withColumn(SEQ, F.col(SEQ).cast("long"))
+        seen = Observation(f"partitions-{uuid.uuid4().hex}")
+        rows.observe(seen, F.collect_set(F.struct(*PARTITION_COLUMNS)).alias("keys")).write.parquet(f"{folder}/batch")
+        touched = {tuple(r) for r in seen.get["keys"] or []}
+        staged = spark.read.schema(rows.schema).parquet(f"{folder}/batch")
+        return _merge(spark, staged, touched, root, order, replace, folder)
     finally:
         _delete_path(spark, folder)
 
 
-def _merge(spark: SparkSession, staged: DataFrame, root: str, order: list[str], replace: bool, folder: str) -> list[tuple]:
-    touched = {tuple(r) for r in staged.select(*PARTITION_COLUMNS).distinct().collect()}
+def _merge(spark: SparkSession, staged: DataFrame, touched: set[tuple], root: str, order: list[str], replace: bool,
+           folder: str) -> list[tuple]:
     if not touched:
         return []
     if any(k[0] is None or k[1] is None for k in touched):
