@@ -1,11 +1,12 @@
 """Mixing to target weights with soft membership, in DataFrame and SQL functions only.
 
 A naive Bayes classifier over hashed words, fitted on labelled rows, gives every document a posterior
-over domains.  The rates are the nonnegative ones nearest to 1 (in squares weighted by tokens) whose expected
-tokens of each domain, ``sum(rate * tokens * posterior)``, are the targets.  By duality a document's rate is
-``max(0, 1 + posterior . multiplier)`` with one multiplier per domain, so rates are never stored: Newton's
-method finds the multipliers, each pass is one aggregation over a narrow table, and only domain sums reach
-the driver.
+over domains.  Nonnegative document rates are fitted by projected-gradient least squares, so that the
+expected tokens of each domain, ``sum(rate * tokens * posterior)``, come as near to the targets as they
+can.  A step moves every rate against the gradient of the squared misses and sets negative ones to 0.
+Measured per token, a document's gradient is its posterior times one number a domain, so rates are never
+stored: a document replays the steps from its posterior alone.  Each step is one aggregation over a
+narrow table, and only domain sums reach the driver.
 """
 
 from __future__ import annotations
@@ -21,10 +22,16 @@ from pricelens.llm.scratch import written
 
 WORD_BUCKETS = 4096
 MAX_LABELLED = 20_000
-MAX_DOMAINS = 64
-EVIDENCE = 50            # a text weighs as much evidence as this many words at most
+MAX_DOMAINS = 64         # of more, the rarest among the labels are one domain, named REST
+REST = "(rest)"
+#: A text weighs as much evidence as this many words at most: words of one text depend on each other, and
+#: if each counted in full, long texts would have posteriors of 0 and 1 whatever the doubt.
+EVIDENCE = 50
 SMOOTHING = 0.5
-PASSES, TOLERANCE = 50, 1e-4
+PASSES, TOLERANCE = 40, 1e-4
+RANK = 1e-9              # moments below this share of the largest count as none
+GAIN = 1e-5              # a step must bring the squared misses this share nearer
+EXACT_SHARES, GRADIENT_SHARES = (1.0, 0.5, 0.25, 1 / 16, 1 / 64), (1.0, 8.0, 64.0, 512.0, 4096.0)
 
 
 def words_of(text: Column) -> Column:
@@ -81,9 +88,11 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_LAB
               .orderBy(F.crc32(F.concat(F.lit("mix"), F.col("doc_id").cast("string"))), "doc_id").limit(max_rows))
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
         "__domain", words_of(F.col("text")).alias("words"))
-    share = texts.groupBy("__domain").count().collect()
-    if len(share) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains")
+    share = texts.groupBy("__domain").count().collect()                          # at most one row a labelled document
+    if len(share) > MAX_DOMAINS:                                                   # the rarest are one domain
+        kept = {r["__domain"] for r in sorted(share, key=lambda r: (-r["count"], r["__domain"]))[:MAX_DOMAINS - 1]}
+        texts = texts.withColumn("__domain", F.when(F.col("__domain").isin(sorted(kept)), F.col("__domain")).otherwise(F.lit(REST)))
+        share = texts.groupBy("__domain").count().collect()
     domains = sorted(r["__domain"] for r in share)
     if not domains:
         return DomainClassifier([""], np.zeros(1), np.zeros((1, WORD_BUCKETS)))
@@ -102,23 +111,30 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_LAB
 
 @dataclass
 class Rates:
-    """The fit's multiplier of each domain; enough to compute any document's rate."""
+    """The steps of the fit, one number a domain each; enough to compute any document's rate."""
 
     domains: list[str]
-    multiplier: np.ndarray
+    steps: list[np.ndarray]
     totals: np.ndarray            # tokens of each domain as they are
     targets: np.ndarray
     reached: np.ndarray
 
     def rate(self, posterior: Column) -> Column:
-        """A document's nonnegative rate from its posterior."""
-        return F.greatest(F.lit(0.0), F.lit(1.0) + _dot(posterior, _constant(self.multiplier)))
+        """A document's nonnegative rate from its posterior: all steps from rate 1, each cut off at 0."""
+        if not self.steps:
+            return F.lit(1.0)
+        return F.aggregate(_constant(np.array(self.steps)), F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - _dot(posterior, g)))
 
     @property
-    def miss(self) -> float:
-        """The largest miss as a share of its target (or of a millionth of all tokens)."""
+    def misses(self) -> np.ndarray:
+        """Each domain's miss as a share of its target (or of a millionth of all tokens)."""
         scale = np.maximum(self.targets, 1e-6 * self.totals.sum())
-        return float(np.max(np.abs(self.reached - self.targets) / np.maximum(scale, 1e-300), initial=0.0))
+        return (self.reached - self.targets) / np.maximum(scale, 1e-300)
+
+    @property
+    def miss(self) -> float:
+        """The largest miss; 0 if all targets are met."""
+        return float(np.max(np.abs(self.misses), initial=0.0))
 
 
 def tempered_weights(totals: np.ndarray, power: float) -> np.ndarray:
@@ -129,32 +145,45 @@ def tempered_weights(totals: np.ndarray, power: float) -> np.ndarray:
 
 def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None = None, power: float = 0.5,
               keep_all: bool = False, passes: int = PASSES, tolerance: float = TOLERANCE) -> Rates:
-    """Rates that meet the targets, over ``members`` (``n_tokens, posterior``).
+    """Nonnegative rates whose domain tokens are nearest to the targets, over ``members`` (``n_tokens, posterior``).
 
     Targets are ``weights`` (by domain; default: tokens to the power ``power``) of the present total, or,
-    with ``keep_all``, of the least total at which no domain is thinned.  Newton's method runs on the dual,
-    ``sum(tokens * rate ** 2) / 2 - targets . multiplier``, until the largest miss is below ``tolerance`` of
-    its target; targets that are not met after ``passes`` passes, as no nonnegative rates may, raise.
+    with ``keep_all``, of the least total at which no domain is thinned.  The squares of the misses are
+    weighted so that domains of any size count alike.  One aggregation tries steps of several lengths along
+    the gradient, and along the gradient scaled by the live documents' second moments, which is exact where
+    it meets no bound; the best one is taken.  The fit ends when the largest miss is below
+    ``tolerance`` of its target or no step helps: targets out of reach give the nearest rates, and
+    ``Rates.misses`` says by how much they miss.
     """
     d = len(domains)
     p = [F.col("posterior")[i] for i in range(d)]
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    rates = Rates(domains, np.zeros(d), np.zeros(d), np.zeros(d), np.zeros(d))
+    rates = Rates(domains, [], np.zeros(d), np.zeros(d), np.zeros(d))
 
-    def sums(multiplier: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
-        """Domain tokens at these multipliers, the dual's first term, and its curvature."""
-        rated = members.select("n_tokens", "posterior", replace(rates, multiplier=multiplier).rate(F.col("posterior")).alias("r"))
-        weight = F.col("r") * F.col("n_tokens")
+    def rated(steps: list[np.ndarray]) -> DataFrame:
+        return members.select("n_tokens", "posterior", replace(rates, steps=steps).rate(F.col("posterior")).alias("r"))
+
+    def sums(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Domain tokens after these steps, and the second moments of the documents whose rate is not 0."""
         live = F.when(F.col("r") > 0, F.col("n_tokens")).otherwise(0)
-        row = rated.agg(*(F.sum(weight * x) for x in p), F.sum(weight * F.col("r")),
-                        *(F.sum(live * p[i] * p[j]) for i, j in pairs)).first()
+        row = rated(steps).agg(*(F.sum(F.col("r") * F.col("n_tokens") * x) for x in p),
+                               *(F.sum(live * p[i] * p[j]) for i, j in pairs)).first()
         got = np.array([x or 0.0 for x in row], float)
-        gram = np.zeros((d, d))
-        for (i, j), x in zip(pairs, got[d + 1:], strict=True):
-            gram[i, j] = gram[j, i] = x
-        return got[:d], got[d] / 2, gram
-
-    rates.totals, first, gram = sums(rates.multiplier)
+        moments = np.zeros((d, d))
+        for (i, j), x in zip(pairs, got[d:], strict=True):
+            moments[i, j] = moments[j, i] = x
+        return got[:d], moments
+
+    def tried(steps: list[np.ndarray], next_steps: list[np.ndarray]) -> np.ndarray:
+        """Domain tokens after one more step, for each of several."""
+        names = [f"r{k}" for k in range(len(next_steps))]
+        more = [F.greatest(F.lit(0.0), F.col("r") - _dot(F.col("posterior"), _constant(g))).alias(x)
+                for g, x in zip(next_steps, names, strict=True)]
+        row = rated(steps).select("n_tokens", "posterior", *more).agg(
+            *(F.sum(F.col(x) * F.col("n_tokens") * q) for x in names for q in p)).first()
+        return np.array([x or 0.0 for x in row], float).reshape(-1, d)
+
+    rates.totals, moments = sums([])
     rates.reached = totals = rates.totals
     w = tempered_weights(totals, power) if weights is None else np.array([max(weights.get(x, 0.0), 0.0) for x in domains])
     w = w / w.sum() if w.sum() else np.full(d, 1 / d)
@@ -162,25 +191,21 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float]
     rates.targets = targets = w * total
     if totals.sum() <= 0:
         return rates
-    unit = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))          # domains of any size weigh alike
-    value, damping = first, 1e-12
+    unit = 1 / np.sqrt(np.maximum(np.diag(moments), 1e-12 * totals.sum()))     # domains of any size weigh alike
+    largest = float(np.linalg.eigvalsh(moments * np.outer(unit, unit))[-1])
     for _ in range(passes):
         if rates.miss < tolerance:
-            return rates
-        miss = rates.reached - targets
-        curve = gram * np.outer(unit, unit) + damping * np.eye(d)
-        step = -unit * np.linalg.lstsq(curve, unit * miss, rcond=None)[0]
-        reached, term, new_gram = sums(rates.multiplier + step)
-        new_value = term - targets @ (rates.multiplier + step)
-        if new_value <= value + 1e-4 * (miss @ step) + 1e-12 * abs(value):
-            rates.multiplier, rates.reached, value, gram = rates.multiplier + step, reached, new_value, new_gram
-            damping = max(damping / 10, 1e-12)
-        else:                                                      # too far: a shorter step
-            damping = max(damping * 100, 1e-6)
-    if rates.miss < tolerance:
-        return rates
-    raise ValueError(f"no rates found that meet the targets: {dict(zip(domains, targets.tolist(), strict=True))} tokens wanted, "
-                     f"{dict(zip(domains, rates.reached.tolist(), strict=True))} reached")
+            break
+        error = unit * (rates.reached - targets)
+        exact = np.linalg.lstsq(moments * np.outer(unit, unit), error, rcond=RANK)[0]
+        tries = [unit * exact * x for x in EXACT_SHARES] + [unit * error / largest * x for x in GRADIENT_SHARES]
+        misses = np.sum((unit * (tried(rates.steps, tries) - targets)) ** 2, axis=1)
+        best = int(np.argmin(misses))
+        if not misses[best] < float(error @ error) * (1 - GAIN):
+            break
+        rates.steps = [*rates.steps, tries[best]]
+        rates.reached, moments = sums(rates.steps)
+    return rates
 
 
 def copies(rate: Column, id_col: Column, least: int = 0) -> Column:
@@ -201,16 +226,18 @@ def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None
 
 def mixing_rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5
                  ) -> DataFrame:
-    """``doc_id, domain, n_tokens, posterior, rate, copies`` of every row.
+    """``doc_id, domain, n_tokens, posterior, rate, copies, domain_miss`` of every row.
 
-    ``domain`` is the likeliest one.  Null and empty texts have no tokens and the prior as posterior;
+    ``domain`` is the likeliest one, ``domain_miss`` by what share of its target that domain's tokens are
+    off (0 up to the tolerance where the targets can be met).  Null and empty texts have no tokens and the prior as posterior;
     repeated rows and null ids are rated each; an empty table gives no rows.  Other columns are not read.
     """
     classifier, rates, members = mixed(docs, labelled, weights, power)
     best = F.array_position("posterior", F.array_max("posterior")).cast("int")
     names = F.array(*map(F.lit, classifier.domains))
     return members.select("doc_id", F.element_at(names, best).alias("domain"), "n_tokens", "posterior",
-                          rates.rate(F.col("posterior")).alias("rate")).withColumn(
+                          rates.rate(F.col("posterior")).alias("rate"),
+                          F.element_at(_constant(rates.misses), best).alias("domain_miss")).withColumn(
         "copies", copies(F.col("rate"), F.col("doc_id")))
 
 

@@ -251,11 +251,51 @@ def test_mixing_meets_targets_of_rare_domains(spark, rare):
         assert weights is None or held[0] == pytest.approx(held[1], rel=1e-3)
 
 
-def test_mixing_raises_where_targets_cannot_be_met(spark):
-    same = spark.createDataFrame([(i, "one text for all") for i in range(20)], "doc_id long, text string")
-    labelled = spark.createDataFrame([(i, "en" if i % 2 else "fr") for i in range(20)], "doc_id long, domain string")
-    with pytest.raises(ValueError, match="targets"):
-        mixing.mixing_rates(same, labelled, {"en": 9.0, "fr": 1.0})
+def test_mixing_gives_the_nearest_rates_where_targets_cannot_be_met(spark):
+    same = spark.createDataFrame([(i, "one text for all") for i in range(40)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "fr" if i % 4 else "en") for i in range(40)], "doc_id long, domain string")
+    for weights in ({"en": 9.0, "fr": 1.0}, None):
+        got = mixing.mixing_rates(same, labelled, weights).collect()
+        assert len(got) == 40 and len({r.rate for r in got}) == 1 and got[0].rate > 0 and abs(got[0].domain_miss) > 0.01
+        _, rates, _ = mixing.mixed(same, labelled, weights)
+        assert rates.miss > 0.01
+        # no other common rate brings the misses nearer
+        unit = 1 / rates.totals
+
+        def far(rate, rates=rates, unit=unit):
+            return np.sum((unit * (rate * rates.totals - rates.targets)) ** 2)
+
+        assert far(got[0].rate) <= min(far(got[0].rate * 0.999), far(got[0].rate * 1.001))
+
+
+@pytest.mark.parametrize("weights", [[0.2, 0.5, 0.3], [0.0, 0.02, 0.98], [0.9, 0.1, 0.0]])
+def test_mixing_rates_are_the_nearest(spark, weights):
+    """The squared misses are those of many plain projected-gradient steps on all rates."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.6, 0.6, 0.6], 80) * 0.7 + 0.1
+    n = rng.integers(0, 50, 80)
+    members = spark.createDataFrame([(int(k), x.tolist()) for k, x in zip(n, p, strict=True)], "n_tokens long, posterior array<double>")
+    rates = mixing.fit_rates(members, ["a", "b", "c"], dict(zip("abc", weights, strict=True)))
+    own = np.array([r.r for r in members.select(rates.rate(F.col("posterior")).alias("r")).collect()])
+    assert (own >= 0).all() and (n * own) @ p == pytest.approx(rates.reached)
+    unit = 1 / np.sqrt((n[:, None] * p * p).sum(axis=0))
+    plain, scale = np.ones(80), np.linalg.eigvalsh(unit[:, None] * (p.T @ (n[:, None] * p)) * unit)[-1]
+    for _ in range(20_000):
+        plain = np.maximum(0, plain - p @ (unit ** 2 * ((n * plain) @ p - rates.targets)) / scale)
+
+    def far(r):
+        return np.sum((unit * ((n * r) @ p - rates.targets)) ** 2)
+
+    assert far(own) <= far(plain) * 1.01 + 1e-6 * np.sum((unit * rates.targets) ** 2)
+
+
+def test_mixing_of_very_many_domains(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_DOMAINS", 3)
+    rows = [(i, f"text of kind{i % 6} kind{i % 6}") for i in range(60)]
+    labelled = spark.createDataFrame([(i, f"d{i % 6}") for i in range(40)], "doc_id long, domain string")
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert mixing.fit_classifier(table, labelled).domains == ["(rest)", "d0", "d1"]
+    assert mixing.mixing_rates(table, labelled).count() == 60
 
 
 def test_secret_scan(spark, docs, empty):
