@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens.llm.textbatch import byte_slices
-from pricelens.llm.unicode_classes import regex_stand_ins
+from pricelens.llm.unicode_classes import is_latin, regex_stand_ins
 
 _NEVER = 1 << 60
 
@@ -282,7 +282,7 @@ class Transducer:
         """The tokens of all texts in order, and the number of tokens of each text."""
         if len(self.keys) >= self.MAX_STATES:
             self._reset()
-        cut = [self.pieces(t if t.isascii() or not self.odd(t) else t.translate(self.stand_ins)) for t in texts]
+        cut = [self.pieces(t if is_latin(t) or not self.odd(t) else t.translate(self.stand_ins)) for t in texts]
         raw = "".join(texts).encode("utf-8", "surrogatepass")
         data = np.frombuffer(raw, np.uint8)
         # places of pieces and texts in characters, then in bytes

@@ -20,7 +20,7 @@ import unicodedata
 import numpy as np
 
 from pricelens.llm import unicode_classes
-from pricelens.llm.unicode_classes import code_point_classes, young_code_points
+from pricelens.llm.unicode_classes import code_point_classes, is_latin, young_code_points
 
 #: The pre-token pattern these machines implement (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -336,7 +336,7 @@ class TokenCounter:
         if "<|" in text:
             text, found = self.special.subn(" ", text)
         if not text.isascii():
-            if self.young(text):                           # the library's Unicode tables are of other versions
+            if not is_latin(text) and self.young(text):                           # the library's Unicode tables are of other versions
                 return self.normalizer.normalize_str(text), found
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower(), found

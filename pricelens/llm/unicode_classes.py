@@ -69,3 +69,12 @@ def young_code_points() -> re.Pattern:
     """Finds code points that Unicode 3.2 did not have; of older ones all tables know the same case and composition."""
     old = unicodedata.ucd_3_2_0
     return _one_of(np.flatnonzero(np.fromiter((old.category(chr(c)) == "Cn" for c in range(_SIZE)), bool, _SIZE)))
+
+
+def is_latin(text: str) -> bool:
+    """Whether all code points are below 256, where all tables agree; much cheaper than a pattern."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
