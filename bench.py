@@ -109,7 +109,8 @@ def main() -> None:
     timed("html_links", lambda: run(H.page_links(pages)))
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_query_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf}))
+                      "queries": times, "sf": sf, "settings": {k: spark.conf.get(k) for k in (
+                          "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}}))
     P._delete_path(spark, work_path(spark, "bench", run_dir))   # this run's scratch only
     spark.stop()
 
