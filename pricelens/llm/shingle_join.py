@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.llm.arrays import array_sum, by_key, grouped, pack, sliced, unpack
+from pricelens.llm.arrays import array_sum, by_key, grouped, pack, released, sliced, unpack
 from pricelens.llm.components import components
 from pricelens.llm.scratch import discard, written
 from pricelens.llm.skew import spread_join
 from pricelens.llm.textbatch import byte_slices, shingle_sets, text_words
 
-BUCKET_SHINGLES = 1 << 21
-FLUSH_SHINGLES = 1 << 21
+BUCKET_SHINGLES = 1 << 20
+FLUSH_SHINGLES = 1 << 20
 SKETCH_BITS = 20
 TILE, PIVOTS, LEAF = 1024, 8, 16
 _U = np.uint64
@@ -67,7 +67,7 @@ def set_table(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary())],
                                              names=["doc_id", "n_shingles", "set_key"])
 
-    return docs.mapInArrow(read, "doc_id long, n_shingles long, set_key binary")
+    return docs.mapInArrow(released(read), "doc_id long, n_shingles long, set_key binary")
 
 
 def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
@@ -140,8 +140,8 @@ def shared_shingles(docs: DataFrame, buckets: int) -> DataFrame:
                                              names=["set_hash", "shared"])
 
     blobs = "part int, payload binary"
-    rows = by_key(docs.mapInArrow(emit, blobs), "part", buckets).mapInArrow(count, blobs)
-    return by_key(rows, "part", buckets).mapInArrow(add, "set_hash long, shared long")
+    rows = by_key(docs.mapInArrow(released(emit), blobs), "part", buckets).mapInArrow(released(count), blobs)
+    return by_key(rows, "part", buckets).mapInArrow(released(add), "set_hash long, shared long")
 
 
 def _spots(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -170,7 +170,7 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([both.tobytes()], pa.binary())],
                                              names=["part", "payload"])
 
-    parts = by_key(ids.mapInArrow(mark, "part int, payload binary"), "part", 16).mapInArrow(join, "part int, payload binary").collect()
+    parts = by_key(ids.mapInArrow(released(mark), "part int, payload binary"), "part", 16).mapInArrow(released(join), "part int, payload binary").collect()
     table = np.frombuffer(b"".join(bytes(r.payload) for r in sorted(parts, key=lambda r: r.part)), np.uint8)
     wanted = docs.sparkSession.sparkContext.broadcast(np.unpackbits(table).view(bool) if len(table) else np.zeros(1 << bits, bool))
 
@@ -186,7 +186,7 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                      pa.array([len(sets[k]) for k in some], pa.int64()),
                      pa.array([sets[k].tobytes() for k in some], pa.binary())], names=["rep", "n", "shingles"])
 
-    return docs.mapInArrow(read, "rep long, n long, shingles binary")
+    return docs.mapInArrow(released(read), "rep long, n long, shingles binary")
 
 
 def shingle_sketch(sets: DataFrame) -> np.ndarray:
@@ -200,7 +200,7 @@ def shingle_sketch(sets: DataFrame) -> np.ndarray:
                 np.add.at(total, (s >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
         yield sliced(total)
 
-    total = array_sum(sets.select("shingles").mapInArrow(count, "part int, payload binary"), np.float32)
+    total = array_sum(sets.select("shingles").mapInArrow(released(count), "part int, payload binary"), np.float32)
     return total if len(total) else np.zeros(1 << SKETCH_BITS, np.float32)
 
 
@@ -264,9 +264,9 @@ def block_edges(sets: DataFrame, rank: np.ndarray, buckets: int) -> DataFrame:
             a, b = (first, second) if part >= buckets else tie(first, second)[2:]
             yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["a", "b"])
 
-    made = sets.select("rep", "shingles").mapInArrow(emit, "part int, payload binary")
+    made = sets.select("rep", "shingles").mapInArrow(released(emit), "part int, payload binary")
     spread = F.when(F.col("part") < buckets, F.col("part")).otherwise(buckets + F.pmod(F.xxhash64("payload"), F.lit(buckets)))
-    return by_key(made.withColumn("part", spread.cast("int")), "part", buckets).mapInArrow(meet, "a long, b long").distinct()
+    return by_key(made.withColumn("part", spread.cast("int")), "part", buckets).mapInArrow(released(meet), "a long, b long").distinct()
 
 
 class CountTree:
@@ -381,7 +381,7 @@ def block_links(sets: DataFrame, edges: DataFrame, tile: int = TILE) -> DataFram
               .filter("to <> home"))
     visiting = large.join(pivots, "rep").select(F.concat_ws("/", "block", "to").alias("task"), "rep", "shingles",
                                                 none.alias("label"), yes.alias("query"))
-    found = written(by_key(rows.unionByName(visiting), "task").mapInArrow(_link_groups, "a long, b long"), "links")
+    found = written(by_key(rows.unionByName(visiting), "task").mapInArrow(released(_link_groups), "a long, b long"), "links")
     if placed.filter("tiles > 1").isEmpty():
         return found
     # what the pivots left apart in large blocks meets all of its block
@@ -400,7 +400,7 @@ def block_links(sets: DataFrame, edges: DataFrame, tile: int = TILE) -> DataFram
     task = F.concat_ws("/", "block", "tile", "round")
     more = (asks.select(task.alias("task"), "rep", "shingles", "label", yes.alias("query"))
             .unionByName(told.select(task.alias("task"), "rep", "shingles", "label", F.lit(False).alias("query"))))
-    return found.unionByName(by_key(more, "task").mapInArrow(_link_groups, "a long, b long"))
+    return found.unionByName(by_key(more, "task").mapInArrow(released(_link_groups), "a long, b long"))
 
 
 def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:

@@ -32,7 +32,7 @@ from pricelens.llm.token_counts import counter
 
 MAGIC = b"PLTOKEN1"
 BLOCK = 4096
-FILE_TOKENS = 1 << 22
+FILE_TOKENS = 1 << 21
 PARTITION_BYTES = 32 << 20
 END_ID = 2
 
