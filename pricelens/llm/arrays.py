@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 SUM_TASKS = 16
-LEVEL = 1                # of the compression
+LEVEL = 5                # of the compression
 
 
 def released(task: Callable) -> Callable:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm.arrays import by_key, grouped, pack, unpack
+from pricelens.llm.arrays import by_key, grouped, pack, released, unpack
 from pricelens.llm.scratch import written
 from pricelens.llm.textbatch import byte_slices, text_words
 
@@ -74,7 +74,7 @@ def vocabulary(docs: DataFrame) -> DataFrame:
         if size:
             yield flush()
 
-    return docs.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(released(count), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
@@ -159,7 +159,7 @@ def occurrences(docs: DataFrame, buckets: int) -> DataFrame:
         if n_docs:
             yield flush()
 
-    return docs.mapInArrow(read, "part int, flush string, payload binary")
+    return docs.mapInArrow(released(read), "part int, flush string, payload binary")
 
 
 def bucket_tables(rows: DataFrame, buckets: int) -> DataFrame:
@@ -199,8 +199,7 @@ def bucket_tables(rows: DataFrame, buckets: int) -> DataFrame:
             yield row(part, "", pack(per.astype(np.uint32), at.astype(np.uint32), count), pack(steps_of(contexts)),
                       pack(steps_of(use), sizes, np.frombuffer(names, np.uint8)))
 
-    return by_key(rows, "part", 2 * buckets).mapInArrow(
-        build, "part int, flush string, pairs binary, contexts binary, uses binary")
+    return by_key(rows, "part", 2 * buckets).mapInArrow(released(build), "part int, flush string, pairs binary, contexts binary, uses binary")
 
 
 def log_stirling(discount: float, size: int = EXACT) -> np.ndarray:
@@ -386,8 +385,8 @@ def _sum_totals(tables: DataFrame, totals: list[DataFrame], model: Model, parent
             n = len(parts)
             yield batch_of([("part", parts), ("sweep", [sweep] * n), ("bucket", [bucket] * n)], blobs, rest)
 
-    told = with_totals(tables, totals, buckets).mapInArrow(tell, f"bucket int, part int, {kind}")
-    added = written(by_key(told, "bucket", buckets).mapInArrow(add, f"part int, sweep int, bucket int, {kind}"), f"totals{sweep}")
+    told = with_totals(tables, totals, buckets).mapInArrow(released(tell), f"bucket int, part int, {kind}")
+    added = written(by_key(told, "bucket", buckets).mapInArrow(released(add), f"part int, sweep int, bucket int, {kind}"), f"totals{sweep}")
     sums = added.agg(*(F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in names)).first()
     return added, np.array(sums, float)
 
@@ -466,12 +465,10 @@ def score(spark: SparkSession, fitted: Fitted) -> DataFrame:
                  pa.array(np.bincount(doc, weights=p[pair], minlength=len(n)))],
                 names=["doc_id", "trained", "n_tokens", "n_known", "base_score", "score"])
 
-    scored = with_totals(fitted.tables, fitted.totals, buckets, uses=True).mapInArrow(
-        predicted, "flush string, part int, payload binary")
+    scored = with_totals(fitted.tables, fitted.totals, buckets, uses=True).mapInArrow(released(predicted), "flush string, part int, payload binary")
     texts = fitted.tables.filter(F.col("part") >= buckets).select(
         "flush", F.lit(-1).alias("part"), F.col("uses").alias("payload"))
-    return by_key(scored.unionByName(texts), "flush").mapInArrow(
-        gather, "doc_id long, trained boolean, n_tokens long, n_known long, base_score double, score double")
+    return by_key(scored.unionByName(texts), "flush").mapInArrow(released(gather), "doc_id long, trained boolean, n_tokens long, n_known long, base_score double, score double")
 
 
 def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
