@@ -4,7 +4,8 @@ Three predictions drive each id: order 2 and order 1 name the id that last follo
 one, ids before it in this block, with a confidence; order 0 is the id's frequency in the file.  An
 adaptive weight for each combination of confidences mixes them into one distribution, and a 64-bit
 range coder without carries writes the id's interval of it.  Every block starts from the same fresh
-state, so blocks are coded as lanes of arrays and can be decoded alone.
+state, so blocks are coded as lanes of arrays and can be decoded alone.  Blocks of several files, each
+with its own order 0, share the lanes: a step costs much the same for a hundred lanes as for a thousand.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ from __future__ import annotations
 import numpy as np
 
 MIX_BITS, ZERO_BITS, SLOT_BITS = 12, 18, 10
+_PAIR_BITS = ZERO_BITS + 1
 MIX, ZERO, SLOTS = 1 << MIX_BITS, 1 << ZERO_BITS, 1 << SLOT_BITS
 MAX_IDS = 1 << 17
+CHUNK = 64               # steps whose slots an encoder works out at once
 _U = np.uint64
 _LOW32, _W32 = _U(0xFFFFFFFF), _U(32)
 _MIX_SHIFT, _ZERO_SHIFT = _U(MIX_BITS), _U(ZERO_BITS)
+_K1, _K2 = np.uint32(0x1E3779B1), np.uint32(0x42B2AE35)     # only bits 15 to 24 of the products count
 
 
 class ZeroOrder:
@@ -27,11 +31,9 @@ class ZeroOrder:
         ends = np.cumsum(self.freq)
         if len(ids) and (ends[-1] != ZERO or self.freq.min() < 1):
             raise ValueError("frequencies do not fill the order-0 scale")
-        size = int(self.ids.max()) + 1 if len(ids) else 1
-        self.width = np.zeros(size, np.uint64)
-        self.start = np.zeros(size, np.uint64)
-        self.width[self.ids] = self.freq
-        self.start[self.ids] = ends - self.freq
+        # start and width of each id's interval in one number
+        self.spans = np.zeros(int(self.ids.max()) + 1 if len(ids) else 1, np.uint64)
+        self.spans[self.ids] = ((ends - self.freq) << _PAIR_BITS) + self.freq
 
     @classmethod
     def of(cls, tokens: np.ndarray) -> ZeroOrder:
@@ -48,176 +50,287 @@ class ZeroOrder:
         return cls(ids, freq)
 
     def lookup(self) -> np.ndarray:
-        return np.repeat(self.ids, self.freq)
+        return np.repeat(self.ids.astype(np.int32), self.freq)
 
 
 #: Change of an entry (id * 4 + confidence) by confidence and whether the id came true; a wrong entry
 #: without confidence is replaced.
 _CHANGE = np.array([0, 1, -1, 1, -1, 1, -1, 0], np.int32)
 
-#: Where a weight moves: down after a miss, up after a hit.
-_AIM = np.array([32, MIX - 32], np.int32)
-
-
-class _Model:
-    """Adaptive state of all lanes; encoder and decoder step it alike."""
-
-    def __init__(self, lanes: int, zero: ZeroOrder):
-        self.base = np.arange(lanes)
-        self.one = np.full(lanes * SLOTS, -4, np.int32)                    # id * 4 + confidence; -4: none
-        self.two = self.one.copy()
-        self.weight2 = np.full(lanes * 32, MIX // 4, np.int32)
-        self.weight1 = np.full(lanes * 32, MIX // 4, np.int32)
-        self.before = np.zeros(lanes, np.int64)
-        self.hash2 = np.zeros(lanes, np.int64)
-        # order-0 intervals, with one more entry for "not by order 0": the whole scale
-        self.start = np.append(zero.start, _U(0))
-        self.width = np.append(zero.width, _U(ZERO))
-        self.whole = len(zero.start)
-        self.edges = np.zeros((4, lanes), np.int64)
-        self.edges[3] = MIX
-        self._shape()
-
-    def _shape(self) -> None:
-        n = len(self.base)
-        self.lane = self.base << SLOT_BITS
-        self.row = self.base << 5
-        self.edges = np.ascontiguousarray(self.edges[:, :n])
-        self.flat = self.edges.ravel()
-        self.steps = n
-
-    def keep(self, n: int) -> None:
+
+class _Lanes:
+    """Adaptive state of all lanes; encoder and decoder step it alike.
+
+    Lanes are in descending order of their blocks' ids, so that those still running come first.  Rows
+    of the work arrays are order 2 (0) and order 1 (1).
+    """
+
+    def __init__(self, sizes: np.ndarray, zeros: list[ZeroOrder], owner: np.ndarray):
+        lanes = len(sizes)
+        self.sizes = sizes
+        self.table = np.full(2 * lanes << SLOT_BITS, -4, np.int32)         # id * 4 + confidence; -4: none
+        self.weights = np.full(lanes << 5, (MIX // 4) * 0x10001, np.int32)  # order 2 | order 1 << 16
+        # the files' order-0 intervals one after the other, then "not by order 0": the whole scale
+        bases = np.cumsum([0, *(len(z.spans) for z in zeros)])
+        self.spans = np.concatenate([*(z.spans for z in zeros), np.array([ZERO], np.uint64)])
+        self.whole = len(self.spans) - 1
+        self.first = bases[owner]
+        self.hash2 = np.zeros(lanes, np.uint32)
+        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+        lane = np.arange(lanes)
+        self.rows = lane << 5
+        self.places = np.stack([lane, lane + lanes]) << SLOT_BITS
+        self._shape(lanes)
+
+    def _shape(self, n: int) -> None:
         """Only the first ``n`` lanes go on."""
-        self.base, self.before, self.hash2 = self.base[:n], self.before[:n], self.hash2[:n]
-        self._shape()
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        """Candidates of order 2 and 1; ``edges`` gets the bounds of the three parts of the mixed scale."""
-        mixed = self.before * 0x1E3779B1
-        self.slot1 = self.lane + ((mixed >> 15) & (SLOTS - 1))
-        self.slot2 = self.lane + (((mixed + self.hash2) >> 15) & (SLOTS - 1))
-        self.hash2 = self.before * 0x42B2AE35
-        self.entry1, self.entry2 = self.one[self.slot1], self.two[self.slot2]
-        c1, c2 = self.entry1 >> 2, self.entry2 >> 2
-        self.sure1, self.sure2 = self.entry1 & 3, self.entry2 & 3
-        self.ctx = self.row + ((self.sure2 << 3) + (self.sure1 << 1)) + (c1 == c2)
-        self.p2, self.p1 = self.weight2[self.ctx], self.weight1[self.ctx]
-        self.edges[1] = self.p2
-        self.edges[2] = self.p2 + np.maximum((MIX - self.p2) * self.p1 >> MIX_BITS, 1)
-        return c2, c1
-
-    def interval(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of the lanes' parts (0: order 2, 1: order 1, 2: order 0)."""
-        at = part * self.steps + self.base
-        start = self.flat[at]
-        return start.astype(_U), (self.flat[at + self.steps] - start).astype(_U)
-
-    def learn(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
-        """``ids`` came; the flags say whether each candidate was right."""
-        self.weight2[self.ctx] = self.p2 + ((_AIM[hit2.view(np.int8)] - self.p2) >> 4)
-        moved = (_AIM[hit1.view(np.int8)] - self.p1) >> 4
-        self.weight1[self.ctx] = self.p1 + moved * ~hit2
-        fresh = ids << 2
-        for table, slot, entry, sure, hit in ((self.one, self.slot1, self.entry1, self.sure1, hit1),
-                                              (self.two, self.slot2, self.entry2, self.sure2, hit2)):
-            state = (sure << 1) + hit
-            new = entry + _CHANGE[state]
-            wrong = np.flatnonzero(state == 0)
-            new[wrong] = fresh[wrong]
-            table[slot] = new
-        self.before = ids
+        self.n = n
+        self.rows, self.first, self.hash2 = self.rows[:n], self.first[:n], self.hash2[:n]
+        self.places, self.low, self.span = np.ascontiguousarray(self.places[:, :n]), self.low[:n], self.span[:n]
+        self.slot, self.ctx, self.own = np.empty((2, n), np.int64), np.empty(n, np.int64), np.empty(n, np.int64)
+        self.hashes = np.empty((2, n), np.uint32)
+        self.entry, self.cand, self.sure, self.state, self.change = (np.empty((2, n), np.int32) for _ in range(5))
+        self.fresh, self.p1, self.p2, self.a, self.b = (np.empty(n, np.int32) for _ in range(5))
+        self.hit, self.wrong = np.empty((2, n), bool), np.empty((2, n), bool)
+        self.either, self.flag = np.empty(n, bool), np.empty(n, bool)
+        self.unit, self.x2, self.x1, self.wide, self.base, self.zero = (np.empty(n, np.uint64) for _ in range(6))
 
+    def slots(self, before: np.ndarray) -> np.ndarray:
+        """Places of both predictors' entries after the ids ``before``."""
+        h = self.hashes
+        np.multiply(before, _K1, out=h[1])
+        np.add(h[1], self.hash2, out=h[0])
+        np.multiply(before, _K2, out=self.hash2)
+        np.right_shift(h, 15, out=h)
+        np.bitwise_and(h, SLOTS - 1, out=h)
+        return np.add(self.places, h, out=self.slot)
 
-def encode_blocks(tokens: np.ndarray, block: int, zero: ZeroOrder) -> list[bytes]:
-    """Code ``tokens`` in blocks of ``block`` ids (the last one may be shorter)."""
-    n = len(tokens)
-    lanes = -(-n // block)
+    def predict(self, slot: np.ndarray) -> None:
+        """Candidates (``cand``), and the bounds in the coder's span below which they lie (``x2``, ``x1``)."""
+        n = self.n
+        np.take(self.table, slot, out=self.entry, mode="clip")
+        np.bitwise_and(self.entry, 3, out=self.sure)
+        np.right_shift(self.entry, 2, out=self.cand)
+        a, b = self.a, self.b
+        np.left_shift(self.sure[0], 3, out=a)
+        np.left_shift(self.sure[1], 1, out=b)
+        np.add(a, b, out=a)
+        np.equal(self.cand[0], self.cand[1], out=self.flag)
+        np.add(a, self.flag, out=a)
+        np.add(self.rows, a, out=self.ctx)
+        np.take(self.weights, self.ctx, out=b, mode="clip")
+        p2, p1 = self.p2, self.p1
+        np.bitwise_and(b, 0xFFFF, out=p2)
+        np.right_shift(b, 16, out=p1)
+        np.subtract(MIX, p2, out=a)
+        np.multiply(a, p1, out=a)
+        np.right_shift(a, MIX_BITS, out=a)
+        np.maximum(a, 1, out=a)
+        np.add(a, p2, out=a)
+        np.right_shift(self.span, _MIX_SHIFT, out=self.unit)
+        np.multiply(self.unit, p2.view(np.uint32), out=self.x2)
+        np.multiply(self.unit, a.view(np.uint32), out=self.x1)
+
+    def narrow(self, by2: np.ndarray, by1: np.ndarray) -> None:
+        """``base``, ``unit``: start in the span and unit of order 0's scale; ``by1`` includes ``by2``."""
+        base, wide = self.base, self.wide
+        # order 0 unless one of the candidates is right
+        np.left_shift(self.unit, _MIX_SHIFT, out=wide)
+        np.subtract(wide, self.x1, out=wide)
+        np.copyto(base, self.x1)
+        np.subtract(self.x1, self.x2, out=self.zero)
+        np.copyto(wide, self.zero, where=by1)
+        np.copyto(base, self.x2, where=by1)
+        np.copyto(wide, self.x2, where=by2)
+        np.copyto(base, _U(0), where=by2)
+        np.right_shift(wide, _ZERO_SHIFT, out=self.unit)
+
+    def take(self, ids: np.ndarray, by1: np.ndarray) -> np.ndarray:
+        """The span becomes the ids' part; how far its start moved beyond ``base``."""
+        np.add(self.first, ids, out=self.own)
+        np.copyto(self.own, self.whole, where=by1)
+        np.take(self.spans, self.own, out=self.zero, mode="clip")
+        np.bitwise_and(self.zero, _U((1 << _PAIR_BITS) - 1), out=self.wide)
+        np.multiply(self.unit, self.wide, out=self.span)
+        np.right_shift(self.zero, _U(_PAIR_BITS), out=self.zero)
+        return np.multiply(self.unit, self.zero, out=self.zero)
+
+    def short(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lanes whose span has less than a word left, with their lows; both move on by a word."""
+        np.less_equal(self.span, _LOW32, out=self.flag)
+        k = np.flatnonzero(self.flag)
+        low = self.low[k]
+        if len(k):
+            span = self.span[k]
+            span = np.where((low ^ (low + span - _U(1))) > _LOW32, (_LOW32 - (low & _LOW32)) + _U(1), span)
+            self.low[k], self.span[k] = low << _W32, span << _W32
+        return k, low
+
+    def learn(self, ids: np.ndarray, slot: np.ndarray) -> None:
+        """``ids`` came; ``hit`` says whether each candidate was right."""
+        a, b, p2, p1, hit2 = self.a, self.b, self.p2, self.p1, self.hit[0]
+        # weights move down after a miss and up after a hit; that of order 1 only after a miss of order 2
+        for p, hit, moved in ((p2, hit2, a), (p1, self.hit[1], b)):
+            np.multiply(hit, np.int32(MIX - 64), out=moved)
+            np.add(moved, 32, out=moved)
+            np.subtract(moved, p, out=moved)
+            np.right_shift(moved, 4, out=moved)
+        np.logical_not(hit2, out=self.flag)
+        np.multiply(b, self.flag, out=b)
+        np.add(p2, a, out=p2)
+        np.add(p1, b, out=p1)
+        np.left_shift(p1, 16, out=p1)
+        np.add(p2, p1, out=p2)
+        self.weights[self.ctx] = p2
+        state, entry = self.state, self.entry
+        np.left_shift(self.sure, 1, out=state)
+        np.add(state, self.hit, out=state)
+        np.take(_CHANGE, state, out=self.change, mode="clip")
+        np.add(entry, self.change, out=entry)
+        np.equal(state, 0, out=self.wrong)
+        np.left_shift(ids, 2, out=self.fresh)
+        np.copyto(entry, self.fresh, where=self.wrong)
+        self.table[slot] = entry
+
+
+def _dealt(counts: list[int], block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of each lane, its file, and the lane's place among all files' blocks; longest lanes first."""
+    blocks = [-(-n // block) for n in counts]
+    owner = np.repeat(np.arange(len(counts)), blocks)
+    sizes = np.full(len(owner), block)
+    for n, end in zip(counts, np.cumsum(blocks).tolist(), strict=True):
+        if n % block:
+            sizes[end - 1] = n % block
+    order = np.argsort(-sizes, kind="stable")
+    return sizes[order], owner[order], order
+
+
+def encode_files(files: list[tuple[np.ndarray, ZeroOrder]], block: int) -> list[list[bytes]]:
+    """Code each file's ids in blocks of ``block`` ids (its last one may be shorter)."""
+    sizes, owner, order = _dealt([len(tokens) for tokens, _ in files], block)
+    lanes = len(sizes)
     if not lanes:
-        return []
-    grid = np.zeros(lanes * block, np.int64)
-    grid[:n] = tokens
-    grid = np.ascontiguousarray(grid.reshape(lanes, block).T)
-    last = n - (lanes - 1) * block
-    model = _Model(lanes, zero)
-    low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    words = np.zeros((lanes, block + 3), np.uint32)
-    used = np.zeros(lanes, np.int64)
-    ended: list[tuple[np.ndarray, np.ndarray]] = []
-    for t in range(min(block, n)):
-        if t == last and last < block:                      # the short last block ends here
-            ended.append((low[-1:], np.arange(lanes - 1, lanes)))
-            low, span = low[:-1], span[:-1]
-            model.keep(lanes - 1)
-            if lanes == 1:
-                break
-        ids = grid[t, :len(low)]
-        c2, c1 = model.predict()
-        hit2, hit1 = c2 == ids, c1 == ids
-        start, width = model.interval(np.where(hit2, 0, 2 - hit1))
-        unit = span >> _MIX_SHIFT
-        low = low + unit * start
-        unit = (unit * width) >> _ZERO_SHIFT
-        own = np.where(hit1 | hit2, model.whole, ids)
-        low += unit * model.start[own]
-        span = unit * model.width[own]
-        k = np.flatnonzero(span <= _LOW32)
+        return [[] for _ in files]
+    longest = int(sizes[0])
+    grid = np.zeros((lanes, longest), np.int32)
+    rank = np.empty(lanes, np.int64)
+    rank[order] = np.arange(lanes)
+    at = 0
+    for tokens, _ in files:
+        for a in range(0, len(tokens), block):
+            own = tokens[a:a + block]
+            grid[rank[at], :len(own)] = own
+            at += 1
+    grid = np.ascontiguousarray(grid.T)
+    model = _Lanes(sizes, [zero for _, zero in files], owner)
+    width = longest + 3
+    words = np.zeros(lanes * width, np.uint32)
+    used = np.arange(lanes) * width
+    ends = np.searchsorted(-sizes, -np.arange(longest), "left")     # lanes with more than t ids
+    last = np.zeros(lanes, np.uint64)
+    before = np.zeros(lanes, np.uint32)
+    for t in range(longest):
+        n = int(ends[t])
+        if n < model.n:
+            last[n:model.n] = model.low[n:]
+            model._shape(n)
+            before = before[:n]
+        ids = grid[t, :n]
+        slot = model.slots(before)
+        model.predict(slot)
+        np.equal(model.cand, ids, out=model.hit)
+        hit2, hit1 = model.hit
+        by1 = np.logical_or(hit2, hit1, out=model.either)
+        model.narrow(hit2, by1)
+        moved = model.take(ids, by1)
+        model.low += model.base
+        model.low += moved
+        k, low = model.short()
         if len(k):
-            a, s = low[k], span[k]
-            s = np.where((a ^ (a + s - _U(1))) > _LOW32, (_LOW32 - (a & _LOW32)) + _U(1), s)
-            words[k, used[k]] = (a >> _W32).astype(np.uint32)
+            words[used[k]] = (low >> _W32).astype(np.uint32)
             used[k] += 1
-            low[k], span[k] = a << _W32, s << _W32
-        model.learn(ids, hit1, hit2)
-    ended.append((low, np.arange(len(low))))
-    for rest, lane in ended:
-        words[lane, used[lane]] = (rest >> _W32).astype(np.uint32)
-        words[lane, used[lane] + 1] = (rest & _LOW32).astype(np.uint32)
-        used[lane] += 2
-    return [words[i, :k].astype("<u4").tobytes() for i, k in enumerate(used.tolist())]
+        model.learn(ids, slot)
+        before = ids.view(np.uint32)
+    last[:model.n] = model.low
+    words[used] = (last >> _W32).astype(np.uint32)
+    words[used + 1] = (last & _LOW32).astype(np.uint32)
+    coded = [words[a:b].astype("<u4").tobytes() for a, b in zip((np.arange(lanes) * width).tolist(), (used + 2).tolist(), strict=True)]
+    out: list[list[bytes]] = [[] for _ in files]
+    for lane in rank.tolist():
+        out[owner[lane]].append(coded[lane])
+    return out
 
 
-def decode_blocks(blocks: list[bytes], n: int, block: int, zero: ZeroOrder) -> np.ndarray:
-    """The ``n`` ids of consecutive blocks."""
-    lanes = len(blocks)
+def decode_files(files: list[tuple[list[bytes], int, ZeroOrder]], block: int) -> list[np.ndarray]:
+    """Each file's ids, from its consecutive blocks and their number."""
+    for blocks, n, _ in files:
+        if len(blocks) != -(-n // block):
+            raise ValueError("the number of blocks does not fit the number of ids")
+    sizes, owner, order = _dealt([n for _, n, _ in files], block)
+    lanes = len(sizes)
     if not lanes:
-        return np.zeros(0, np.int64)
-    sizes = np.array([len(b) // 4 for b in blocks])
-    words = np.zeros((lanes, int(sizes.max()) + 1), np.uint32)
-    for i, b in enumerate(blocks):
-        words[i, :sizes[i]] = np.frombuffer(b, "<u4")
-    last = n - (lanes - 1) * block
-    lookup = zero.lookup()
-    model = _Model(lanes, zero)
-    low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    code = (words[:, 0].astype(_U) << _W32) | words[:, 1].astype(_U)
-    used = np.full(lanes, 2)
-    out = np.zeros((block, lanes), np.int64)
-    for t in range(min(block, n)):
-        if t == last and last < block:
-            low, span, code = low[:-1], span[:-1], code[:-1]
-            model.keep(lanes - 1)
-            if lanes == 1:
-                break
-        c2, c1 = model.predict()
-        unit = span >> _MIX_SHIFT
-        at = ((code - low) // unit).astype(np.int64)
-        by1 = at < model.edges[2]
-        by2 = at < model.edges[1]
-        start, width = model.interval(np.where(by2, 0, 2 - by1))
-        low = low + unit * start
-        unit = (unit * width) >> _ZERO_SHIFT
-        at = np.minimum((code - low) // unit, _U(ZERO - 1)).astype(np.int64)
-        ids = np.where(by2, c2, np.where(by1, c1, lookup[at]))
-        own = np.where(by1, model.whole, ids)
-        low += unit * model.start[own]
-        span = unit * model.width[own]
-        k = np.flatnonzero(span <= _LOW32)
+        return [np.zeros(0, np.int32) for _ in files]
+    listed = [b for blocks, _, _ in files for b in blocks]
+    listed = [listed[i] for i in order.tolist()]
+    held = np.array([len(b) // 4 for b in listed])
+    # a damaged block may run out of words: it then reads on in the next one, and its checksum fails
+    words = np.frombuffer(b"".join(listed) + bytes(4 * (int(sizes[0]) + 4)), "<u4")
+    used = np.cumsum(held) - held
+    model = _Lanes(sizes, [zero for _, _, zero in files], owner)
+    lookup = np.concatenate([zero.lookup() if n else np.zeros(ZERO, np.int32) for _, n, zero in files])
+    scale = owner << ZERO_BITS
+    ahead = (words[used].astype(_U) << _W32) | words[used + 1].astype(_U)    # the code beyond the low
+    used += 2
+    longest = int(sizes[0])
+    out = np.zeros((longest, lanes), np.int32)
+    ends = np.searchsorted(-sizes, -np.arange(longest), "left")
+    before = np.zeros(lanes, np.uint32)
+    by2, place, quotient = np.empty(lanes, bool), np.empty(lanes, np.int64), np.empty(lanes, np.uint64)
+    for t in range(longest):
+        n = int(ends[t])
+        if n < model.n:
+            model._shape(n)
+            before, ahead, used, scale = before[:n], ahead[:n], used[:n], scale[:n]
+            by2, place, quotient = by2[:n], place[:n], quotient[:n]
+        slot = model.slots(before)
+        model.predict(slot)
+        by1 = np.less(ahead, model.x1, out=model.either)
+        np.less(ahead, model.x2, out=by2)
+        model.narrow(by2, by1)
+        ahead -= model.base
+        model.low += model.base
+        np.floor_divide(ahead, model.unit, out=quotient)
+        np.minimum(quotient, _U(ZERO - 1), out=quotient)
+        np.add(scale, quotient.view(np.int64), out=place)
+        ids = out[t, :n]
+        np.take(lookup, place, out=ids, mode="clip")
+        np.copyto(ids, model.cand[1], where=by1)
+        np.copyto(ids, model.cand[0], where=by2)
+        moved = model.take(ids, by1)
+        ahead -= moved
+        model.low += moved
+        k, _ = model.short()
         if len(k):
-            a, s = low[k], span[k]
-            s = np.where((a ^ (a + s - _U(1))) > _LOW32, (_LOW32 - (a & _LOW32)) + _U(1), s)
-            code[k] = (code[k] << _W32) | words[k, np.minimum(used[k], words.shape[1] - 1)].astype(_U)
+            ahead[k] = (ahead[k] << _W32) | words.take(used[k], mode="clip")
             used[k] += 1
-            low[k], span[k] = a << _W32, s << _W32
-        out[t, :len(ids)] = ids
-        model.learn(ids, c1 == ids, c2 == ids)
-    return out.T.ravel()[:n]
+        np.equal(model.cand, ids, out=model.hit)
+        model.learn(ids, slot)
+        before = ids.view(np.uint32)
+    back: list[np.ndarray] = []
+    rank = np.empty(lanes, np.int64)
+    rank[order] = np.arange(lanes)
+    at = 0
+    for blocks, n, _ in files:
+        back.append(out[:, rank[at:at + len(blocks)]].T.ravel()[:n] if len(blocks) else np.zeros(0, np.int32))
+        at += len(blocks)
+    return back
+
+
+def encode_blocks(tokens: np.ndarray, block: int, zero: ZeroOrder) -> list[bytes]:
+    """Code ``tokens`` in blocks of ``block`` ids (the last one may be shorter)."""
+    return encode_files([(tokens, zero)], block)[0]
+
+
+def decode_blocks(blocks: list[bytes], n: int, block: int, zero: ZeroOrder) -> np.ndarray:
+    """The ``n`` ids of consecutive blocks."""
+    return decode_files([(blocks, n, zero)], block)[0]

@@ -17,6 +17,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -26,17 +27,29 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm.arrays import released
-from pricelens.llm.range_coder import ZeroOrder, decode_blocks, encode_blocks
+from pricelens.llm.range_coder import ZeroOrder, decode_files, encode_files
 from pricelens.llm.textbatch import byte_slices
 from pricelens.llm.token_counts import counter
+from pricelens.llm.transducer import pretoken_spans
 
 MAGIC = b"PLTOKEN1"
 BLOCK = 4096
 FILE_TOKENS = 1 << 21
 PARTITION_BYTES = 32 << 20
+SPLIT_BYTES = 32 << 20   # of texts whose distinct pre-tokens are encoded together
+LANE_IDS = 1 << 23       # ids of the files that are coded side by side
 END_ID = 2
 
 
+@dataclass
+class Split:
+    """A slice of texts as pre-tokens."""
+
+    words: pa.DictionaryArray
+    per: np.ndarray                  # pre-tokens of each text
+    odd: dict[int, np.ndarray]       # ids of the texts that are not split
+
+
 class TokenEncoder:
     """Ids of whole texts: the library encodes each distinct pre-token once, texts are put together from those.
 
@@ -44,7 +57,7 @@ class TokenEncoder:
     tokenizer without its normaliser: normalising twice may reorder combining marks.
     """
 
-    MAX_KNOWN = 1 << 18
+    MAX_KNOWN = 1 << 20      # distinct pre-tokens, counted in each slice, that are held for one call
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -60,14 +73,6 @@ class TokenEncoder:
         vocab = self.library.get_vocab()
         self.final = np.zeros(max(vocab.values()) + 1, bool)
         self.final[[k for word, k in vocab.items() if word.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.pool = np.zeros(1 << 16, np.int32)
-        self.at = np.zeros(1 << 16, np.int64)
-        self.size = np.zeros(1 << 16, np.int64)
-        self.used = 0
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pre-tokens in order, and where each one's end; its last id is the one that ends a word."""
@@ -80,105 +85,146 @@ class TokenEncoder:
         own = [np.array(self.plain.encode(w, add_special_tokens=False).ids, np.int32) for w in words]
         return np.concatenate(own), np.cumsum([len(x) for x in own])
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new pre-tokens, many to a call."""
-        ids, ends = self._ids([w.decode("utf-8", "surrogatepass") for w in words])
-        first, n = len(self.known), len(words)
-        while len(self.pool) < self.used + len(ids):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while len(self.at) < first + n:
-            self.at, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.at, self.size))
-        self.pool[self.used:self.used + len(ids)] = ids
-        self.at[first:first + n] = self.used + np.concatenate(([0], ends[:-1]))
-        self.size[first:first + n] = np.diff(ends, prepend=0)
-        self.used += len(ids)
-        self.known.update(zip(words, range(first, first + n), strict=True))
-
-    def _entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Each pre-token's number among the known ones; new ones are encoded first."""
-        length = ends - starts
-        cut = np.concatenate(([0], np.cumsum(length)))
-        packed = data[np.repeat(starts - cut[:-1], length) + np.arange(cut[-1])]
-        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cut), pa.py_buffer(packed)])
-        coded = words.dictionary_encode()
-        listed = coded.dictionary.to_pylist()
-        if len(self.known) + len(listed) > self.MAX_KNOWN:
-            self._forget()
-        new = [w for w in listed if w not in self.known]
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[coded.indices.to_numpy()]
-
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by ``end_id``, and the number of ids of each text."""
-        odd = [i for i, t in enumerate(texts) if "<|" in t and self.machine.special.search(t)]
-        plain = ["" if i in set(odd) else t for i, t in enumerate(texts)] if odd else texts
-        data, starts, ends, owner, _ = self.machine.pretokens(plain)
-        entry = self._entries(data, starts, ends) if len(starts) else np.zeros(0, np.int64)
-        size = self.size[entry]
-        total = int(size.sum())
-        where = np.cumsum(size) - size
-        ids = self.pool[np.repeat(self.at[entry] - where, size) + np.arange(total)]
-        counts = np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64)
-        pieces, done = [], 0
-        if odd:                                            # texts with special strings go to the library whole
-            bounds = np.concatenate(([0], np.cumsum(counts)))
-            for i in odd:
-                got = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, np.int32)
+    def split(self, texts: list[str]) -> Split:
+        """The pre-tokens of a slice of texts; those with special strings go to the library whole."""
+        odd = {i: np.array(self.library.encode(t, add_special_tokens=False).ids, np.int32)
+               for i, t in enumerate(texts) if "<|" in t and self.machine.special.search(t)}
+        plain = ["" if i in odd else t for i, t in enumerate(texts)] if odd else texts
+        data, starts, ends, owner, _ = self.machine.pretokens(plain, pretoken_spans)
+        edges = np.zeros(2 * len(starts) + 1, np.int64)        # pre-tokens and what lies between them, in turn
+        edges[:-1:2], edges[1::2] = starts, ends
+        edges[-1] = len(data)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        words = pieces.take(pa.array(np.arange(0, len(edges) - 1, 2)))
+        return Split(words.dictionary_encode(), np.bincount(owner, minlength=len(texts)), odd)
+
+    def encode_splits(self, splits: list[Split], end_id: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each slice all ids, each text's followed by ``end_id``, and the number of ids of each text."""
+        chunks = pa.chunked_array([s.words for s in splits]).unify_dictionaries().chunks
+        words = chunks[0].dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids, ends = self._ids([w.decode("utf-8", "surrogatepass") for w in words]) if words else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        size = np.diff(ends, prepend=0)
+        return [self._joined(s, ids, ends - size, size, chunk.indices.to_numpy(), end_id)
+                for s, chunk in zip(splits, chunks, strict=True)]
+
+    @staticmethod
+    def _joined(split: Split, pool: np.ndarray, at: np.ndarray, size: np.ndarray, entry: np.ndarray, end_id: int
+                ) -> tuple[np.ndarray, np.ndarray]:
+        """A slice's ids from those of its pre-tokens."""
+        own = size[entry]
+        ends = np.cumsum(own)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = pool[np.repeat(at[entry] - (ends - own), own) + np.arange(total)]
+        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(split.per)))]
+        counts = np.diff(bounds)
+        if split.odd:
+            pieces, done = [], 0
+            for i, got in split.odd.items():
                 pieces += [ids[bounds[done]:bounds[i]], got]
                 counts[i], done = len(got), i
-            pieces.append(ids[bounds[done]:])
-            ids = np.concatenate(pieces)
+            ids = np.concatenate([*pieces, ids[bounds[done]:]])
         counts += 1
-        out = np.full(len(ids) + len(texts), end_id, np.int64)
+        out = np.full(len(ids) + len(counts), end_id, np.int32)
         keep = np.ones(len(out), bool)
         keep[np.cumsum(counts) - 1] = False
         out[keep] = ids
         return out, counts
 
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by ``end_id``, and the number of ids of each text."""
+        return self.encode_splits([self.split(texts)], end_id)[0]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TokenEncoder:
     return TokenEncoder(path)
 
 
+@dataclass
+class Tokens:
+    """What a file holds: documents in order with their ids."""
+
+    doc_ids: np.ndarray
+    null: np.ndarray
+    counts: np.ndarray
+    tokens: np.ndarray
+
+
+def pack_files(files: list[Tokens], block: int = BLOCK) -> Iterator[bytes]:
+    """The content of each file; all are coded side by side."""
+    zeros = [ZeroOrder.of(f.tokens) for f in files]
+    coded = encode_files([(f.tokens, zero) for f, zero in zip(files, zeros, strict=True)], block)
+    for f, zero, blocks in zip(files, zeros, coded, strict=True):
+        raw = f.tokens.astype("<u4")
+        sums = [zlib.crc32(raw[i:i + block].tobytes()) for i in range(0, len(raw), block)]
+        parts = [zlib.compress(f.doc_ids.astype("<i8").tobytes() + f.null.astype("u1").tobytes() + f.counts.astype("<i8").tobytes()),
+                 zlib.compress(zero.ids.astype("<u4").tobytes() + zero.freq.astype("<u4").tobytes()),
+                 zlib.compress(np.array([len(b) for b in blocks], "<u4").tobytes() + np.array(sums, "<u4").tobytes()),
+                 b"".join(blocks)]
+        head = struct.pack("<8q", len(f.doc_ids), len(raw), block, len(zero.ids), *map(len, parts))
+        yield MAGIC + head + struct.pack("<I", zlib.crc32(head)) + b"".join(parts)
+
+
 def pack_file(doc_ids: np.ndarray, null: np.ndarray, counts: np.ndarray, tokens: np.ndarray, block: int = BLOCK) -> bytes:
     """One file: documents in order with their ids."""
-    zero = ZeroOrder.of(tokens)
-    blocks = encode_blocks(tokens, block, zero)
-    raw = tokens.astype("<u4")
-    sums = [zlib.crc32(raw[i:i + block].tobytes()) for i in range(0, len(raw), block)]
-    parts = [zlib.compress(doc_ids.astype("<i8").tobytes() + null.astype("u1").tobytes() + counts.astype("<i8").tobytes()),
-             zlib.compress(zero.ids.astype("<u4").tobytes() + zero.freq.astype("<u4").tobytes()),
-             zlib.compress(np.array([len(b) for b in blocks], "<u4").tobytes() + np.array(sums, "<u4").tobytes()),
-             b"".join(blocks)]
-    head = struct.pack("<8q", len(doc_ids), len(tokens), block, len(zero.ids), *map(len, parts))
-    return MAGIC + head + struct.pack("<I", zlib.crc32(head)) + b"".join(parts)
+    return next(pack_files([Tokens(doc_ids, null, counts, tokens)], block))
 
 
-def unpack_file(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Document ids, null flags, id counts and all ids of a file; raises if any checksum fails."""
+def _parts(content: bytes) -> tuple[list[int], list[bytes]]:
+    """Documents, ids, block length and order-0 entries of a file, and its four parts."""
     head = content[8:72]
     if content[:8] != MAGIC or struct.unpack("<I", content[72:76])[0] != zlib.crc32(head):
         raise ValueError("not a token file, or its header is damaged")
-    docs, n, block, entries, *sizes = struct.unpack("<8q", head)
+    numbers = struct.unpack("<8q", head)
     parts, at = [], 76
-    for size in sizes:
+    for size in numbers[4:]:
         parts.append(content[at:at + size])
         at += size
-    index = zlib.decompress(parts[0])
-    doc_ids, null, counts = (np.frombuffer(index, "<i8", docs), np.frombuffer(index, "u1", docs, 8 * docs) > 0,
-                             np.frombuffer(index, "<i8", docs, 9 * docs))
-    table = np.frombuffer(zlib.decompress(parts[1]), "<u4")
-    lengths, sums = np.frombuffer(zlib.decompress(parts[2]), "<u4").reshape(2, -1)
-    ends = np.cumsum(lengths.astype(np.int64)).tolist()
-    blocks = [parts[3][a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-    tokens = decode_blocks(blocks, n, block, ZeroOrder(table[:entries], table[entries:]))
-    raw = tokens.astype("<u4")
-    for i, want in enumerate(sums.tolist()):
-        if zlib.crc32(raw[i * block:(i + 1) * block].tobytes()) != want:
-            raise ValueError(f"block {i} does not match its checksum")
-    return doc_ids, null, counts, tokens
+    return list(numbers[:4]), parts
+
+
+def unpack_files(contents: list[bytes]) -> Iterator[Tokens]:
+    """Documents and ids of the files, in order; raises if any checksum fails.
+
+    Files with blocks of one length are decoded side by side, up to ``LANE_IDS`` ids of them or one larger file.
+    """
+    held, n_ids, length = [], 0, None
+    for content in contents:
+        numbers, parts = _parts(content)
+        if held and (numbers[2] != length or n_ids + numbers[1] > LANE_IDS):
+            yield from _decoded(held)
+            held, n_ids = [], 0
+        held.append((numbers, parts))
+        n_ids, length = n_ids + numbers[1], numbers[2]
+    if held:
+        yield from _decoded(held)
+
+
+def _decoded(files: list[tuple[list[int], list[bytes]]]) -> Iterator[Tokens]:
+    coded, all_sums, block = [], [], files[0][0][2]
+    for (_, n, _, entries), parts in files:
+        table = np.frombuffer(zlib.decompress(parts[1]), "<u4")
+        lengths, sums = np.frombuffer(zlib.decompress(parts[2]), "<u4").reshape(2, -1)
+        ends = np.cumsum(lengths.astype(np.int64)).tolist()
+        coded.append(([parts[3][a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], n, ZeroOrder(table[:entries], table[entries:])))
+        all_sums.append(sums.tolist())
+    decoded = decode_files(coded, block)
+    del coded
+    for k, (((docs, *_), parts), sums) in enumerate(zip(files, all_sums, strict=True)):
+        tokens, decoded[k] = decoded[k], None
+        raw = tokens.astype("<u4")
+        for i, want in enumerate(sums):
+            if zlib.crc32(raw[i * block:(i + 1) * block].tobytes()) != want:
+                raise ValueError(f"block {i} does not match its checksum")
+        index = zlib.decompress(parts[0])
+        yield Tokens(np.frombuffer(index, "<i8", docs), np.frombuffer(index, "u1", docs, 8 * docs) > 0,
+                     np.frombuffer(index, "<i8", docs, 9 * docs), tokens)
+
+
+def unpack_file(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document ids, null flags, id counts and all ids of a file; raises if any checksum fails."""
+    f = next(unpack_files([content]))
+    return f.doc_ids, f.null, f.counts, f.tokens
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -198,34 +244,55 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, part, seq = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        ids: list[np.ndarray] = []
-        null: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        tokens: list[np.ndarray] = []
-        held = 0
-
-        def file() -> pa.RecordBatch:
-            content = pack_file(*(np.concatenate(x) for x in (ids, null, counts, tokens)), block)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f"{part:07d}-{seq:05d}"]), pa.array([held], pa.int64()), pa.array([content], pa.binary())],
-                names=["name", "n_tokens", "content"])
+        splits: list[tuple[pa.Array, Split]] = []
+        slices: list[Tokens] = []                                # of the file to come
+        files: list[Tokens] = []
+        text_bytes = words = held = ready = 0
+
+        def whole() -> Tokens:
+            joined = [np.concatenate(x) for x in zip(*((s.doc_ids, s.null, s.counts, s.tokens) for s in slices), strict=True)]
+            slices.clear()
+            return Tokens(*joined)
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal seq
+            sizes = [len(f.tokens) for f in files]
+            for n, content in zip(sizes, pack_files(files, block), strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{part:07d}-{seq:05d}"]), pa.array([n], pa.int64()), pa.array([content], pa.binary())],
+                    names=["name", "n_tokens", "content"])
+                seq += 1
+            files.clear()
+
+        def encoded() -> Iterator[pa.RecordBatch]:
+            nonlocal held, ready
+            coded = machine.encode_splits([x for _, x in splits], end_id)
+            for (key, _), (own, sizes) in zip(splits, coded, strict=True):
+                if held and held + len(own) > file_tokens:
+                    if files and ready + held > LANE_IDS:
+                        yield from packed()
+                        ready = 0
+                    files.append(whole())
+                    held, ready = 0, ready + held
+                slices.append(Tokens(key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False),
+                                     sizes, own))
+                held += len(own)
+            splits.clear()
 
         for batch in batches:
             key, text = batch.column(0), batch.column(1)
-            for i, j, _, _ in byte_slices(text):
-                own, sizes = machine.encode([t or "" for t in text.slice(i, j - i).to_pylist()], end_id)
-                if held and held + len(own) > file_tokens:
-                    yield file()
-                    seq, held = seq + 1, 0
-                    for x in (ids, null, counts, tokens):
-                        x.clear()
-                ids.append(key.slice(i, j - i).fill_null(0).to_numpy(zero_copy_only=False))
-                null.append(key.slice(i, j - i).is_null().to_numpy(zero_copy_only=False))
-                counts.append(sizes)
-                tokens.append(own)
-                held += len(own)
+            for i, j, data, _ in byte_slices(text):
+                split = machine.split([t or "" for t in text.slice(i, j - i).to_pylist()])
+                if splits and (text_bytes + len(data) > SPLIT_BYTES or words + len(split.words.dictionary) > machine.MAX_KNOWN):
+                    yield from encoded()
+                    text_bytes = words = 0
+                splits.append((key.slice(i, j - i), split))
+                text_bytes, words = text_bytes + len(data), words + len(split.words.dictionary)
+        if splits:
+            yield from encoded()
         if held:
-            yield file()
+            files.append(whole())
+            yield from packed()
 
     ordered = rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
     ordered.mapInArrow(released(encode), "name string, n_tokens long, content binary").write.parquet(path)
@@ -240,12 +307,12 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                doc_ids, null, counts, tokens = unpack_file(content.as_py())
-                raw, ends = tokens.astype("<u4").tobytes(), np.cumsum(counts)
-                spans = [raw[4 * a:4 * b] for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
-                columns = [pa.array([name] * len(doc_ids)), pa.array(doc_ids, mask=null), pa.array(ends - counts),
-                           pa.array(counts), pa.array([zlib.crc32(s) for s in spans], pa.int64())]
+            unpacked = unpack_files([c.as_py() for c in batch.column(1)])
+            for name, f in zip(batch.column(0).to_pylist(), unpacked, strict=True):
+                raw, ends = f.tokens.astype("<u4").tobytes(), np.cumsum(f.counts)
+                spans = [raw[4 * a:4 * b] for a, b in zip((ends - f.counts).tolist(), ends.tolist(), strict=True)]
+                columns = [pa.array([name] * len(ends)), pa.array(f.doc_ids, mask=f.null), pa.array(ends - f.counts),
+                           pa.array(f.counts), pa.array([zlib.crc32(s) for s in spans], pa.int64())]
                 names = ["name", "doc_id", "offset", "n_tokens", "ids_crc32"]
                 if with_ids:
                     columns.append(pa.array(spans, pa.binary()))

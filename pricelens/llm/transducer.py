@@ -155,6 +155,30 @@ def pretoken_starts(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
+_KIND = np.array([0, 1, 2, 2, *[3] * len(_LETTERS)], np.uint8)      # white space, digit, other sign, letter
+
+
+def pretoken_spans(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``pretoken_starts`` returns, by comparing neighbours: pre-tokens are runs but for contractions.
+
+    A quote that begins a run of signs may begin a contraction, which only the next two characters decide.
+    """
+    n, kind = len(cls), _KIND[cls]
+    stop = np.ones(n, bool)                                       # a run begins, or it is white space or a digit
+    np.not_equal(kind[1:], kind[:-1], out=stop[1:])
+    stop |= kind < 2
+    quote = np.flatnonzero(cls == QUOTE)
+    quote = quote[(quote == 0) | (kind[quote - 1] != 2)]
+    one, two = cls[quote + 1], cls[np.minimum(quote + 2, n - 1)]
+    short = one == L_END
+    long = (((one == L_R) | (one == L_V)) & (two == L_E)) | ((one == L_L) & (two == L_L))
+    stop[quote[short | long] + 1] = False
+    stop[np.concatenate([quote[short] + 2, quote[long] + 3])] = True        # whatever follows, white space too
+    stops = np.flatnonzero(stop)
+    first = np.flatnonzero(kind[stops])
+    return stops[first], stops[first + 1]
+
+
 class TokenCounter:
     """Compiled tokenizer: counts the tokens of whole texts exactly as the library does."""
 
@@ -341,7 +365,7 @@ class TokenCounter:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower(), found
 
-    def pretokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def pretokens(self, texts: list[str], split=pretoken_starts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes of the normalised texts; start, end and text of every pre-token; special strings per text."""
         clean, special, sizes = [], np.zeros(len(texts), np.int64), np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
@@ -352,15 +376,15 @@ class TokenCounter:
         first = np.cumsum(sizes)
         if joined.isascii():
             data = np.frombuffer(joined.encode("ascii"), np.uint8)
-            starts, ends = pretoken_starts(char_classes()[:128][data])
-            owner = np.searchsorted(first, starts, "right") - 1
+            starts, ends = split(char_classes()[:128][data])
+        else:
+            points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+            data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
+            starts, ends = split(char_classes()[points])
+        owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, first)))
+        if joined.isascii():
             return data, starts, ends, owner, special
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
-        starts, ends = pretoken_starts(char_classes()[points])
-        owner = np.searchsorted(first, starts, "right") - 1
-        at = np.zeros(len(points) + 1, np.int64)
-        np.cumsum(1 + (points >= 0x80) + (points >= 0x800).astype(np.int64) + (points >= 0x10000), out=at[1:])
+        at = np.flatnonzero((data & 0xC0) != 0x80)                # first byte of every character
         return data, at[starts], at[ends], owner, special
 
     def count(self, texts: list[str]) -> np.ndarray:
