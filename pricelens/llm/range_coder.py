@@ -16,7 +16,7 @@ MIX_BITS, ZERO_BITS, SLOT_BITS = 12, 18, 10
 _PAIR_BITS = ZERO_BITS + 1
 MIX, ZERO, SLOTS = 1 << MIX_BITS, 1 << ZERO_BITS, 1 << SLOT_BITS
 MAX_IDS = 1 << 17
-CHUNK = 64               # steps whose slots an encoder works out at once
+STRIDE = SLOTS + 16      # places of a lane's entries: one slot of all lanes is not in a few sets of the cache
 _U = np.uint64
 _LOW32, _W32 = _U(0xFFFFFFFF), _U(32)
 _MIX_SHIFT, _ZERO_SHIFT = _U(MIX_BITS), _U(ZERO_BITS)
@@ -68,7 +68,7 @@ class _Lanes:
     def __init__(self, sizes: np.ndarray, zeros: list[ZeroOrder], owner: np.ndarray):
         lanes = len(sizes)
         self.sizes = sizes
-        self.table = np.full(2 * lanes << SLOT_BITS, -4, np.int32)         # id * 4 + confidence; -4: none
+        self.table = np.full(2 * lanes * STRIDE, -4, np.int32)         # id * 4 + confidence; -4: none
         self.weights = np.full(lanes << 5, (MIX // 4) * 0x10001, np.int32)  # order 2 | order 1 << 16
         # the files' order-0 intervals one after the other, then "not by order 0": the whole scale
         bases = np.cumsum([0, *(len(z.spans) for z in zeros)])
@@ -79,7 +79,7 @@ class _Lanes:
         self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
         lane = np.arange(lanes)
         self.rows = lane << 5
-        self.places = np.stack([lane, lane + lanes]) << SLOT_BITS
+        self.places = np.stack([lane, lane + lanes]) * STRIDE
         self._shape(lanes)
 
     def _shape(self, n: int) -> None:
@@ -89,11 +89,15 @@ class _Lanes:
         self.places, self.low, self.span = np.ascontiguousarray(self.places[:, :n]), self.low[:n], self.span[:n]
         self.slot, self.ctx, self.own = np.empty((2, n), np.int64), np.empty(n, np.int64), np.empty(n, np.int64)
         self.hashes = np.empty((2, n), np.uint32)
-        self.entry, self.cand, self.sure, self.state, self.change = (np.empty((2, n), np.int32) for _ in range(5))
-        self.fresh, self.p1, self.p2, self.a, self.b = (np.empty(n, np.int32) for _ in range(5))
-        self.hit, self.wrong = np.empty((2, n), bool), np.empty((2, n), bool)
+        self.cand, self.sure, self.state, self.change, self.p, self.moved = (np.empty((2, n), np.int32) for _ in range(6))
+        self.fresh, self.a, self.b = (np.empty(n, np.int32) for _ in range(3))
+        self.hit, self.kept = np.empty((2, n), bool), np.empty((2, n), bool)
         self.either, self.flag = np.empty(n, bool), np.empty(n, bool)
-        self.unit, self.x2, self.x1, self.wide, self.base, self.zero = (np.empty(n, np.uint64) for _ in range(6))
+        self.unit, self.wide, self.base, self.zero = (np.empty(n, np.uint64) for _ in range(4))
+        # bounds of the parts of the span: order 2, order 1, order 0
+        self.edges = np.zeros((4, n), np.uint64)
+        self.x2, self.x1, self.flat = self.edges[1], self.edges[2], self.edges.ravel()
+        self.part, self.at, self.third = np.empty(n, np.int8), np.empty(n, np.int64), 2 * n + np.arange(n)
 
     def slots(self, before: np.ndarray) -> np.ndarray:
         """Places of both predictors' entries after the ids ``before``."""
@@ -107,8 +111,7 @@ class _Lanes:
 
     def predict(self, slot: np.ndarray) -> None:
         """Candidates (``cand``), and the bounds in the coder's span below which they lie (``x2``, ``x1``)."""
-        n = self.n
-        np.take(self.table, slot, out=self.entry, mode="clip")
+        self.entry = self.table[slot]
         np.bitwise_and(self.entry, 3, out=self.sure)
         np.right_shift(self.entry, 2, out=self.cand)
         a, b = self.a, self.b
@@ -118,8 +121,8 @@ class _Lanes:
         np.equal(self.cand[0], self.cand[1], out=self.flag)
         np.add(a, self.flag, out=a)
         np.add(self.rows, a, out=self.ctx)
-        np.take(self.weights, self.ctx, out=b, mode="clip")
-        p2, p1 = self.p2, self.p1
+        self.weights.take(self.ctx, out=b, mode="clip")
+        p2, p1 = self.p
         np.bitwise_and(b, 0xFFFF, out=p2)
         np.right_shift(b, 16, out=p1)
         np.subtract(MIX, p2, out=a)
@@ -133,23 +136,21 @@ class _Lanes:
 
     def narrow(self, by2: np.ndarray, by1: np.ndarray) -> None:
         """``base``, ``unit``: start in the span and unit of order 0's scale; ``by1`` includes ``by2``."""
-        base, wide = self.base, self.wide
-        # order 0 unless one of the candidates is right
-        np.left_shift(self.unit, _MIX_SHIFT, out=wide)
-        np.subtract(wide, self.x1, out=wide)
-        np.copyto(base, self.x1)
-        np.subtract(self.x1, self.x2, out=self.zero)
-        np.copyto(wide, self.zero, where=by1)
-        np.copyto(base, self.x2, where=by1)
-        np.copyto(wide, self.x2, where=by2)
-        np.copyto(base, _U(0), where=by2)
-        np.right_shift(wide, _ZERO_SHIFT, out=self.unit)
+        np.left_shift(self.unit, _MIX_SHIFT, out=self.edges[3])
+        np.add(by1.view(np.int8), by2.view(np.int8), out=self.part)
+        np.multiply(self.part, np.int64(-self.n), out=self.at)
+        np.add(self.at, self.third, out=self.at)
+        self.flat.take(self.at, out=self.base, mode="clip")
+        np.add(self.at, self.n, out=self.at)
+        self.flat.take(self.at, out=self.wide, mode="clip")
+        np.subtract(self.wide, self.base, out=self.wide)
+        np.right_shift(self.wide, _ZERO_SHIFT, out=self.unit)
 
     def take(self, ids: np.ndarray, by1: np.ndarray) -> np.ndarray:
         """The span becomes the ids' part; how far its start moved beyond ``base``."""
         np.add(self.first, ids, out=self.own)
         np.copyto(self.own, self.whole, where=by1)
-        np.take(self.spans, self.own, out=self.zero, mode="clip")
+        self.spans.take(self.own, out=self.zero, mode="clip")
         np.bitwise_and(self.zero, _U((1 << _PAIR_BITS) - 1), out=self.wide)
         np.multiply(self.unit, self.wide, out=self.span)
         np.right_shift(self.zero, _U(_PAIR_BITS), out=self.zero)
@@ -158,39 +159,38 @@ class _Lanes:
     def short(self) -> tuple[np.ndarray, np.ndarray]:
         """Lanes whose span has less than a word left, with their lows; both move on by a word."""
         np.less_equal(self.span, _LOW32, out=self.flag)
-        k = np.flatnonzero(self.flag)
+        k = self.flag.nonzero()[0]
         low = self.low[k]
         if len(k):
             span = self.span[k]
-            span = np.where((low ^ (low + span - _U(1))) > _LOW32, (_LOW32 - (low & _LOW32)) + _U(1), span)
+            across = ((low ^ (low + span - _U(1))) > _LOW32).nonzero()[0]
+            if len(across):
+                span[across] = (_LOW32 - (low[across] & _LOW32)) + _U(1)
             self.low[k], self.span[k] = low << _W32, span << _W32
         return k, low
 
     def learn(self, ids: np.ndarray, slot: np.ndarray) -> None:
         """``ids`` came; ``hit`` says whether each candidate was right."""
-        a, b, p2, p1, hit2 = self.a, self.b, self.p2, self.p1, self.hit[0]
+        moved, p, b = self.moved, self.p, self.b
         # weights move down after a miss and up after a hit; that of order 1 only after a miss of order 2
-        for p, hit, moved in ((p2, hit2, a), (p1, self.hit[1], b)):
-            np.multiply(hit, np.int32(MIX - 64), out=moved)
-            np.add(moved, 32, out=moved)
-            np.subtract(moved, p, out=moved)
-            np.right_shift(moved, 4, out=moved)
-        np.logical_not(hit2, out=self.flag)
-        np.multiply(b, self.flag, out=b)
-        np.add(p2, a, out=p2)
-        np.add(p1, b, out=p1)
-        np.left_shift(p1, 16, out=p1)
-        np.add(p2, p1, out=p2)
-        self.weights[self.ctx] = p2
+        np.multiply(self.hit, np.int32(MIX - 64), out=moved)
+        np.add(moved, 32, out=moved)
+        np.subtract(moved, p, out=moved)
+        np.right_shift(moved, 4, out=moved)
+        np.logical_not(self.hit[0], out=self.flag)
+        np.multiply(moved[1], self.flag, out=moved[1])
+        np.add(p, moved, out=p)
+        np.left_shift(p[1], 16, out=b)
+        np.add(p[0], b, out=b)
+        self.weights[self.ctx] = b
         state, entry = self.state, self.entry
         np.left_shift(self.sure, 1, out=state)
         np.add(state, self.hit, out=state)
-        np.take(_CHANGE, state, out=self.change, mode="clip")
+        _CHANGE.take(state, out=self.change, mode="clip")
         np.add(entry, self.change, out=entry)
-        np.equal(state, 0, out=self.wrong)
+        np.not_equal(state, 0, out=self.kept)
         np.left_shift(ids, 2, out=self.fresh)
-        np.copyto(entry, self.fresh, where=self.wrong)
-        self.table[slot] = entry
+        self.table[slot] = np.where(self.kept, entry, self.fresh)
 
 
 def _dealt(counts: list[int], block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,7 +212,7 @@ def encode_files(files: list[tuple[np.ndarray, ZeroOrder]], block: int) -> list[
     if not lanes:
         return [[] for _ in files]
     longest = int(sizes[0])
-    grid = np.zeros((lanes, longest), np.int32)
+    grid = np.zeros((lanes, longest + 16), np.int32)
     rank = np.empty(lanes, np.int64)
     rank[order] = np.arange(lanes)
     at = 0
@@ -221,9 +221,9 @@ def encode_files(files: list[tuple[np.ndarray, ZeroOrder]], block: int) -> list[
             own = tokens[a:a + block]
             grid[rank[at], :len(own)] = own
             at += 1
-    grid = np.ascontiguousarray(grid.T)
+    grid = np.ascontiguousarray(grid[:, :longest].T)
     model = _Lanes(sizes, [zero for _, zero in files], owner)
-    width = longest + 3
+    width = longest + 19
     words = np.zeros(lanes * width, np.uint32)
     used = np.arange(lanes) * width
     ends = np.searchsorted(-sizes, -np.arange(longest), "left")     # lanes with more than t ids
@@ -303,7 +303,7 @@ def decode_files(files: list[tuple[list[bytes], int, ZeroOrder]], block: int) ->
         np.minimum(quotient, _U(ZERO - 1), out=quotient)
         np.add(scale, quotient.view(np.int64), out=place)
         ids = out[t, :n]
-        np.take(lookup, place, out=ids, mode="clip")
+        lookup.take(place, out=ids, mode="clip")
         np.copyto(ids, model.cand[1], where=by1)
         np.copyto(ids, model.cand[0], where=by2)
         moved = model.take(ids, by1)
@@ -316,6 +316,7 @@ def decode_files(files: list[tuple[list[bytes], int, ZeroOrder]], block: int) ->
         np.equal(model.cand, ids, out=model.hit)
         model.learn(ids, slot)
         before = ids.view(np.uint32)
+    del model, words, lookup
     back: list[np.ndarray] = []
     rank = np.empty(lanes, np.int64)
     rank[order] = np.arange(lanes)

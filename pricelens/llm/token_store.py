@@ -36,8 +36,9 @@ MAGIC = b"PLTOKEN1"
 BLOCK = 4096
 FILE_TOKENS = 1 << 21
 PARTITION_BYTES = 32 << 20
+SLICE_BYTES = 1 << 19    # of texts that are split at once; the arrays for more leave the processor's cache
 SPLIT_BYTES = 32 << 20   # of texts whose distinct pre-tokens are encoded together
-LANE_IDS = 1 << 23       # ids of the files that are coded side by side
+LANE_IDS = 8 << 20      # ids of the files that are coded side by side
 END_ID = 2
 
 
@@ -57,7 +58,8 @@ class TokenEncoder:
     tokenizer without its normaliser: normalising twice may reorder combining marks.
     """
 
-    MAX_KNOWN = 1 << 20      # distinct pre-tokens, counted in each slice, that are held for one call
+    MAX_HELD = 1 << 20       # distinct pre-tokens, counted in each slice, that are held for one call
+    MAX_KNOWN = 1 << 18      # that are kept between calls, those met last
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -73,6 +75,10 @@ class TokenEncoder:
         vocab = self.library.get_vocab()
         self.final = np.zeros(max(vocab.values()) + 1, bool)
         self.final[[k for word, k in vocab.items() if word.endswith("</w>")]] = True
+        # known pre-tokens, how many ids each has, all their ids, and the call that met each last
+        self.known = pa.array([], pa.large_binary())
+        self.size, self.pool, self.met = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.calls = 0
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pre-tokens in order, and where each one's end; its last id is the one that ends a word."""
@@ -100,12 +106,33 @@ class TokenEncoder:
 
     def encode_splits(self, splits: list[Split], end_id: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each slice all ids, each text's followed by ``end_id``, and the number of ids of each text."""
-        chunks = pa.chunked_array([s.words for s in splits]).unify_dictionaries().chunks
-        words = chunks[0].dictionary.to_numpy(zero_copy_only=False).tolist()
-        ids, ends = self._ids([w.decode("utf-8", "surrogatepass") for w in words]) if words else (np.zeros(0, np.int32), np.zeros(0, np.int64))
-        size = np.diff(ends, prepend=0)
-        return [self._joined(s, ids, ends - size, size, chunk.indices.to_numpy(), end_id)
-                for s, chunk in zip(splits, chunks, strict=True)]
+        # the unified dictionary begins with that of the first chunk, which is the known pre-tokens
+        known = pa.DictionaryArray.from_arrays(pa.array([], pa.int32()), self.known)
+        chunks = pa.chunked_array([known, *(s.words for s in splits)]).unify_dictionaries().chunks[1:]
+        words = chunks[0].dictionary
+        new = words.slice(len(self.known)).to_numpy(zero_copy_only=False).tolist()
+        if new:
+            ids, ends = self._ids([w.decode("utf-8", "surrogatepass") for w in new])
+            self.size = np.concatenate([self.size, np.diff(ends, prepend=0)])
+            self.pool = np.concatenate([self.pool, ids])
+        at = np.cumsum(self.size) - self.size
+        entries = [chunk.indices.to_numpy() for chunk in chunks]
+        out = [self._joined(s, self.pool, at, self.size, entry, end_id) for s, entry in zip(splits, entries, strict=True)]
+        self._keep(words, at, entries)
+        return out
+
+    def _keep(self, words: pa.Array, at: np.ndarray, entries: list[np.ndarray]) -> None:
+        """``words`` are known from now on, or those met last where they are too many."""
+        self.calls += 1
+        self.met = np.concatenate([self.met, np.zeros(len(words) - len(self.met), np.int64)])
+        for entry in entries:
+            self.met[entry] = self.calls
+        self.known = words
+        if len(words) > self.MAX_KNOWN:
+            kept = np.sort(np.argsort(-self.met, kind="stable")[:self.MAX_KNOWN])
+            own = self.size[kept]
+            self.pool = self.pool[np.repeat(at[kept] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
+            self.known, self.size, self.met = words.take(pa.array(kept)), own, self.met[kept]
 
     @staticmethod
     def _joined(split: Split, pool: np.ndarray, at: np.ndarray, size: np.ndarray, entry: np.ndarray, end_id: int
@@ -206,7 +233,7 @@ def _decoded(files: list[tuple[list[int], list[bytes]]]) -> Iterator[Tokens]:
         table = np.frombuffer(zlib.decompress(parts[1]), "<u4")
         lengths, sums = np.frombuffer(zlib.decompress(parts[2]), "<u4").reshape(2, -1)
         ends = np.cumsum(lengths.astype(np.int64)).tolist()
-        coded.append(([parts[3][a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], n, ZeroOrder(table[:entries], table[entries:])))
+        coded.append(([parts[3][a:b] for a, b in zip([0, *ends][:-1], ends, strict=True)], n, ZeroOrder(table[:entries], table[entries:])))
         all_sums.append(sums.tolist())
     decoded = decode_files(coded, block)
     del coded
@@ -266,8 +293,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
 
         def encoded() -> Iterator[pa.RecordBatch]:
             nonlocal held, ready
-            coded = machine.encode_splits([x for _, x in splits], end_id)
-            for (key, _), (own, sizes) in zip(splits, coded, strict=True):
+            coded = machine.encode_splits([x for _, x in splits], end_id)[::-1]
+            for key, _ in splits:
+                own, sizes = coded.pop()
                 if held and held + len(own) > file_tokens:
                     if files and ready + held > LANE_IDS:
                         yield from packed()
@@ -281,9 +309,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
 
         for batch in batches:
             key, text = batch.column(0), batch.column(1)
-            for i, j, data, _ in byte_slices(text):
+            for i, j, data, _ in byte_slices(text, SLICE_BYTES):
                 split = machine.split([t or "" for t in text.slice(i, j - i).to_pylist()])
-                if splits and (text_bytes + len(data) > SPLIT_BYTES or words + len(split.words.dictionary) > machine.MAX_KNOWN):
+                if splits and (text_bytes + len(data) > SPLIT_BYTES or words + len(split.words.dictionary) > machine.MAX_HELD):
                     yield from encoded()
                     text_bytes = words = 0
                 splits.append((key.slice(i, j - i), split))

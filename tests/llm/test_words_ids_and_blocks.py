@@ -8,7 +8,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from pricelens.llm import arrays, decontaminate, scratch, shingle_join, textbatch, token_store, unicode_classes
+from pricelens.llm import (
+    arrays, decontaminate, range_coder, scratch, shingle_join, textbatch, token_store, transducer, unicode_classes)
 from pricelens.llm.shipping import prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -119,3 +120,41 @@ def test_scores_do_not_depend_on_item_blocks(spark, block_bytes):
 
 def test_released_passes_batches_on():
     assert list(arrays.released(lambda xs: (x + 1 for x in xs))(iter([1, 2]))) == [2, 3]
+
+
+def test_spans_of_neighbours_are_those_of_the_machine():
+    rng = np.random.default_rng(5)
+    for n in [1, 2, 3, *rng.integers(4, 60, 2000).tolist()]:
+        cls = rng.choice([0, 1, 2, 3, 3, 3, 4, 5, 6, 7, 8, 9], n).astype(np.uint8)
+        cls[-1] = transducer.SPACE
+        for own, want in zip(transducer.pretoken_spans(cls), transducer.pretoken_starts(cls), strict=True):
+            assert np.array_equal(own, want)
+
+
+def test_slices_encoded_together_have_the_library_ids():
+    machine = token_store.TokenEncoder(TOKENIZER)
+    machine.MAX_KNOWN = 50                                     # drops the pre-tokens met longest ago
+    rng = random.Random(8)
+    for _ in range(4):
+        texts = [odd_texts(40), [], [""], ["<|endoftext|>", "it's we'll 're", "<|endoftext|> x"],
+                 [" ".join(rng.choices(["ab", "cd", "ef", "12", "été"], k=30))]]
+        coded = machine.encode_splits([machine.split(t) for t in texts], 2)
+        for own, (ids, counts) in zip(texts, coded, strict=True):
+            want = [machine.library.encode(t, add_special_tokens=False).ids + [2] for t in own]
+            assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+        assert len(machine.known) == len(machine.size) == len(machine.met) <= 50 and machine.size.sum() == len(machine.pool)
+
+
+def test_files_coded_side_by_side_equal_files_coded_alone():
+    rng = np.random.default_rng(3)
+    tokens = [rng.zipf(1.3, n).clip(0, top) for n, top in ((700, 50), (0, 5), (64, 3), (1, 9), (333, 40_000))]
+    files = [(x, range_coder.ZeroOrder.of(x)) for x in tokens]
+    coded = range_coder.encode_files(files, 64)
+    assert coded == [range_coder.encode_blocks(x, 64, z) for x, z in files]
+    for got, want in zip(range_coder.decode_files([(b, len(x), z) for b, (x, z) in zip(coded, files, strict=True)], 64), tokens, strict=True):
+        assert np.array_equal(got, want)
+    kept = [token_store.Tokens(np.arange(1), np.zeros(1, bool), np.array([len(x)]), x) for x in tokens]
+    contents = [*token_store.pack_files(kept, 64), *token_store.pack_files(kept[:1], 128)]
+    got = list(token_store.unpack_files(contents))
+    assert [x.tokens.tolist() for x in got] == [x.tolist() for x in [*tokens, tokens[0]]]
+    assert contents[0] == token_store.pack_file(np.arange(1), np.zeros(1, bool), np.array([700]), tokens[0], 64)
