@@ -9,7 +9,7 @@ the same.
 
 Words are cut into buckets by hash; all of a dish's state lies in one.  A flush of texts sends each
 bucket its distinct pairs of words with their counts, so a frequent pair is one entry of a flush, and
-keeps for every occurrence the number of its pair.  After a sweep every bucket sends the tables of its
+keeps for every occurrence the number of its word, from which the pairs are numbered again.  After a sweep every bucket sends the tables of its
 previous words to the bucket of their hash, which adds them up and answers with the totals: what is
 exchanged grows with the previous words, and the driver sees only sums over all of them.
 """
@@ -92,6 +92,31 @@ def distinct_pairs(words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray,
     return w[new], ctx[new], pair
 
 
+def numbered_words(words: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The occurrences' words by number, frequent ones first; each number's place by hash; the place of ``START``.
+
+    ``words`` has the word of each distinct pair in order.  The numbers pack better than those of the pairs.
+    """
+    new = np.ones(len(words), bool)
+    new[1:] = words[1:] != words[:-1]
+    place = (np.cumsum(new) - 1)[pair]
+    by_count = np.argsort(-np.bincount(place, minlength=int(new.sum())), kind="stable")
+    number = np.empty(len(by_count), np.uint32)
+    number[by_count] = np.arange(len(by_count))
+    own = words[new]
+    start = int(np.searchsorted(own, START))
+    return number[place], by_count.astype(np.uint32), np.array([2 * start + int(start < len(own) and own[start] == START)])
+
+
+def numbered_pairs(number: np.ndarray, by_count: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The pair of each occurrence, as ``distinct_pairs`` numbers them, from ``numbered_words`` of texts of ``n`` tokens."""
+    place = by_count[number].astype(np.int64)
+    before = np.empty_like(place)
+    before[1:] = 2 * place[:-1] + 1
+    before[np.cumsum(n) - n] = start
+    return np.unique(place * (2 * len(by_count) + 2) + before, return_inverse=True)[1]
+
+
 def steps_of(values: np.ndarray) -> np.ndarray:
     """Differences that ``np.cumsum`` undoes; those of sorted values pack well."""
     out = values.copy()
@@ -102,7 +127,7 @@ def steps_of(values: np.ndarray) -> np.ndarray:
 def occurrences(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows ``part, flush, payload``: a flush's distinct pairs by bucket (``part`` below ``buckets``), and its texts.
 
-    The texts' rows hold ids, training flags, token counts and the pair of every occurrence.
+    The texts' rows hold ids, training flags, token counts and the word of every occurrence.
     """
 
     def emit(part: list[int], flush: str, payload: list[bytes]) -> pa.RecordBatch:
@@ -123,13 +148,14 @@ def occurrences(docs: DataFrame, buckets: int) -> DataFrame:
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 at = slice(edges[b], edges[b + 1])
                 own, per = np.unique(w[at], return_counts=True)
+                before, place = np.unique(ctx[at], return_inverse=True)
                 rows.append(b)
-                blobs.append(pack(steps_of(own), per.astype(np.uint32), steps_of(ctx[at]), count[at]))
+                blobs.append(pack(steps_of(own), per.astype(np.uint32), steps_of(before), place.astype(np.uint32), count[at]))
             here = f"{name}-{seq}"
             rows.append(buckets + zlib.crc32(here.encode()) % buckets)
             blobs.append(pack(
                 key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
-                learns.astype(np.uint8), n.astype(np.int64), pair))
+                learns.astype(np.uint8), n.astype(np.int64), *numbered_words(w, pair)))
             for x in (ids, train, sizes, words, contexts):
                 x.clear()
             return emit(rows, here, blobs)
@@ -187,11 +213,11 @@ def bucket_tables(rows: DataFrame, buckets: int) -> DataFrame:
             pieces = [unpack(p) for p in blobs]
             pieces = [pieces[i] for i in order]
             names = "\n".join(flushes[i] for i in order).encode()
-            sizes = np.array([len(p[2]) for p in pieces], np.int64)
-            n = np.concatenate([p[3] for p in pieces])
+            sizes = np.array([len(p[3]) for p in pieces], np.int64)
+            n = np.concatenate([p[4] for p in pieces])
             w, ctx, use = distinct_pairs(
                 np.concatenate([np.repeat(np.cumsum(p[0], dtype=np.uint64), p[1]) for p in pieces]),
-                np.concatenate([np.cumsum(p[2], dtype=np.uint64) for p in pieces]))
+                np.concatenate([np.cumsum(p[2], dtype=np.uint64)[p[3]] for p in pieces]))
             del pieces
             count = np.bincount(use, weights=n, minlength=len(w)).astype(np.int64)
             per = np.unique(w, return_counts=True)[1]
@@ -453,7 +479,8 @@ def score(spark: SparkSession, fitted: Fitted) -> DataFrame:
             # the texts first, then the flush's pairs in order
             rows = sorted((r for b in held for r in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)),
                           key=lambda r: r[0])
-            ids, null, learns, n, pair = unpack(rows[0][1])
+            ids, null, learns, n, *numbers = unpack(rows[0][1])
+            pair = numbered_pairs(*numbers, n)
             pieces = [unpack(x) for _, x in rows[1:]]
             p, c = (np.concatenate([x[k] for x in pieces]) for k in range(2))
             base = np.log10((c + 0.5) / floor)

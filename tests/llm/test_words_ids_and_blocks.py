@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 
 from pricelens.llm import (
-    arrays, decontaminate, range_coder, scratch, shingle_join, textbatch, token_store, transducer, unicode_classes)
+    arrays, decontaminate, pitman_yor, range_coder, scratch, shingle_join, textbatch, token_store, transducer, unicode_classes)
 from pricelens.llm.shipping import prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -158,3 +158,26 @@ def test_files_coded_side_by_side_equal_files_coded_alone():
     got = list(token_store.unpack_files(contents))
     assert [x.tokens.tolist() for x in got] == [x.tolist() for x in [*tokens, tokens[0]]]
     assert contents[0] == token_store.pack_file(np.arange(1), np.zeros(1, bool), np.array([700]), tokens[0], 64)
+
+
+def test_word_numbers_give_the_pairs_and_pack_better():
+    rng = np.random.default_rng(4)
+    hashes = np.append(rng.integers(0, 1 << 63, 3000).astype(np.uint64), pitman_yor.END)
+    n = rng.integers(1, 60, 2000)
+    words = hashes[rng.zipf(1.2, n.sum()).clip(0, 2999)]
+    words[np.cumsum(n) - 1] = pitman_yor.END
+    before = np.concatenate([words[:1], words[:-1]])
+    before[np.cumsum(n) - n] = pitman_yor.START
+    w, _, pair = pitman_yor.distinct_pairs(words, before)
+    numbers = pitman_yor.numbered_words(w, pair)
+    assert np.array_equal(pitman_yor.numbered_pairs(*numbers, n), pair)
+    assert len(arrays.pack(*numbers)) < len(arrays.pack(pair))
+
+
+def test_flushes_send_each_bucket_a_context_once(spark):
+    prepare(spark)
+    text = " ".join(f"{'the' if k % 2 else 'w' + str(k % 997)}" for k in range(20_000))
+    docs = spark.createDataFrame([(1, True, text + " " + " ".join(f"w{k % 997} z{k}" for k in range(20_000)))], "id long, train boolean, text string")
+    blobs = [pitman_yor.unpack(r.payload) for r in pitman_yor.occurrences(docs, 2).collect() if r.part < 2]
+    for own, per, before, place, count in blobs:
+        assert per.sum() == len(place) == len(count) and len(np.unique(np.cumsum(before, dtype=np.uint64))) == len(before) < len(place)
