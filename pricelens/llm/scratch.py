@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,3 +30,9 @@ def discard(*tables: DataFrame) -> None:
         for file in df.inputFiles()[:1]:
             path = spark._jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Files of shuffles that no plan holds any more go now, not when the driver's heap is next collected."""
+    gc.collect()
+    spark._jvm.System.gc()

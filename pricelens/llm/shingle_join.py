@@ -9,10 +9,11 @@ The trees stand on the executors.  What brings documents together is exact too:
 * documents with the same set form one class, and one of them stands for it;
 * a link needs an overlap of three quarters of either set, so a class with fewer shingles that occur in
   any other class has no link (one shuffle of 32-bit shingle keys by bucket);
-* two linked classes share one of their rarest shingles, those left when three quarters of a set are taken
-  away; classes joined by such shingles form a block, and a tree is built in each block;
+* two linked classes share a number of their rarest shingles, those left when three quarters of a set are
+  taken away and a sixteenth more (``least_shared``); classes joined by so many form a block, and a tree is
+  built in each block;
 * a block of more than ``TILE`` classes is cut into tiles; tiles meet through pivots first, and then every
-  class that is still apart from the block's largest group meets all tiles.
+  class that is still apart from the block's largest group meets all tiles, some at a time.
 
 The result needs components, so a pair already known to be connected is not verified again.  Shingles
 are compared by 64-bit hashes.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.arrays import array_sum, by_key, grouped, pack, released, sliced, unpack
 from pricelens.llm.components import components
-from pricelens.llm.scratch import discard, written
+from pricelens.llm.scratch import discard, release_shuffles, written
 from pricelens.llm.skew import spread_join
 from pricelens.llm.textbatch import byte_slices, shingle_sets, text_words
 
@@ -38,6 +39,8 @@ BUCKET_SHINGLES = 1 << 20
 FLUSH_SHINGLES = 1 << 20
 SKETCH_BITS = 20
 TILE, PIVOTS, LEAF = 1024, 8, 16
+PAIRED, SPARE = 32, 16
+PASS_SETS = 20_000
 _U = np.uint64
 
 
@@ -204,69 +207,185 @@ def shingle_sketch(sets: DataFrame) -> np.ndarray:
     return total if len(total) else np.zeros(1 << SKETCH_BITS, np.float32)
 
 
-def block_edges(sets: DataFrame, rank: np.ndarray, buckets: int) -> DataFrame:
-    """Edges ``a, b`` that connect all classes sharing one of their rarest shingles.
+def rare(n):
+    """How many of its rarest shingles a class of ``n`` meets others by.
 
-    Rarity is any fixed order of shingles; here by the sketch, then by hash.  In each task and in each
-    bucket a shingle's classes are tied to the least of them, so a shingle that very many classes share
-    travels once per task.
+    Of two linked classes one has its ``rare`` first; what they share beyond lies in its other shingles, so
+    they share ``least_shared`` of the rare ones of both, more than a sixteenth of either set.
     """
-    order = sets.sparkSession.sparkContext.broadcast(rank)
+    return n - (3 * n + 3) // 4 + 1 + n // SPARE
+
+
+def least_shared(a, b):
+    """Least number of rare shingles that linked classes of ``a`` and ``b`` shingles have in common."""
+    return needed(a, b) - np.maximum(a - rare(a), b - rare(b))
 
-    def tie(keys: np.ndarray, reps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys with their least class, and the edges from the other classes to it."""
-        by = np.lexsort((reps, keys))
-        keys, reps = keys[by], reps[by]
-        first = np.concatenate(([True], keys[1:] != keys[:-1]))
-        start = np.flatnonzero(first)
-        least = np.repeat(reps[start], np.diff(np.append(start, len(keys))))
-        edges = np.unique(np.stack([least, reps], axis=1)[reps != least], axis=0)
-        return keys[start], reps[start], edges[:, 0], edges[:, 1]
 
-    def rows(part: list[int], payload: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(payload, pa.binary())], names=["part", "payload"])
+def block_edges(sets: DataFrame, rank: np.ndarray, buckets: int) -> DataFrame:
+    """Edges ``a, b`` that connect all linked classes, between those that share enough of their rarest shingles.
+
+    Rarity is any fixed order of shingles; here by the sketch, then by hash.  A shingle of up to ``PAIRED``
+    classes gives their pairs, whose common shingles are counted: a few by chance make no edge, so that a
+    block does not grow with the rows of the table.  A shingle of more classes is hot.  A pair may have as
+    many hot ones in common as either class has; a class with no more than ``n // SPARE`` needs another one
+    for every link, and classes with more are tied to the least of those that share a hot one.  In each task
+    a hot shingle's further classes are dealt out by class, not by shingle.
+    """
+    order = sets.sparkSession.sparkContext.broadcast(rank)
+
+    def part_of(reps: np.ndarray) -> np.ndarray:
+        return (((reps.view(_U) * _U(0x9E3779B97F4A7C15)) >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+
+    def dealt(part: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        by = np.argsort(part, kind="stable")
+        part, arrays = part[by], [a[by] for a in arrays]
+        cut = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part))
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            yield int(part[lo]), pack(*(a[lo:hi] for a in arrays))
+
+    def rows(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.binary())],
+                                          names=["part", "payload"])
+
+    def runs(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """The distinct rows of ``columns`` in ascending order, and where each value of the first begins."""
+        by = np.lexsort(columns[::-1])
+        columns = [c[by] for c in columns]
+        new = np.zeros(len(by), bool)
+        new[:1] = True
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        columns = [c[new] for c in columns]
+        first = columns[0]
+        return columns, np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
-        reps: list[np.ndarray] = []
+        reps: list[int] = []
+        sizes: list[int] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            key, rep, a, b = tie(np.concatenate(keys), np.concatenate(reps))
-            keys.clear()
-            reps.clear()
-            part = ((key >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
-            edges = np.searchsorted(part, np.arange(buckets + 1))
-            some = np.flatnonzero(np.diff(edges)).tolist()
-            blobs = [pack(key[edges[k]:edges[k + 1]], rep[edges[k]:edges[k + 1]]) for k in some]
-            if len(a):
-                some, blobs = [*some, buckets], [*blobs, pack(a, b)]
-            return rows(some, blobs)
+            each = [len(k) for k in keys]
+            (key, rep, n), start = runs(np.concatenate(keys), np.repeat(np.array(reps, np.int64), each),
+                                        np.repeat(np.array(sizes, np.uint32), each))
+            for held in (keys, reps, sizes):
+                held.clear()
+            more = np.arange(len(key)) - np.repeat(start, np.diff(np.append(start, len(key)))) > PAIRED
+            some = ~more
+            found = list(dealt(((key[some] >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64), key[some], rep[some], n[some]))
+            if more.any():
+                found += dealt(-1 - part_of(rep[more]), key[more], rep[more], n[more])
+            return rows(found)
 
         for batch in batches:
             for rep, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 s = np.frombuffer(blob.as_py(), np.uint64)
-                n = len(s) - (3 * len(s) + 3) // 4 + 1
                 level = order.value[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)]
-                keys.append(s[np.lexsort((s, level))[:n]])
-                reps.append(np.full(n, rep, np.int64))
-                size += n
+                keys.append(s[np.lexsort((s, level))[:rare(len(s))]])
+                reps.append(rep)
+                sizes.append(len(s))
+                size += len(keys[-1])
                 if size >= FLUSH_SHINGLES:
                     yield flush()
                     size = 0
         if size:
             yield flush()
 
+    def pairs(rep: np.ndarray, n: np.ndarray, start: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs of the classes of each run, and how often each comes, for as many runs at a time as ``FLUSH_SHINGLES`` pairs."""
+        made = np.cumsum(many * (many - 1) // 2)
+        while len(start):
+            upto = max(1, int(np.searchsorted(made, FLUSH_SHINGLES, "right")))
+            here, length = start[:upto], many[:upto]
+            first = [np.zeros(0, np.int64)]
+            second = [np.zeros(0, np.int64)]
+            for m in np.unique(length).tolist():
+                i, j = np.triu_indices(m, 1)
+                first.append((here[length == m][:, None] + i).ravel())
+                second.append((here[length == m][:, None] + j).ravel())
+            a, b = np.concatenate(first), np.concatenate(second)
+            small, large = np.minimum(n[a], n[b]).astype(np.int64), np.maximum(n[a], n[b]).astype(np.int64)
+            ok = (4 * small >= 3 * large) & (rep[a] != rep[b])
+            a, b = a[ok], b[ok]
+            if len(a):
+                own, at = np.unique(np.stack([rep, n.astype(np.int64)], axis=1), axis=0, return_inverse=True)
+                code, count = np.unique(at.ravel()[a] * len(own) + at.ravel()[b], return_counts=True)
+                a, b = own[code // len(own)], own[code % len(own)]
+                yield rows(list(dealt(part_of(np.ascontiguousarray(a[:, 0])), a[:, 0], b[:, 0], a[:, 1].astype(np.uint32),
+                                      b[:, 1].astype(np.uint32), count.astype(np.uint32))))
+            start, many, made = start[upto:], many[upto:], made[upto:] - made[upto - 1]
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, held in grouped(batches):
+            if part < 0:
+                yield rows([(-1 - part, p.as_py()) for b in held for p in b.column(1)])
+                continue
+            pieces = [unpack(p.as_py()) for b in held for p in b.column(1)]
+            (key, rep, n), start = runs(*(np.concatenate([p[i] for p in pieces]) for i in range(3)))
+            many = np.diff(np.append(start, len(key)))
+            hot = np.repeat(many > PAIRED, many)
+            if hot.any():
+                yield rows(list(dealt(part_of(rep[hot]), key[hot], rep[hot], n[hot])))
+            some = (many > 1) & (many <= PAIRED)
+            yield from pairs(rep, n, start[some], many[some])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows ``kind, a, b, size, number``: edges (0), pairs that need as many hot shingles of ``b`` (1), the
+        hot shingles of class ``a`` (2), the least class ``b`` of this task that shares the hot shingle ``a`` (3)."""
+
+        def out(kind: int, a: np.ndarray, b: np.ndarray, size=0, number=0) -> pa.RecordBatch:
+            cells = [np.broadcast_to(np.asarray(x).astype(np.int64), len(a)) for x in (a, b, size, number)]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *(pa.array(c) for c in cells)],
+                                              names=["kind", "a", "b", "size", "number"])
+
+        for _, held in grouped(batches):
             pieces = [unpack(p.as_py()) for b in held for p in b.column(1)]
-            first, second = (np.concatenate([p[i] for p in pieces]) for i in range(2))
-            a, b = (first, second) if part >= buckets else tie(first, second)[2:]
-            yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["a", "b"])
+            join = lambda width, kinds: [np.concatenate([np.zeros(0, k), *(p[i] for p in pieces if len(p) == width)])
+                                         for i, k in enumerate(kinds)]
+            (key, rep, n), _ = runs(*join(3, (_U, np.int64, np.uint32)))
+            a, b, na, nb, count = join(5, (np.int64, np.int64, np.uint32, np.uint32, np.uint32))
+            del pieces
+            by = np.lexsort((nb, na, b, a))
+            a, b, na, nb, count = (x[by].astype(np.int64) for x in (a, b, na, nb, count))
+            names = np.unique(np.concatenate([rep, a]))
+            own, hot = np.unique(np.searchsorted(names, rep) << 32 | n.astype(np.int64), return_counts=True)
+            if len(a):
+                new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (na[1:] != na[:-1]) | (nb[1:] != nb[:-1])))
+                start = np.flatnonzero(new)
+                count = np.add.reduceat(count, start)
+                a, b, na, nb = a[start], b[start], na[start], nb[start]
+                lack = least_shared(na, nb) - count
+                yield out(0, a[lack <= 0], b[lack <= 0])
+                if len(own):
+                    code = np.searchsorted(names, a) << 32 | na
+                    at = np.minimum(np.searchsorted(own, code), len(own) - 1)
+                    open_ = (lack > 0) & (own[at] == code) & (hot[at] >= lack)
+                    yield out(1, a[open_], b[open_], nb[open_], lack[open_])
+            if len(own):
+                size = own & 0xFFFFFFFF
+                yield out(2, names[own >> 32], 0 * own, size, hot)
+                heavy = own[hot > size // SPARE]
+                some = np.isin(np.searchsorted(names, rep) << 32 | n.astype(np.int64), heavy)
+                key, rep = key[some], rep[some]
+                if len(key):
+                    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+                    least = np.repeat(rep[start], np.diff(np.append(start, len(key))))
+                    tied = np.unique(np.stack([least, rep], axis=1)[rep != least], axis=0)
+                    yield out(0, tied[:, 0], tied[:, 1])
+                    yield out(3, key[start].view(np.int64), rep[start])
 
-    made = sets.select("rep", "shingles").mapInArrow(released(emit), "part int, payload binary")
-    spread = F.when(F.col("part") < buckets, F.col("part")).otherwise(buckets + F.pmod(F.xxhash64("payload"), F.lit(buckets)))
-    return by_key(made.withColumn("part", spread.cast("int")), "part", buckets).mapInArrow(released(meet), "a long, b long").distinct()
+    blobs = "part int, payload binary"
+    made = sets.select("rep", "shingles").mapInArrow(released(emit), blobs)
+    met = by_key(made, "part", buckets).mapInArrow(released(meet), blobs)
+    judged = written(by_key(met, "part", buckets).mapInArrow(released(judge), "kind int, a long, b long, size long, number long"),
+                     "meetings")
+    hot = judged.filter("kind = 2").select(F.col("a").alias("b"), "size", F.col("number").alias("hot"))
+    open_ = judged.filter("kind = 1").join(hot, ["b", "size"]).filter("hot >= number").select("a", "b")
+    stars = judged.filter("kind = 3").select(F.col("a").alias("key"), "b")
+    least = stars.groupBy("key").agg(F.min("b").alias("a"))
+    stars = stars.join(least, "key").filter("a <> b").select("a", "b")
+    return judged.filter("kind = 0").select("a", "b").union(open_).union(stars).distinct()
 
 
 class CountTree:
@@ -393,14 +512,22 @@ def block_links(sets: DataFrame, edges: DataFrame, tile: int = TILE) -> DataFram
     main = count.groupBy("block").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("all"),
                                       F.max("n").alias("most")).filter(F.col("all") > F.col("most"))
     main = main.select("block", "main", F.ceil((F.col("all") - F.col("most")) / F.lit(tile)).cast("int").alias("rounds"))
-    rest = spread_join(apart, main, "block", F.col("rep")).filter("main is not null")
+    rest = written(spread_join(apart, main, "block", F.col("rep")).filter("main is not null"), "rest")
     others = rest.filter("label <> main").withColumn("round", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rounds")).cast("int"))
-    asks = others.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    told = rest.withColumn("round", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)))
     task = F.concat_ws("/", "block", "tile", "round")
-    more = (asks.select(task.alias("task"), "rep", "shingles", "label", yes.alias("query"))
-            .unionByName(told.select(task.alias("task"), "rep", "shingles", "label", F.lit(False).alias("query"))))
-    return found.unionByName(by_key(more, "task").mapInArrow(released(_link_groups), "a long, b long"))
+    size, last = rest.agg(F.count("*"), F.coalesce(F.max("rounds"), F.lit(0))).first()
+    step = max(1, max(placed.count(), PASS_SETS) // max(1, size))
+    for k in range(0, last, step):                  # a pass holds each set about twice on disk, however many tiles there are
+        asks = others.filter(F.col("round").between(k, k + step - 1)).withColumn(
+            "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        told = rest.filter(F.col("rounds") > k).withColumn(
+            "round", F.explode(F.sequence(F.lit(k), F.least(F.col("rounds"), F.lit(k + step)) - 1)))
+        more = (asks.select(task.alias("task"), "rep", "shingles", "label", yes.alias("query"))
+                .unionByName(told.select(task.alias("task"), "rep", "shingles", "label", F.lit(False).alias("query"))))
+        links = by_key(more, "task").mapInArrow(released(_link_groups), "a long, b long")
+        found = written(found.unionByName(links), "links")
+        release_shuffles(rest.sparkSession)
+    return found
 
 
 def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
@@ -422,6 +549,7 @@ def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hashed = classes.withColumn("set_hash", _little_endian(F.col("set_key")))
     alive = written(hashed.join(shared, "set_hash").filter("100 * shared >= 75 * n").select("rep").distinct(), "alive")
     n = alive.count()
+    release_shuffles(docs.sparkSession)
     node = F.col("rep")
     if n:
         sets = written(candidate_sets(rows, alive, n), "candidates")

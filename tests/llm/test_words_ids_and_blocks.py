@@ -9,7 +9,8 @@ import public_tokenizers
 import pytest
 
 from pricelens.llm import (
-    arrays, decontaminate, pitman_yor, range_coder, scratch, shingle_join, textbatch, token_store, transducer, unicode_classes)
+    arrays, components, decontaminate, pitman_yor, range_coder, scratch, shingle_join, textbatch, token_store, transducer,
+    unicode_classes)
 from pricelens.llm.shipping import prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -181,3 +182,66 @@ def test_flushes_send_each_bucket_a_context_once(spark):
     blobs = [pitman_yor.unpack(r.payload) for r in pitman_yor.occurrences(docs, 2).collect() if r.part < 2]
     for own, per, before, place, count in blobs:
         assert per.sum() == len(place) == len(count) and len(np.unique(np.cumsum(before, dtype=np.uint64))) == len(before) < len(place)
+
+
+def _sets(spark, sets):
+    rows = [(rep, len(s), np.sort(np.array(list(s), np.uint64)).tobytes()) for rep, s in sets]
+    return spark.createDataFrame(rows, "rep long, n long, shingles binary").repartition(3)
+
+
+def _groups(edges):
+    return {r.node: r.component for r in components.components(edges).collect()}
+
+
+def _linked(a, b):
+    return 100 * len(a & b) >= 75 * len(a | b)
+
+
+@pytest.mark.parametrize("paired", [32, 4])
+def test_a_few_common_rare_shingles_join_no_blocks(spark, monkeypatch, paired):
+    monkeypatch.setattr(shingle_join, "PAIRED", paired, raising=False)
+    rng = np.random.default_rng(3)
+    sets, group = [], {}
+    for g in range(20):                        # near copies; the last of a group and the first of the next share shingle g
+        base = [int(x) for x in rng.integers(1 << 40, 1 << 62, 64)]
+        for k in range(3 if g else 12):
+            own = {*base[:60], *(int(x) for x in rng.integers(1 << 40, 1 << 62, 4))}
+            own |= {g} if k == 2 else {g - 1} if k == 0 and g else set()
+            own |= {1000 + len(sets) % 2}      # held by very many
+            group[len(sets)] = g
+            sets.append((len(sets), own))
+    edges = shingle_join.block_edges(_sets(spark, sets), np.zeros(1 << shingle_join.SKETCH_BITS, np.uint8), 3)
+    found = _groups(edges)
+    first = {g: min(i for i in group if group[i] == g) for g in group.values()}
+    assert found == {i: first[g] for i, g in group.items()}
+
+
+@pytest.mark.parametrize("paired", [32, 2])
+def test_linked_classes_share_a_block(spark, monkeypatch, paired):
+    monkeypatch.setattr(shingle_join, "PAIRED", paired, raising=False)
+    rng = np.random.default_rng(4)
+    sets = []
+    for n in (1, 2, 3, 4, 5, 7, 9, 16, 17, 33, 48, 80):
+        for _ in range(3):
+            base = [int(x) for x in rng.choice(400, n, replace=False)]
+            for size in rng.integers(-(-3 * n // 4), n + 1, 5).tolist():
+                more = rng.integers(0, n // 8 + 1)
+                sets.append((int(rng.integers(0, 150)), {*base[:size], *(int(x) for x in rng.choice(400, more))}))
+    sets += sets[:10]                          # rows that come twice; ids repeat as well
+    rank = rng.integers(0, 3, 1 << shingle_join.SKETCH_BITS).astype(np.uint8)
+    spread = [(rep, {x << 52 | x for x in s}) for rep, s in sets]
+    found = _groups(shingle_join.block_edges(_sets(spark, spread), rank, 4))
+    links = [(a, b) for a, s in sets for b, t in sets if a < b and _linked(s, t)]
+    assert len(links) > 100 and all(found[a] == found[b] for a, b in links)
+
+
+def test_large_block_in_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "PASS_SETS", 1, raising=False)
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(14):                        # pairs that nothing else links, in one block
+        base = [int(x) for x in rng.integers(0, 1 << 62, 24)]
+        sets += [(len(sets), set(base)), (len(sets) + 1, set(base[1:]))]
+    edges = spark.createDataFrame([(0, k) for k in range(1, len(sets))], "a long, b long")
+    found = _groups(shingle_join.block_links(_sets(spark, sets), edges, tile=6))
+    assert found == {k: k - k % 2 for k in range(len(sets))}
